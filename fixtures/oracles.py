@@ -565,6 +565,13 @@ def all_oracles() -> dict[str, str]:
             "works_big",
             """select issn, l_orderkey, l_linenumber, publication_date, cited_by_count from works_big""",
         ),
+        "stream_ingest_pages": q(
+            "works journals",
+            """select id as work_id, subject, journal_name, coalesce(title, 'Untitled') as title,
+                 publication_date, grade, cited_by_count as citations, coalesce(doi, id) as link
+               from paged where status = 200""",
+            paged=PAGED_WORKS_SQL,
+        ),
         "stream_dedup": "select distinct user_id, event_type, cast(ts as date) as day from events",
         "stream_weekly_counts": windows(WEEK),
         "stream_rolling_counts": windows(

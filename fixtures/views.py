@@ -16,7 +16,8 @@ from pubwatch.functions.abstracts import build_inverted_index
 from pubwatch.operators.joins import dimension_join
 from pubwatch.operators.ranking import number_rows
 from pubwatch.session import new_path
-from pubwatch.sources.landing import read_landed_pages
+from pubwatch.sources import schemas
+from pubwatch.sources.landing import land_pages
 
 PAGE_ROWS = 10
 
@@ -171,12 +172,17 @@ def _landed_path(spark: SparkSession, sf_dir: str) -> str:
         F.when(~failed, F.col("results")).alias("results"),
     )
     path = new_path(spark, "fixture-landed")
-    landed.write.json(path)
+    landed.write.json(f"{path}/json")
+    land_pages(spark, f"{path}/json", f"{path}/parquet")
     return path
 
 
+def landed_json(spark: SparkSession, sf_dir: str) -> str:
+    return f"{_landed_path(spark, sf_dir)}/json"
+
+
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_landed_pages(spark, _landed_path(spark, sf_dir))
+    return spark.read.schema(schemas.LANDED_PAGE).parquet(f"{_landed_path(spark, sf_dir)}/parquet")
 
 
 # The same pages in long form, one row per work, for DuckDB.

@@ -29,7 +29,7 @@ def restore_abstract(index: Column) -> Column:
         )
     )
     winners = let(
-        F.array_sort(placed),
+        F.sort_array(placed),
         lambda all_: F.filter(
             all_, lambda x, i: ~F.get(all_, i + 1)["position"].eqNullSafe(x["position"])
         ),
@@ -54,7 +54,7 @@ def restore_abstract(index: Column) -> Column:
 
 def index_entries(text: Column) -> Column:
     """``array<struct<key, value>>``: each word once, with its ascending positions from 0."""
-    placed = F.array_sort(
+    placed = F.sort_array(
         F.transform(words(text), lambda word, i: F.struct(word.alias("word"), i.alias("position")))
     )
 

@@ -26,7 +26,7 @@ def strip_space(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Whitespace-separated words of a text, none of them empty."""
-    return F.filter(F.split(text, f"[{fixed.WHITESPACE}]+"), lambda word: word != "")
+    return F.filter(F.split(text, fixed.WHITESPACE_PATTERN), lambda word: word != "")
 
 
 def parse_labels(text: Column, fallback_he: str) -> Column:
@@ -77,7 +77,7 @@ def title_preview(title: Column, length: int = 40) -> Column:
 
 def sentences(text: Column) -> Column:
     """Sentences of a text in reading order; a trailing piece without a full stop counts."""
-    flat = F.regexp_replace(text, f"[{fixed.WHITESPACE}]+", " ")
+    flat = F.regexp_replace(text, fixed.WHITESPACE_PATTERN, " ")
     found = F.transform(F.regexp_extract_all(flat, F.lit(SENTENCE_PATTERN), F.lit(0)), lambda s: F.trim(s))
     return F.filter(found, lambda sentence: sentence != "")
 

@@ -51,7 +51,7 @@ def run_summary(articles: DataFrame) -> DataFrame:
 
 def ordered_concat(order: Column, text: Column, separator: str = "") -> Column:
     """Aggregate: ``text`` of a bounded group, joined in ``order``."""
-    pairs = F.array_sort(F.collect_list(F.struct(order.alias("o"), text.alias("t"))))
+    pairs = F.sort_array(F.collect_list(F.struct(order.alias("o"), text.alias("t"))))
     return F.array_join(F.transform(pairs, lambda pair: pair["t"]), separator)
 
 

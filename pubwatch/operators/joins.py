@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pubwatch.session import materialise
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
@@ -15,17 +18,12 @@ SALTS = 32
 def fits_broadcast(
     small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure a table before it is broadcast. Reads at most ``max_rows + 1`` rows of it."""
+    """Measure a table before it is broadcast: its rows, and its bytes as text."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in small.columns),
         F.lit(0),
     )
-    rows, size = (
-        small.select(width.cast("long").alias("width"))
-        .limit(max_rows + 1)
-        .agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0)))
-        .first()
-    )
+    rows, size = small.agg(F.count("*"), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
@@ -40,8 +38,7 @@ def dimension_join(
     """Join a large table with one that is usually small.
 
     A dimension of measured, bounded size is broadcast, so the facts are not shuffled. A larger one
-    is joined by shuffle; each key is then split over ``SALTS`` groups by the hash of the ``spread``
-    columns, so that a key with a third of all facts does not end in one task. Results are equal.
+    is joined by shuffle, with hot keys split by the hash of the ``spread`` columns.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -50,8 +47,33 @@ def dimension_join(
         return facts.join(F.broadcast(dim), keys, how)
     if not spread:
         return facts.join(dim, keys, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted_join(facts, dim, keys, how, spread)
+
+
+def salted_join(
+    facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str, spread: Sequence[str]
+) -> DataFrame:
+    """Shuffle join in which a key with more than 1/``SALTS`` of all facts is split ``SALTS`` ways.
+
+    At most ``SALTS`` keys can be that frequent, so only their few dimension rows are copied. Facts
+    without a key match nothing and are spread as well. The result is that of the plain join.
+    """
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    counts = materialise(facts.groupBy(*keys).agg(F.count("*").alias("_rows")), "key-counts")
+    limit = counts.agg((F.sum("_rows") / SALTS).alias("_limit")).first()["_limit"] or 0
+    hot = counts.where(F.col("_rows") > limit).select(*keys, F.lit(True).alias("_hot"))
+    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    salted = (
+        facts.join(F.broadcast(hot), list(keys), "left")
+        .withColumn("_salt", F.when(F.col("_hot") | keyless, salt).otherwise(0))
+        .drop("_hot")
+    )
+    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    copies = (
+        dim.join(F.broadcast(hot), list(keys), "left")
+        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
+        .drop("_hot")
+    )
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -13,12 +13,14 @@ from pubwatch.operators.projections import archive_rows, fill_text
 from pubwatch.operators.ranking import number_rows
 from pubwatch.params import RunParams
 from pubwatch.sources.landing import (
+    chain_stops,
     fetch_completeness,
     journal_metadata,
     valid_prefix,
     works_from_pages,
 )
 from pubwatch.sources.tables import append_rows, replace_table, upsert_table, write_snapshot
+from pubwatch.streaming.jobs import append_stream
 
 
 def archive_order() -> list[Column]:
@@ -37,10 +39,11 @@ def registry_columns(journals: DataFrame) -> DataFrame:
 
 def refresh_archive(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> bool:
     """Rebuild the archive from landed pages, unless a journal's pages broke off."""
-    works = works_in_years(works_from_pages(valid_prefix(landed)), params.first_year, params.last_year)
-    rows = archive_rows(enrich(works, registry_columns(journals)), keep=("work_id",))
-    ordered = fill_text(rows).orderBy(*archive_order()).drop("work_id")
-    return write_snapshot(ordered, path, fetch_completeness(landed))
+    stops = chain_stops(landed)
+    works = works_from_pages(valid_prefix(landed, stops))
+    in_range = works_in_years(works, params.first_year, params.last_year)
+    rows = archive_rows(enrich(in_range, registry_columns(journals)), keep=("work_id",))
+    return write_snapshot(fill_text(rows), path, fetch_completeness(landed, stops), archive_order())
 
 
 def daily_append(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> bool:
@@ -56,6 +59,17 @@ def daily_upsert(
     upsert_table(path, rows, ["work_id"], newest)
 
 
+def ingest_pages(pages: DataFrame, journals: DataFrame, path: str, checkpoint: str) -> None:
+    """Append the works of newly landed pages to the archive, each page once.
+
+    ``pages`` is a stream. A page that failed has no works; pages after it are still taken, as each
+    holds whole works. What is missing shows in the completeness report.
+    """
+    fetched = pages.where(F.col("status") == 200)
+    rows = archive_rows(enrich(works_from_pages(fetched), registry_columns(journals)), keep=("work_id",))
+    append_stream(fill_text(rows), path, checkpoint)
+
+
 def _daily_rows(landed: DataFrame, journals: DataFrame, params: RunParams) -> DataFrame:
     works = recent_works(works_from_pages(valid_prefix(landed)), params.as_of, params.lookback_days)
     return fill_text(archive_rows(enrich(works, registry_columns(journals)), keep=("work_id",)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pubwatch.functions import fixed
@@ -18,6 +18,16 @@ def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LANDED_PAGE).json(path)
 
 
+def land_pages(spark: SparkSession, json_path: str, path: str) -> None:
+    """Turn landed JSON into a parquet table, so that later passes read only what they need."""
+    read_landed_pages(spark, json_path).write.mode("overwrite").parquet(path)
+
+
+def n_results() -> Column:
+    """Works on a page. Counted over one nested field, so the works themselves are not read."""
+    return F.greatest(F.coalesce(F.size(F.col("results.id")), F.lit(0)), F.lit(0)).cast("long")
+
+
 def page_chain(landed: DataFrame) -> DataFrame:
     """Per page: whether it belongs to its journal's chain, and if not, whether that is a clean end.
 
@@ -31,7 +41,7 @@ def page_chain(landed: DataFrame) -> DataFrame:
         "request_cursor",
         "next_cursor",
         F.coalesce(F.col("status") == 200, F.lit(False)).alias("fetched"),
-        (F.coalesce(F.size("results"), F.lit(0)) == 0).alias("empty"),
+        (n_results() == 0).alias("empty"),
     )
     before = landed.select(
         "issn",
@@ -55,10 +65,11 @@ def chain_stops(landed: DataFrame) -> DataFrame:
     """Per journal its first page outside the chain, and whether the pull broke off there.
 
     An empty page, or a last page without a next cursor, is a clean end. A failed or missing page,
-    or a next cursor that nobody followed, is not.
+    or a next cursor that nobody followed, is not. The stops are written, as several readers share
+    them.
     """
     stop = F.min(F.when(~F.col("in_chain"), F.struct("page_no", "clean_end")))
-    return (
+    stops = (
         page_chain(landed)
         .groupBy("issn")
         .agg(
@@ -72,23 +83,23 @@ def chain_stops(landed: DataFrame) -> DataFrame:
             F.coalesce(~F.col("stop.clean_end"), F.col("open_end")).alias("failed"),
         )
     )
+    return materialise(stops, "chain-stops")
 
 
-def valid_prefix(landed: DataFrame) -> DataFrame:
+def valid_prefix(landed: DataFrame, stops: DataFrame | None = None) -> DataFrame:
     """Pages of each journal up to its first failed, empty or unlinked one.
 
-    The stops are one row per journal and are written first, so the pages themselves are read once
-    and filtered without a shuffle.
+    The stops are one row per journal, so the pages themselves are filtered without a shuffle.
     """
-    stops = materialise(chain_stops(landed).select("issn", "stop_page"), "chain-stops")
-    kept = dimension_join(landed, stops, "issn", "inner", ["page_no"])
+    stops = chain_stops(landed) if stops is None else stops
+    kept = dimension_join(landed, stops.select("issn", "stop_page"), "issn", "inner", ["page_no"])
     return kept.where(F.col("page_no") < F.col("stop_page")).drop("stop_page")
 
 
-def fetch_completeness(landed: DataFrame) -> DataFrame:
+def fetch_completeness(landed: DataFrame, stops: DataFrame | None = None) -> DataFrame:
     """Per journal: pages landed and kept, works kept, and whether the pull broke off."""
-    stops = materialise(chain_stops(landed), "chain-stops")
-    sizes = landed.select("issn", "page_no", F.coalesce(F.size("results"), F.lit(0)).alias("n_works"))
+    stops = chain_stops(landed) if stops is None else stops
+    sizes = landed.select("issn", "page_no", n_results().alias("n_works"))
     pages = dimension_join(sizes, stops.select("issn", "stop_page"), "issn", "inner", ["page_no"])
     kept = F.col("page_no") < F.col("stop_page")
     counts = pages.groupBy("issn").agg(

@@ -17,17 +17,23 @@ MONTH = "landed_month"
 
 
 def write_snapshot(
-    rows: DataFrame, path: str, completeness: DataFrame | None = None, fmt: str = "parquet"
+    rows: DataFrame,
+    path: str,
+    completeness: DataFrame | None = None,
+    order: Sequence[Column] = (),
+    fmt: str = "parquet",
 ) -> bool:
     """Clear and replace the table at ``path``; tells whether it was written.
 
     An empty result, or a completeness report with a failed journal, leaves the old table alone.
+    Rows are sorted only after these checks.
     """
     if completeness is not None and not completeness.where("failed").isEmpty():
         return False
     if rows.isEmpty():
         return False
-    rows.write.mode("overwrite").format(fmt).options(**_text_options(fmt)).save(path)
+    ordered = rows.orderBy(*order) if order else rows
+    ordered.write.mode("overwrite").format(fmt).options(**_text_options(fmt)).save(path)
     return True
 
 
@@ -56,14 +62,13 @@ def upsert_table(path: str, new: DataFrame, key: Sequence[str], newest: Sequence
     one key never lies in two folders. A repeated call changes nothing.
     """
     spark = new.sparkSession
-    month = F.date_format("publication_date", "yyyy-MM")
+    month = F.date_format("publication_date", "'m'yyyy-MM")
     batch = latest_versions(new, key, newest)
     archive = read_table(spark, path)
     if archive is None:
         _write_months(batch.withColumn(MONTH, month), path)
         return
     batch = materialise(batch, "upsert-batch")
-    archive = archive.withColumn(MONTH, F.col(MONTH).cast("string"))
     held = dimension_join(
         archive.select(*key, F.col(MONTH).alias("held_month")), batch.select(*key), list(key), "inner", key
     )
