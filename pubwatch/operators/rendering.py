@@ -80,16 +80,17 @@ def digest_page(
 ) -> DataFrame:
     """The whole digest of one run as one row; no row for a run without articles.
 
-    ``sections`` has one row per subject and ``briefing`` at most one row.
+    ``sections`` has one row per subject and ``briefing`` at most one row, so that both fit into
+    one aggregation.
     """
-    run = F.lit(run_date)
-    body = (
-        sections.agg(
-            ordered_concat(F.col("section_ord"), F.col("section")).alias("sections"),
-            F.sum("n_articles").alias("n_articles"),
-        )
-        .where(F.col("n_articles") > 0)
-        .withColumn("run_date", run)
+    parts = sections.select("section_ord", "section", "n_articles").unionByName(
+        briefing.select("briefing_en", "briefing_he"), allowMissingColumns=True
+    )
+    whole = parts.agg(
+        ordered_concat(F.col("section_ord"), F.col("section")).alias("sections"),
+        F.sum("n_articles").alias("n_articles"),
+        F.max("briefing_en").alias("briefing_en"),
+        F.max("briefing_he").alias("briefing_he"),
     )
     page = fill(
         templates.page,
@@ -97,9 +98,9 @@ def digest_page(
         briefing_he=F.col("briefing_he"),
         sections=F.col("sections"),
     )
-    return body.join(
-        briefing.select("briefing_en", "briefing_he").withColumn("run_date", run), "run_date", "left"
-    ).select("run_date", "n_articles", page.alias("html"))
+    return whole.where(F.col("n_articles") > 0).select(
+        F.lit(run_date).alias("run_date"), "n_articles", page.alias("html")
+    )
 
 
 def digest_teaser(briefing: DataFrame, page_url: str, templates: Templates = DEFAULT) -> DataFrame:

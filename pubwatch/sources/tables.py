@@ -62,7 +62,7 @@ def upsert_table(path: str, new: DataFrame, key: Sequence[str], newest: Sequence
     one key never lies in two folders. A repeated call changes nothing.
     """
     spark = new.sparkSession
-    month = F.date_format("publication_date", "'m'yyyy-MM")
+    month = F.coalesce(F.date_format("publication_date", "'m'yyyy-MM"), F.lit("undated"))
     batch = latest_versions(new, key, newest)
     archive = read_table(spark, path)
     if archive is None:
@@ -82,7 +82,7 @@ def upsert_table(path: str, new: DataFrame, key: Sequence[str], newest: Sequence
     months = [row[0] for row in placed.select(MONTH).distinct().collect()]
     if not months:
         return
-    old = archive.where(F.col(MONTH).isin(*[m for m in months if m is not None]) | F.col(MONTH).isNull())
+    old = archive.where(F.col(MONTH).isin(*months))
     _write_months(latest_versions(old.unionByName(placed), key, newest), path)
 
 

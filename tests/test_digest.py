@@ -1,0 +1,275 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pubwatch.operators import filters, ranking, rendering, summaries
+from pubwatch.params import RunParams
+from pubwatch.plans.digest import Digest, dangling, run_log, select_works
+
+AS_OF = dt.date(2024, 6, 30)
+PARAMS = RunParams(as_of=AS_OF)
+WORK = (
+    "work_id long, issn string, title string, publication_date date, cited_by_count long, "
+    "doi string, id string, abstract string"
+)
+JOURNAL = "issn string, journal_ord int, journal_name string, subject string, grade string"
+JOURNALS = [
+    ("a", 0, "Journal A", "First & <best>", "Q1"),
+    ("b", 1, "Journal B", "First & <best>", "Q1"),
+    ("c", 2, None, "Second", "Q1"),
+    ("m", 3, "Journal M", "Second", "Q1/Q2"),
+    ("d", 4, "Journal D", "Third", "Q2"),
+    ("e", 5, "Journal E", "Fourth", "Q1"),
+]
+
+
+def work(i, issn, days, abstract="Some finding here. More text there. And a third.", title=None, doi=None):
+    return (i, issn, title or f"Title {i}", AS_OF - dt.timedelta(days=days), 1, doi, f"W{i}", abstract)
+
+
+@pytest.fixture(scope="module")
+def journals(spark):
+    return spark.createDataFrame(JOURNALS, JOURNAL)
+
+
+def frame(spark, works):
+    return spark.createDataFrame(works, WORK)
+
+
+def selected_ids(spark, journals, works, params=PARAMS):
+    rows = ranking.number_articles(select_works(frame(spark, works), journals, params))
+    return [r["work_id"] for r in rows.orderBy("article_no").collect()]
+
+
+def test_first_journal_fills_the_subject_first(spark, journals):
+    works = [work(i, "a", 6) for i in (1, 2, 3)] + [work(10 + i, "b", i) for i in range(4)]
+    assert selected_ids(spark, journals, works) == [1, 2, 3, 10, 11]
+
+
+def test_page_is_cut_before_the_abstract_filter(spark, journals):
+    works = [work(i, "a", 1, abstract=None) for i in range(15)] + [work(99, "a", 2)]
+    assert selected_ids(spark, journals, works) == []
+    assert selected_ids(spark, journals, works[1:]) == [99]
+    assert selected_ids(spark, journals, [work(1, "a", 1, abstract="")]) == []
+
+
+def test_lookback_edge_and_grade(spark, journals):
+    works = [work(1, "a", 7), work(2, "a", 8), work(3, "m", 1), work(4, "d", 1), work(5, "a", -3)]
+    assert selected_ids(spark, journals, works) == [5, 1]
+
+
+def test_ties_are_broken_by_work_id(spark, journals):
+    works = [work(i, "a", 1) for i in (7, 3, 9, 1, 5, 2)]
+    assert selected_ids(spark, journals, works) == [1, 2, 3, 5, 7]
+
+
+def test_cap_holds_for_any_partitioning(spark, journals):
+    rng = random.Random(5)
+    works = [
+        work(i, rng.choice("abcmde"), rng.randint(-1, 9), rng.choice(["x y.", None, "z. w."]))
+        for i in range(300)
+    ]
+    results = []
+    for partitions in (1, 3, 9):
+        df = frame(spark, works).repartition(partitions)
+        results.append(sorted(map(tuple, select_works(df, journals, PARAMS).select("work_id", "subject", "paper_no").collect())))
+    assert results[0] == results[1] == results[2]
+    counts = {}
+    for _, subject, _ in results[0]:
+        counts[subject] = counts.get(subject, 0) + 1
+    assert max(counts.values()) <= PARAMS.subject_cap
+
+    # Brute force: walk the registry and take works until the subject is full.
+    expected, taken = [], {}
+    for issn, _, _, subject, grade in JOURNALS:
+        if grade != "Q1":
+            continue
+        mine = [w for w in works if w[1] == issn and w[3] >= AS_OF - dt.timedelta(days=7)]
+        for w in sorted(mine, key=lambda w: (-w[3].toordinal(), w[0]))[:15]:
+            if w[7] and taken.get(subject, 0) < 5:
+                taken[subject] = taken.get(subject, 0) + 1
+                expected.append((w[0], subject, taken[subject]))
+    assert results[0] == sorted(expected)
+
+
+@pytest.fixture(scope="module")
+def digest(spark, journals):
+    works = [
+        work(1, "b", 1, "Noise causes harm. Workers report noise.", '<i>"Noise" & harm</i>', "https://d/1"),
+        work(2, "b", 2, "Noise again? Workers sleep badly."),
+        work(3, "c", 1, "Lifting <100 kg> strains backs."),
+        work(4, "a", 1, None),
+        work(5, "e", 1, None),
+    ]
+    return Digest(frame(spark, works), journals, PARAMS)
+
+
+def test_sections_follow_the_first_journal_with_any_result(digest):
+    sections = digest.sections.orderBy("section_ord").collect()
+    # Journal a has a result without an abstract: it still sets the place of its subject.
+    assert [(s["subject"], s["section_ord"], s["n_articles"]) for s in sections] == [
+        ("First & <best>", 0, 2),
+        ("Second", 2, 1),
+    ]
+    assert "First &amp; &lt;best&gt;" in sections[0]["section"]
+
+
+def test_cards_are_escaped_and_anchored(digest):
+    cards = {c["article_id"]: c["card"] for c in rendering.article_cards(digest.articles).collect()}
+    assert '<div id="art-1">' in cards["art-1"]
+    assert "&lt;i&gt;&quot;Noise&quot; &amp; harm&lt;/i&gt;" in cards["art-1"]
+    assert 'href="https://d/1"' in cards["art-1"]
+    assert 'href="W2"' in cards["art-2"]
+    assert "Unknown Journal" in cards["art-3"]
+    assert "&lt;100 kg&gt;" in cards["art-3"]
+
+
+def test_briefing_links_exist(digest):
+    briefing = digest.briefing.first()["briefing_en"]
+    assert briefing == (
+        "<a href='#art-1'>Noise causes harm.</a> <a href='#art-3'>Lifting &lt;100 kg&gt; strains backs.</a>"
+    )
+    problems = [tuple(r) for r in dangling(digest).collect()]
+    assert problems == [("art-2", "never linked")]
+
+
+def test_dangling_anchor_is_found(spark, digest):
+    broken = spark.createDataFrame([("<a href='#art-77'>x</a>",)], "briefing_en string")
+    problems = rendering.dangling_anchors(digest.articles, broken).collect()
+    assert ("art-77", "no article") in map(tuple, problems)
+
+
+def test_page_and_teaser(digest):
+    page = digest.page.collect()
+    assert len(page) == 1
+    html = page[0]["html"]
+    assert html.index("art-1") < html.index("First &amp;") < html.index('id="art-1"')
+    assert html.index('id="art-1"') < html.index('id="art-2"') < html.index('id="art-3"')
+    assert "Third" not in html
+    teaser = digest.teaser.first()["html"]
+    url = "https://digest.example/research_update_2024-06-30.html"
+    assert f'href="{url}#art-1"' in teaser
+    assert f'href="{url}"' in teaser
+
+
+def test_optional_summary_block(spark):
+    cards = spark.createDataFrame(
+        [("art-1", 1, "S", 0, "c1"), ("art-2", 2, "T", 1, "c2")],
+        "article_id string, article_no long, subject string, section_ord int, card string",
+    )
+    texts = spark.createDataFrame(
+        [("S", "", None), ("T", None, "he")],
+        "subject string, domain_summary_en string, domain_summary_he string",
+    )
+    sections = rendering.digest_sections(cards, texts).orderBy("section_ord").collect()
+    assert sections[0]["section"] == "<h3>S</h3>\nc1"
+    assert sections[1]["section"] == '<h3>T</h3>\n<div><p></p><p dir="rtl">he</p></div>\nc2'
+
+
+def test_empty_run_publishes_nothing(spark, journals, tmp_path):
+    empty = Digest(frame(spark, [work(1, "a", 100)]), journals, PARAMS)
+    path = tmp_path / "out"
+    assert not empty.publish(str(path))
+    assert not path.exists()
+    assert empty.page.count() == empty.briefing.count() == empty.teaser.count() == 0
+
+
+def test_publish_writes_one_file_per_run_date(spark, journals, digest, tmp_path):
+    path = str(tmp_path / "out")
+    later = Digest(digest.works, journals, RunParams(as_of=AS_OF + dt.timedelta(days=1)))
+    for d in (digest, digest, later):
+        assert d.publish(path)
+    files = sorted(p.parent.name for p in (tmp_path / "out").rglob("*.txt"))
+    assert files == ["run_date=2024-06-30", "run_date=2024-07-01"]
+    written = next((tmp_path / "out" / files[0]).glob("*.txt")).read_text(encoding="utf-8")
+    assert written.rstrip("\n") == digest.page.first()["html"].rstrip("\n")
+
+
+def test_run_log(digest):
+    assert run_log(digest).count() == 3
+
+
+def test_domain_summary_prefers_shared_words(digest):
+    rows = {r["subject"]: r["domain_summary_en"] for r in digest.domain_summaries.collect()}
+    # "noise" and "workers" are in both papers; three best sentences, in reading order.
+    assert rows["First & <best>"] == "Noise causes harm. Workers report noise. Noise again?"
+    assert rows["Second"] == "Lifting <100 kg> strains backs."
+
+
+def test_year_range_and_dashboard(spark):
+    dates = [dt.date(2023, 12, 31), dt.date(2024, 1, 1), dt.date(2025, 12, 31), dt.date(2026, 1, 1)]
+    df = spark.createDataFrame(
+        [(i, d, "S" if i % 2 else "T", "Q1") for i, d in enumerate(dates)],
+        "i int, publication_date date, subject string, grade string",
+    )
+    assert [r["i"] for r in filters.works_in_years(df, 2024, 2025).collect()] == [1, 2]
+    assert filters.dashboard_filter(df).count() == 4
+    view = filters.dashboard_filter(df, ["S"], ["Q1", "Q2"], dt.date(2024, 1, 1), dt.date(2025, 12, 31))
+    assert [r["i"] for r in view.collect()] == [1]
+    assert filters.dashboard_filter(df, subjects=[]).count() == 0
+
+
+class Flaky:
+    """A summariser that fails each text as often as the text says."""
+
+    def __init__(self):
+        self.seen = {}
+
+    def __call__(self, texts):
+        answers = []
+        for t in texts:
+            self.seen[t] = self.seen.get(t, 0) + 1
+            code, times, reply = t.split("|")
+            failed = self.seen[t] <= int(times)
+            answers.append((None, code) if failed else (reply, None))
+        return answers
+
+
+def test_summariser_retries(spark):
+    requests = [
+        (1, "x 503|2|English: a Hebrew: b"),
+        (2, "429|9|never"),
+        (3, "boom|1|later"),
+        (4, "none|0|plain"),
+        (5, None),
+    ]
+    df = spark.createDataFrame(requests, "i int, request string").coalesce(1)
+    rows = {r["i"]: r for r in summaries.summarise_with(df, Flaky()).collect()}
+    assert {i: (r["status"], r["attempts"]) for i, r in rows.items()} == {
+        1: ("ok", 3),
+        2: ("exhausted", 3),
+        3: ("failed", 1),
+        4: ("unlabelled", 1),
+        5: ("no_abstract", 0),
+    }
+    assert (rows[1]["en"], rows[1]["he"]) == ("a", "b")
+    assert rows[2]["en"] == "Summary skipped."
+    assert rows[3]["en"] == "Error producing summary."
+    assert rows[5]["en"] == "Abstract unavailable."
+    domain = {
+        r["i"]: r for r in summaries.summarise_with(df, Flaky(), summaries.DOMAIN).collect()
+    }
+    # In the other tiers any error is tried again.
+    assert (domain[3]["status"], domain[3]["attempts"], domain[3]["en"]) == ("unlabelled", 2, "later")
+    assert domain[2]["en"] == "Overview synthesis unavailable."
+    assert domain[5]["en"] == ""
+
+
+def test_request_schema_is_untouched(spark):
+    df = spark.createDataFrame([(1, "a|0|b")], "i int, request string")
+    summaries.summarise_with(df, Flaky())
+    assert df.schema.names == ["i", "request"]
+
+
+def test_retry_pending_has_no_text(spark):
+    df = spark.createDataFrame([("503", 1), ("503", 3)], "error string, n int")
+    outcome = summaries.classify_outcome(
+        F.lit(True), F.lit(None).cast("string"), F.col("error"), F.col("n"), summaries.ARTICLE
+    )
+    first, last = df.select(outcome.alias("o")).collect()
+    assert tuple(first["o"]) == ("retryable", None, None)
+    assert last["o"]["status"] == "exhausted"

@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from pubwatch.plans import archive as plan
+from pubwatch.sources import schemas
+from pubwatch.streaming import jobs
+from tests.compare import TESTDATA
+from tests.test_landing import page
+
+EVENT = "ts timestamp, user_id int, event_type string"
+START = dt.datetime(2024, 1, 1)
+
+
+def land(spark, folder, name, rows, schema):
+    """One more file in a stream's folder."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+
+
+def stream(spark, folder, schema):
+    struct = spark.createDataFrame([], schema).schema
+    return jobs.read_stream(spark, f"{folder}/*", struct, files_per_batch=1)
+
+
+def hour(h):
+    return START + dt.timedelta(hours=h)
+
+
+def test_ingest_goes_on_from_its_checkpoint(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / d) for d in ("in", "out", "cp"))
+    land(spark, source, "1", [(hour(0), 1, "a")], EVENT)
+    for expected in (1, 1):
+        jobs.append_stream(stream(spark, source, EVENT), out, checkpoint)
+        assert spark.read.parquet(out).count() == expected
+    land(spark, source, "2", [(hour(1), 2, "b"), (hour(2), 2, "b")], EVENT)
+    jobs.append_stream(stream(spark, source, EVENT), out, checkpoint)
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_dedup_across_batches(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    land(spark, source, "1", [(hour(0), 1, "a"), (hour(1), 2, "a")], EVENT)
+    land(spark, source, "2", [(hour(3), 1, "a"), (hour(4), 3, "a")], EVENT)
+    unique = jobs.dedup_stream(stream(spark, source, EVENT), ["user_id", "event_type"], "ts", "1 day")
+    jobs.append_stream(unique, out, str(tmp_path / "cp"))
+    assert sorted(r["user_id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_closed_windows_only(spark, tmp_path):
+    schema = spark.read.parquet(str(TESTDATA / "sf0.01" / "events.parquet")).schema
+    events = jobs.read_stream(
+        spark, str(TESTDATA / "sf0.01"), schema, file_filter="events.parquet"
+    ).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = str(tmp_path / "out")
+    jobs.append_stream(jobs.window_counts(events, "event_type", "ts", "7 days"), out, str(tmp_path / "cp"))
+    # The last of five weeks is still open.
+    assert spark.read.parquet(out).count() == 20
+
+
+def test_window_table_is_kept_current(spark, tmp_path):
+    source, out, cp = (str(tmp_path / d) for d in ("in", "out", "cp"))
+    land(spark, source, "1", [(hour(0), 1, "a"), (hour(1), 2, "a")], EVENT)
+    land(spark, source, "2", [(hour(24 * 8), 1, "a")], EVENT)
+    counts = jobs.window_counts(stream(spark, source, EVENT), "event_type", "ts", "7 days")
+    jobs.replace_stream(counts, out, cp)
+    assert sorted(r["n_events"] for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("repeat", [1, 2])
+def test_upsert_stream(spark, tmp_path, repeat):
+    schema = "k int, publication_date date, version int, v string"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    day = dt.date(2024, 1, 1)
+    land(spark, source, "1", [(1, day, 1, "a"), (2, day, 1, "b")], schema)
+    land(spark, source, "2", [(2, dt.date(2024, 2, 1), 2, "B"), (3, day, 1, "c")], schema)
+    newest = [F.desc("version"), F.asc("v")]
+    for i in range(repeat):
+        # A new checkpoint replays all files, as after a lost commit.
+        jobs.upsert_stream(stream(spark, source, schema), out, str(tmp_path / f"cp{i}"), ["k"], newest)
+    got = sorted((r["k"], r["v"]) for r in spark.read.parquet(out).collect())
+    assert got == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_pages_are_ingested_once(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    journals = spark.createDataFrame([("j", 0, "S", "Q1")], schemas.JOURNAL)
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run():
+        pages = jobs.read_stream(spark, str(source), schemas.LANDED_PAGE, "json")
+        plan.ingest_pages(pages, journals, out, cp)
+        return spark.read.parquet(out).count()
+
+    (source / "1.json").write_text(json.dumps(page("j", 1, "*", "c2", works=(1, 2))))
+    assert run() == run() == 2
+    failed = page("j", 2, "c2", "c3", status=500)
+    (source / "2.json").write_text(json.dumps(failed) + "\n" + json.dumps(page("x", 1, "*", None)))
+    assert run() == 2
+    (source / "3.json").write_text(json.dumps(page("j", 3, "c3", None)))
+    assert run() == 3
