@@ -294,7 +294,36 @@ def windows(starts: str) -> str:
 WEEK = "time_bucket(interval '7 days', ts, timestamp '1970-01-01')"
 
 
+# Columns that are dates or times in the twins, per query.
+PUBLISHED = """
+    works_from_pages first_page_per_journal archive_snapshot archive_append archive_rows
+    archive_rows_legacy archive_fillna recent_works works_in_years dashboard_filtered works_enriched
+    archive_with_grade digest_selection archive_sorted dashboard_main_table union_batches
+    union_schema_drift stream_ingest stream_ingest_pages stream_upsert stream_enrich
+""".split()
+TEMPORAL: dict[str, tuple[str, ...]] = {
+    **dict.fromkeys(PUBLISHED, ("publication_date",)),
+    **dict.fromkeys(("volume_by_month", "volume_by_quarter"), ("period_start",)),
+    **dict.fromkeys(("digest_html", "digest_published", "run_artifacts"), ("run_date",)),
+    **dict.fromkeys(("stream_weekly_counts", "stream_rolling_counts"), ("window_start", "window_end")),
+    "archive_upsert": ("publication_date", "pulled_on"),
+    "stream_dedup": ("day",),
+}
+
+
+def iso_dates(sql: str, columns: tuple[str, ...]) -> str:
+    if not columns:
+        return sql
+    casts = ", ".join(f"cast({c} as varchar) as {c}" for c in columns)
+    return f"select * replace ({casts}) from ({sql}) r"
+
+
 def all_oracles() -> dict[str, str]:
+    """Twin of every registered query, with dates and times as ISO text."""
+    return {name: iso_dates(sql, TEMPORAL.get(name, ())) for name, sql in _twins().items()}
+
+
+def _twins() -> dict[str, str]:
     return {
         "journal_registry": q(
             "journals", "select issn, journal_ord, journal_name, subject, grade from journals"
@@ -496,6 +525,13 @@ def all_oracles() -> dict[str, str]:
                 from (select string_agg(section, '' order by section_ord) as sections,
                              sum(n_articles) as n_articles from sections) s, briefing"""
         ),
+        "digest_published": digest_q(
+            f"""select date '2001-08-01' as run_date,
+                md5({filled(T.page, briefing_en='briefing_en', briefing_he='briefing_he',
+                            sections='sections')} || chr(10)) as value_md5
+                from (select string_agg(section, '' order by section_ord) as sections
+                      from sections) s, briefing"""
+        ),
         "digest_teaser": digest_q(
             f"""select md5({filled(T.teaser, briefing_en=linked('briefing_en', RUN_PAGE),
                 briefing_he=linked('briefing_he', RUN_PAGE), page_url=lit(RUN_PAGE))}) as html_md5

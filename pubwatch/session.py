@@ -28,8 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/pubwatch/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses.
+
+    All paths of one application lie in one folder, which can go when the application has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/pubwatch/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
