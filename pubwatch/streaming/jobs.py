@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pubwatch.functions.times import utc_wall_clock
 from pubwatch.operators.joins import enrich
 from pubwatch.sources.tables import upsert_table
 
@@ -77,15 +78,19 @@ def dedup_stream(stream: DataFrame, key: Sequence[str], event_time: str, slack:
 def window_counts(
     stream: DataFrame, key: str, event_time: str, length: str, slide: str | None = None, slack: str = "1 day"
 ) -> DataFrame:
-    """Rows per key and event-time window, tumbling or, with ``slide``, sliding."""
+    """Rows per key and event-time window, tumbling or, with ``slide``, sliding.
+
+    Windows start at multiples of their step from 1970-01-01 UTC. Appending the result gives closed
+    windows only, and their state goes; :func:`replace_stream` keeps all of them, open ones included.
+    """
     span = F.window(event_time, length, slide)
     return (
         stream.withWatermark(event_time, slack)
         .groupBy(span.alias("span"), key)
         .agg(F.count("*").alias("n_events"))
         .select(
-            F.col("span.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("span.end").cast("timestamp_ntz").alias("window_end"),
+            utc_wall_clock(F.col("span.start")).alias("window_start"),
+            utc_wall_clock(F.col("span.end")).alias("window_end"),
             key,
             "n_events",
         )

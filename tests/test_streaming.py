@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from pubwatch.functions.times import utc_instant, utc_wall_clock
 from pubwatch.plans import archive as plan
 from pubwatch.sources import schemas
 from pubwatch.streaming import jobs
@@ -30,6 +31,22 @@ def hour(h):
     return START + dt.timedelta(hours=h)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_session(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        times = ["2024-03-10 02:30:00", "2024-11-03 01:30:00", "1969-12-31 23:59:59"]
+        df = spark.createDataFrame([(t,) for t in times], "x string")
+        instant = utc_instant(F.col("x").cast("timestamp_ntz"))
+        back = df.select(utc_wall_clock(instant).cast("string").alias("x"), F.unix_seconds(instant).alias("s"))
+        rows = back.collect()
+        assert [r["x"] for r in rows] == times
+        assert rows[2]["s"] == -1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_ingest_goes_on_from_its_checkpoint(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / d) for d in ("in", "out", "cp"))
     land(spark, source, "1", [(hour(0), 1, "a")], EVENT)
@@ -54,7 +71,7 @@ def test_closed_windows_only(spark, tmp_path):
     schema = spark.read.parquet(str(TESTDATA / "sf0.01" / "events.parquet")).schema
     events = jobs.read_stream(
         spark, str(TESTDATA / "sf0.01"), schema, file_filter="events.parquet"
-    ).withColumn("ts", F.col("ts").cast("timestamp"))
+    ).withColumn("ts", utc_instant(F.col("ts")))
     out = str(tmp_path / "out")
     jobs.append_stream(jobs.window_counts(events, "event_type", "ts", "7 days"), out, str(tmp_path / "cp"))
     # The last of five weeks is still open.
