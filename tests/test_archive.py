@@ -1,13 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from pubwatch.operators import projections, sets
+from pubwatch.params import RunParams
+from pubwatch.plans import archive as plan
 from pubwatch.session import shared_dir
-from pubwatch.sources import schemas, tables
+from pubwatch.sources import landing, schemas, tables
+from tests.test_landing import page
 
 def newest():
     return [F.desc("version"), F.asc("v")]
@@ -117,3 +121,41 @@ def test_shared_folder_is_the_configured_one(spark):
         assert shared_dir(spark) == configured.rstrip("/")
     else:
         assert shared_dir(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def test_daily_runs(spark, tmp_path):
+    pages = [
+        page("j", 1, "*", "c2", works=(1, 2)),
+        page("j", 2, "c2", None, works=(3,)),
+        page("other", 1, "*", None),
+    ]
+    pages[0]["results"][0]["publication_date"] = "2024-04-29"
+    (tmp_path / "p.json").write_text("\n".join(json.dumps(p) for p in pages))
+    landed = landing.read_landed_pages(spark, str(tmp_path / "p.json"))
+    journals = spark.createDataFrame([("j", 0, "S", "Q2")], schemas.JOURNAL)
+    params = RunParams(as_of=dt.date(2024, 5, 1), lookback_days=1)
+    appended, merged = str(tmp_path / "appended"), str(tmp_path / "merged")
+    newest_pull = [F.desc("pulled_on"), F.asc("link")]
+    for _ in range(2):
+        assert plan.daily_append(landed, journals, params, appended)
+        plan.daily_upsert(landed, journals, params, merged, newest_pull)
+    # Two works are recent enough; a repeated append repeats them, a repeated upsert does not.
+    assert spark.read.parquet(appended).count() == 4
+    rows_ = spark.read.parquet(merged).collect()
+    assert sorted(r["link"] for r in rows_) == ["dj-1-2", "dj-2-3"]
+    assert {(r["subject"], r["grade"], str(r["pulled_on"])) for r in rows_} == {("S", "Q2", "2024-05-01")}
+
+
+def test_refresh_is_sorted(spark, tmp_path):
+    pages = [page("j", 1, "*", None, works=(1, 2, 3))]
+    for work, day in zip(pages[0]["results"], ("2024-01-01", "2024-03-01", "2023-01-01"), strict=True):
+        work["publication_date"] = day
+    (tmp_path / "p.json").write_text(json.dumps(pages[0]))
+    landed = landing.read_landed_pages(spark, str(tmp_path / "p.json"))
+    journals = spark.createDataFrame([("j", 0, "S", "Q2")], schemas.JOURNAL)
+    path = str(tmp_path / "archive")
+    assert plan.refresh_archive(landed, journals, RunParams(as_of=dt.date(2024, 5, 1)), path)
+    got = [str(r["publication_date"]) for r in spark.read.parquet(path).collect()]
+    assert got == ["2024-03-01", "2024-01-01"]
+    numbered = plan.sorted_archive(spark.read.parquet(path)).orderBy("row_no").collect()
+    assert [(r["row_no"], str(r["publication_date"])) for r in numbered] == [(1, "2024-03-01"), (2, "2024-01-01")]
