@@ -258,6 +258,10 @@ def dashboard(subjects: str) -> str:
         and publication_date between date '1996-04-01' and date '2000-12-31'"""
 
 
+METADATA = """
+    select journal_name, grade as journal_grade from landed_works
+    qualify row_number() over (partition by issn order by publication_date desc, work_id) = 1
+"""
 DASHBOARD = dashboard("'AFRICA', 'ASIA', 'EUROPE'")
 DASHBOARD_BIG = dashboard("'NATION_1', 'NATION_5', 'NATION_9', 'NATION_17'")
 PULLS = f"""
@@ -296,7 +300,7 @@ WEEK = "time_bucket(interval '7 days', ts, timestamp '1970-01-01')"
 
 # Columns that are dates or times in the twins, per query.
 PUBLISHED = """
-    works_from_pages first_page_per_journal archive_snapshot archive_append archive_rows
+    works_from_pages archive_refresh snapshot_guard first_page_per_journal archive_snapshot archive_append archive_rows
     archive_rows_legacy archive_fillna recent_works works_in_years dashboard_filtered works_enriched
     archive_with_grade digest_selection archive_sorted dashboard_main_table union_batches
     union_schema_drift stream_ingest stream_ingest_pages stream_upsert stream_enrich
@@ -305,7 +309,10 @@ TEMPORAL: dict[str, tuple[str, ...]] = {
     **dict.fromkeys(PUBLISHED, ("publication_date",)),
     **dict.fromkeys(("volume_by_month", "volume_by_quarter"), ("period_start",)),
     **dict.fromkeys(("digest_html", "digest_published", "run_artifacts"), ("run_date",)),
-    **dict.fromkeys(("stream_weekly_counts", "stream_rolling_counts"), ("window_start", "window_end")),
+    **dict.fromkeys(
+        ("stream_weekly_counts", "stream_rolling_counts", "stream_closed_windows"),
+        ("window_start", "window_end"),
+    ),
     "archive_upsert": ("publication_date", "pulled_on"),
     "stream_dedup": ("day",),
 }
@@ -345,13 +352,7 @@ def _twins() -> dict[str, str]:
                  order by publication_date desc, work_id) as pos, work_id, publication_date
                from works qualify pos <= 15""",
         ),
-        "journal_metadata": q(
-            "works journals",
-            """select journal_name, grade as journal_grade from landed_works
-               qualify row_number() over (partition by issn
-                 order by publication_date desc, work_id) = 1""",
-            **CHAIN,
-        ),
+        "journal_metadata": q("works journals", METADATA, **CHAIN),
         "archive_snapshot": q(
             "works journals",
             """select work_id, subject, journal_name, coalesce(title, 'Untitled') as title,
@@ -359,6 +360,17 @@ def _twins() -> dict[str, str]:
                from landed_works""",
             **CHAIN,
         ),
+        "archive_refresh": q(
+            "works journals",
+            """select subject, journal_name, coalesce(title, 'Untitled') as title, work_id,
+                 publication_date, grade, cited_by_count as citations, coalesce(doi, id) as link
+               from landed_works
+               where issn not in (select issn from flags where kept = 0)
+                 and year(publication_date) between 1995 and 2001""",
+            **CHAIN,
+        ),
+        "snapshot_guard": archive_q(f"select {ROW7} from archive"),
+        "metadata_table": q("works journals", METADATA, **CHAIN),
         "archive_append": archive_q(
             f"""select {ROW7} from archive union all
                 select subject, journal_name, title, publication_date, null, citations, link
@@ -401,6 +413,11 @@ def _twins() -> dict[str, str]:
             """select work_id, issn, cited_by_count from works_big
                where issn in (select issn from journals_big where grade = 'Q1')""",
         ),
+        "works_with_abstract": q(
+            "works",
+            """select work_id, md5(abstract) as abstract_md5 from works
+               where abstract is not null and abstract <> ''""",
+        ),
         "dashboard_filtered": archive_q(f"select {ROW7} from archive where {DASHBOARD}"),
         "works_enriched": q(
             "works_big journals_big",
@@ -469,6 +486,22 @@ def _twins() -> dict[str, str]:
         "digest_selection": digest_q(
             "select subject, paper_no, issn, work_id, publication_date from selected"
         ),
+        "digest_from_pages": q(
+            "works journals",
+            f"""select subject, row_number() over (partition by subject order by journal_ord, pos)
+                  as paper_no, work_id, md5(abstract) as abstract_md5
+                from (select l.work_id, j.subject, j.journal_ord,
+                        nullif(array_to_string(list_filter(regexp_split_to_array(l.abstract,
+                          '{SPACE}+'), lambda w: w <> ''), ' '), '') as abstract,
+                        row_number() over (partition by issn
+                          order by l.publication_date desc, l.work_id) as pos
+                      from landed_works l join journals j using (issn)
+                      where j.grade = 'Q1' and l.publication_date >= {SINCE}
+                      qualify pos <= 15) p
+                where abstract is not null
+                qualify paper_no <= 5""",
+            **CHAIN,
+        ),
         "archive_sorted": q(
             "works_big journals_big",
             f"""select journal_name, publication_date, work_id, cited_by_count as citations,
@@ -511,6 +544,12 @@ def _twins() -> dict[str, str]:
         "rewrite_anchor_links": q(
             "linked_texts", f"select doc_id, md5({linked('html', PAGE_URL)}) as html_md5 from linked_texts"
         ),
+        "link_anchors": q(
+            "linked_texts",
+            f"""select doc_id, unnest(anchors) as anchor, generate_subscripts(anchors, 1) - 1 as pos
+                from (select doc_id, regexp_extract_all(html, {lit(fixed.ANCHOR_LINK_PATTERN)}, 1)
+                        as anchors from linked_texts) t""",
+        ),
         "split_recipients": f"""
             select doc_id, unnest(parts) as recipient, generate_subscripts(parts, 1) - 1 as pos
             from (select doc_id, list_filter(list_transform(string_split(text, ','),
@@ -538,6 +577,7 @@ def _twins() -> dict[str, str]:
                 from briefing"""
         ),
         "html_restyle": f"select page_id, md5({restyled()}) as html_md5 from pages",
+        "pages_rewritten": f"select page_id, url, md5({restyled()}) as html_md5 from pages",
         "run_artifacts": q(
             "works_big",
             f"""select run_date, file_name, '{PARAMS.base_url}/' || file_name as page_url
@@ -613,6 +653,10 @@ def _twins() -> dict[str, str]:
         "stream_rolling_counts": windows(
             "date_trunc('day', ts) - to_days(cast(unnest(range(7)) as integer))"
         ),
+        "stream_closed_windows": f"""
+            select * from ({windows(WEEK)}) w
+            where window_end <= (select max(ts) from events) - interval 1 day
+        """,
         "stream_upsert": q(
             "works_big",
             """select issn, l_orderkey, l_linenumber, publication_date, cited_by_count from works_big

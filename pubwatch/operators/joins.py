@@ -86,7 +86,7 @@ def registered_works(
     works: DataFrame, journals: DataFrame, spread: Sequence[str] = ("work_id",)
 ) -> DataFrame:
     """Works of registered journals, unchanged."""
-    return dimension_join(works, journals.select("issn").distinct(), "issn", "left_semi", spread)
+    return dimension_join(works, journals.select("issn"), "issn", "left_semi", spread)
 
 
 def archive_with_grade(

@@ -14,7 +14,7 @@ from pubwatch.sources import schemas
 
 
 def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed page envelopes, one JSON object per line, against the declared schema."""
+    """Landed page envelopes of one pull, one JSON object per line, against the declared schema."""
     return spark.read.schema(schemas.LANDED_PAGE).json(path)
 
 

@@ -59,7 +59,8 @@ def upsert_table(path: str, new: DataFrame, key: Sequence[str], newest: Sequence
     """Merge ``new`` into the archive at ``path`` and rewrite only the month folders it touches.
 
     A key stays in the month folder it first landed in, also when its publication date moves, so
-    one key never lies in two folders. A repeated call changes nothing.
+    one key never lies in two folders. A repeated call changes nothing. The merged months are whole
+    in the shared folder before the first old one is replaced.
     """
     spark = new.sparkSession
     month = F.coalesce(F.date_format("publication_date", "'m'yyyy-MM"), F.lit("undated"))
@@ -83,7 +84,8 @@ def upsert_table(path: str, new: DataFrame, key: Sequence[str], newest: Sequence
     if not months:
         return
     old = archive.where(F.col(MONTH).isin(*months))
-    _write_months(latest_versions(old.unionByName(placed), key, newest), path)
+    merged = materialise(latest_versions(old.unionByName(placed), key, newest), "upsert-merged")
+    _write_months(merged, path)
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
