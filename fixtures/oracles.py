@@ -300,8 +300,8 @@ WEEK = "time_bucket(interval '7 days', ts, timestamp '1970-01-01')"
 
 # Columns that are dates or times in the twins, per query.
 PUBLISHED = """
-    works_from_pages archive_refresh snapshot_guard first_page_per_journal archive_snapshot archive_append archive_rows
-    archive_rows_legacy archive_fillna recent_works works_in_years dashboard_filtered works_enriched
+    works_from_pages archive_refresh snapshot_guard first_page_per_journal archive_snapshot
+    archive_append archive_rows archive_rows_legacy archive_fillna recent_works works_in_years dashboard_filtered works_enriched
     archive_with_grade digest_selection archive_sorted dashboard_main_table union_batches
     union_schema_drift stream_ingest stream_ingest_pages stream_upsert stream_enrich
 """.split()
@@ -615,7 +615,8 @@ def _twins() -> dict[str, str]:
         "summarise_udf": q(
             "works",
             f"""select work_id,
-                  cast(case when size is null then 0 when size % 7 = 0 then 3 else 1 end as bigint) as attempts,
+                  cast(case when size is null then 0 when size % 7 = 0 then 3 else 1 end as bigint)
+                    as attempts,
                   case when size is null then 'no_abstract' when size % 7 = 0 then 'exhausted'
                     when size % 7 = 1 then 'failed' when size % 7 = 2 then 'unlabelled' else 'ok' end
                     as status,

@@ -143,20 +143,26 @@ def _landed_path(spark: SparkSession, sf_dir: str) -> str:
         F.struct(F.struct(F.col("journal_name").alias("display_name")).alias("source")),
     )
     work = F.struct(
-        F.col("id"),
-        F.col("doi"),
-        F.col("title"),
+        "id",
+        "doi",
+        "title",
         F.col("publication_date").cast("string").alias("publication_date"),
-        F.col("cited_by_count"),
+        "cited_by_count",
         location.alias("primary_location"),
-        build_inverted_index(F.col("abstract")).alias("abstract_inverted_index"),
+        "abstract",
+    )
+    results = F.transform(
+        "works",
+        lambda w: w.withField(
+            "abstract_inverted_index", build_inverted_index(w["abstract"])
+        ).dropFields("abstract"),
     )
     pages = (
         dimension_join(dimension_join(numbered, starts, "issn"), names, "issn")
         .withColumn("page_no", page_no)
         .withColumn("last_page", last_page)
         .groupBy("issn", "page_no", "last_page")
-        .agg(F.collect_list(work).alias("results"))
+        .agg(F.collect_list(work).alias("works"))
     )
     landed = pages.select(
         "issn",
@@ -169,7 +175,7 @@ def _landed_path(spark: SparkSession, sf_dir: str) -> str:
             F.col("page_no") < F.col("last_page"),
             F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string")),
         ).alias("next_cursor"),
-        F.when(~failed, F.col("results")).alias("results"),
+        F.when(~failed, results).alias("results"),
     )
     path = new_path(spark, "fixture-landed")
     landed.write.json(f"{path}/json")

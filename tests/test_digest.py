@@ -76,7 +76,8 @@ def test_cap_holds_for_any_partitioning(spark, journals):
     results = []
     for partitions in (1, 3, 9):
         df = frame(spark, works).repartition(partitions)
-        results.append(sorted(map(tuple, select_works(df, journals, PARAMS).select("work_id", "subject", "paper_no").collect())))
+        rows = select_works(df, journals, PARAMS).select("work_id", "subject", "paper_no").collect()
+        results.append(sorted(map(tuple, rows)))
     assert results[0] == results[1] == results[2]
     counts = {}
     for _, subject, _ in results[0]:

@@ -39,8 +39,8 @@ def test_times_do_not_depend_on_the_session(spark, zone):
         times = ["2024-03-10 02:30:00", "2024-11-03 01:30:00", "1969-12-31 23:59:59"]
         df = spark.createDataFrame([(t,) for t in times], "x string")
         instant = utc_instant(F.col("x").cast("timestamp_ntz"))
-        back = df.select(utc_wall_clock(instant).cast("string").alias("x"), F.unix_seconds(instant).alias("s"))
-        rows = back.collect()
+        back = utc_wall_clock(instant).cast("string")
+        rows = df.select(back.alias("x"), F.unix_seconds(instant).alias("s")).collect()
         assert [r["x"] for r in rows] == times
         assert rows[2]["s"] == -1
     finally:
