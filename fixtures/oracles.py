@@ -195,6 +195,35 @@ DIGEST = {
         from articles having count(*) > 0
     """,
 }
+
+
+def stub_answer(request: str, tier: summaries.Tier) -> tuple[str, str]:
+    """What the stand-in summariser leads to for a request, in both languages."""
+    size = f"length({request})"
+
+    def text(i: int, unlabelled: str, labelled: str) -> str:
+        return f"""case {size} % 7 when 0 then {lit(tier.exhausted[i])} when 1 then {lit(tier.failed[i])}
+            when 2 then {unlabelled} else {labelled} end"""
+
+    words = f"{size} || ' characters'"
+    return text(0, words, words), text(1, lit(tier.unlabelled_he), f"cast({size} as varchar)")
+
+
+ARTICLE_ANSWER = stub_answer(
+    filled(summaries.ARTICLE_REQUEST, title="title", abstract="abstract"), summaries.ARTICLE
+)
+DOMAIN_ANSWER = stub_answer(
+    filled(summaries.DOMAIN_REQUEST, subject="subject", context="context"), summaries.DOMAIN
+)
+GLOBAL_ANSWER = stub_answer(filled(summaries.GLOBAL_REQUEST, context="context"), summaries.GLOBAL)
+SUMMARISED = {
+    **DIGEST,
+    "articles": f"""
+        select * exclude (summary_en, summary_he), {ARTICLE_ANSWER[0]} as summary_en,
+               {ARTICLE_ANSWER[1]} as summary_he
+        from ({DIGEST['articles']}) a
+    """,
+}
 RUN_PAGE = f"{PARAMS.base_url}/{PARAMS.file_prefix}{PARAMS.as_of.isoformat()}.html"
 
 
@@ -632,6 +661,14 @@ def _twins() -> dict[str, str]:
                 from (select work_id, case when abstract is not null then length({REQUEST}) end as size
                       from works) w""",
         ),
+        "digest_summarised": q(
+            "works journals",
+            f"""select 'article' as tier, article_id as ref, summary_en as en, summary_he as he
+                from articles
+                union all select 'domain', subject, {DOMAIN_ANSWER[0]}, {DOMAIN_ANSWER[1]} from contexts
+                union all select 'global', 'digest', {GLOBAL_ANSWER[0]}, {GLOBAL_ANSWER[1]} from whole""",
+            **SUMMARISED,
+        ),
         "article_summaries": q(
             "works",
             f"select work_id, {SUMMARY_EN} as summary_en, {SUMMARY_HE} as summary_he from works",

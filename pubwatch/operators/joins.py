@@ -38,14 +38,15 @@ def dimension_join(
     """Join a large table with one that is usually small.
 
     A dimension of measured, bounded size is broadcast, so the facts are not shuffled. A larger one
-    is joined by shuffle, with hot keys split by the hash of the ``spread`` columns.
+    is joined by shuffle, with hot keys split by the hash of the ``spread`` columns. A stream cannot
+    be counted beforehand, so its keys are not split.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"not a facts-side join: {how}")
     if fits_broadcast(dim, max_rows):
         return facts.join(F.broadcast(dim), keys, how)
-    if not spread:
+    if not spread or facts.isStreaming:
         return facts.join(dim, keys, how)
     return salted_join(facts, dim, keys, how, spread)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -64,29 +65,38 @@ GLOBAL = Tier(
 )
 
 
-def summary_requests(
-    articles: DataFrame,
-    article_template: str = ARTICLE_REQUEST,
-    domain_template: str = DOMAIN_REQUEST,
-    global_template: str = GLOBAL_REQUEST,
-) -> DataFrame:
-    """``(tier, ref, request)``: one request per article and subject, and one for the digest."""
-    per_article = articles.select(
-        F.lit("article").alias("tier"),
-        F.col("article_id").alias("ref"),
-        fill(article_template, title=F.col("title"), abstract=F.col("abstract")).alias("request"),
+def article_requests(articles: DataFrame, template: str = ARTICLE_REQUEST) -> DataFrame:
+    """Articles with the text to send for each; NULL where there is no abstract."""
+    request = fill(template, title=F.col("title"), abstract=F.col("abstract"))
+    has_text = F.col("abstract").isNotNull() & (F.col("abstract") != "")
+    return articles.withColumn("request", F.when(has_text, request))
+
+
+def domain_requests(articles: DataFrame, template: str = DOMAIN_REQUEST) -> DataFrame:
+    """``(subject, request)``: the findings of each subject."""
+    request = fill(template, subject=F.col("subject"), context=F.col("context"))
+    return domain_context(articles).select("subject", request.alias("request"))
+
+
+def global_requests(articles: DataFrame, template: str = GLOBAL_REQUEST) -> DataFrame:
+    """``(n_findings, request)``: all findings of the digest, in at most one row."""
+    request = fill(template, context=F.col("context"))
+    return global_context(articles).select(
+        F.col("n_articles").alias("n_findings"), request.alias("request")
     )
-    per_domain = domain_context(articles).select(
-        F.lit("domain").alias("tier"),
-        F.col("subject").alias("ref"),
-        fill(domain_template, subject=F.col("subject"), context=F.col("context")).alias("request"),
+
+
+def summary_requests(articles: DataFrame) -> DataFrame:
+    """``(tier, ref, request)``: one request per article and subject, and one for the digest."""
+    parts = (
+        ("article", F.col("article_id"), article_requests(articles)),
+        ("domain", F.col("subject"), domain_requests(articles)),
+        ("global", F.lit("digest"), global_requests(articles)),
     )
-    whole = global_context(articles).select(
-        F.lit("global").alias("tier"),
-        F.lit("digest").alias("ref"),
-        fill(global_template, context=F.col("context")).alias("request"),
+    return reduce(
+        DataFrame.unionByName,
+        [part.select(F.lit(tier).alias("tier"), ref.alias("ref"), "request") for tier, ref, part in parts],
     )
-    return per_article.unionByName(per_domain).unionByName(whole)
 
 
 def retryable(error: Column, tier: Tier) -> Column:
@@ -132,13 +142,17 @@ def summarise_with(
     tier: Tier = ARTICLE,
     max_attempts: int = 3,
     pause: Callable[[int], None] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Run a caller's summariser over the ``request`` column and add status, en, he and attempts.
 
     The summariser gets a list of texts and returns one ``(response, error)`` per text. Only the
     rows with a retryable error go into the next attempt; ``pause`` may wait between attempts. A
     lost task runs again, so the summariser may see a text twice. A NULL request is never sent.
+    ``tasks`` sets how many calls may run side by side.
     """
+    if tasks is not None:
+        requests = requests.repartition(tasks)
     codes = tier.codes
 
     def again(error: str | None) -> bool:

@@ -31,27 +31,49 @@ def select_works(works: DataFrame, journals: DataFrame, params: RunParams) -> Da
 
 @dataclass(frozen=True)
 class Digest:
-    """The tables of one run. The selection is written once; all that follows reads it."""
+    """The tables of one run. The selection is written once; all that follows reads it.
+
+    Summaries are extractive, or come from a caller's ``summariser``. Its answers are written too, so
+    that no text is sent again for another reader.
+    """
 
     works: DataFrame
     journals: DataFrame
     params: RunParams
     templates: rendering.Templates = rendering.DEFAULT
+    summariser: summaries.Summariser | None = None
+    tasks: int | None = None
+
+    def _summarise(self, requests: DataFrame, tier: summaries.Tier, en: str, he: str) -> DataFrame:
+        answers = summaries.summarise_with(
+            requests, self.summariser, tier, self.params.max_attempts, tasks=self.tasks
+        )
+        named = answers.withColumnsRenamed({"en": en, "he": he})
+        return materialise(named.drop("request", "attempts", "status"), "summaries")
 
     @cached_property
     def articles(self) -> DataFrame:
         """Numbered articles with their summaries: at most cap x subjects rows."""
         selected = select_works(self.works, self.journals, self.params)
         nodes = article_nodes(ranking.number_articles(selected))
-        return materialise(summaries.article_summaries(nodes), "digest-articles")
+        if self.summariser is None:
+            return materialise(summaries.article_summaries(nodes), "digest-articles")
+        requests = summaries.article_requests(materialise(nodes, "digest-articles"))
+        return self._summarise(requests, summaries.ARTICLE, "summary_en", "summary_he")
 
-    @property
+    @cached_property
     def domain_summaries(self) -> DataFrame:
-        return summaries.domain_summaries(self.articles)
+        if self.summariser is None:
+            return summaries.domain_summaries(self.articles)
+        requests = summaries.domain_requests(self.articles)
+        return self._summarise(requests, summaries.DOMAIN, "domain_summary_en", "domain_summary_he")
 
-    @property
+    @cached_property
     def briefing(self) -> DataFrame:
-        return summaries.global_briefing(self.articles)
+        if self.summariser is None:
+            return summaries.global_briefing(self.articles)
+        requests = summaries.global_requests(self.articles)
+        return self._summarise(requests, summaries.GLOBAL, "briefing_en", "briefing_he")
 
     @property
     def sections(self) -> DataFrame:

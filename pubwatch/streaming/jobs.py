@@ -71,6 +71,8 @@ def dedup_stream(stream: DataFrame, key: Sequence[str], event_time: str, slack:
     """The first row per key. Copies may come up to ``slack`` apart; state is dropped after it.
 
     Rows later than ``slack`` are dropped too. Where no row may be lost, use :func:`upsert_stream`.
+    The copies of one key within a batch meet in one task; ``files_per_batch`` of the source bounds
+    them, whatever the size of the table.
     """
     return stream.withWatermark(event_time, slack).dropDuplicatesWithinWatermark(list(key))
 

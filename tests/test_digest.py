@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -274,3 +275,35 @@ def test_retry_pending_has_no_text(spark):
     first, last = df.select(outcome.alias("o")).collect()
     assert tuple(first["o"]) == ("retryable", None, None)
     assert last["o"]["status"] == "exhausted"
+
+
+class Echo:
+    """Answers every request with links to what it was asked about."""
+
+    def __call__(self, texts):
+        answers = []
+        for t in texts:
+            ids = re.findall(r"ID: (art-\d+)", t)
+            links = " ".join(f"<a href='#{i}'>{i}</a>" for i in ids)
+            kind = "global" if ids else "domain" if "Key Finding" in t else "article"
+            answers.append((f"English: {kind} {links}\nHebrew: he-{kind}", None))
+        return answers
+
+
+def test_digest_with_a_summariser(digest):
+    run = Digest(digest.works, digest.journals, PARAMS, summariser=Echo(), tasks=2)
+    articles = run.articles.orderBy("article_no").collect()
+    assert [(a["article_id"], a["summary_en"], a["summary_he"]) for a in articles] == [
+        (f"art-{i}", "article", "he-article") for i in (1, 2, 3)
+    ]
+    assert {r["domain_summary_he"] for r in run.domain_summaries.collect()} == {"he-domain"}
+    assert dangling(run).count() == 0
+    html = run.page.first()["html"]
+    # The briefing keeps its links; the other tiers are plain text.
+    assert "global <a href='#art-1'>art-1</a>" in html
+    assert run.teaser.first()["html"].count(run.page_url + "#art-") == 3
+
+
+def test_empty_digest_asks_nothing(spark, journals):
+    run = Digest(frame(spark, [work(1, "a", 100)]), journals, PARAMS, summariser=Echo())
+    assert run.briefing.count() == run.domain_summaries.count() == run.articles.count() == 0

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pubwatch.functions.times import utc_instant, utc_wall_clock
+from pubwatch.operators import joins
 from pubwatch.plans import archive as plan
 from pubwatch.sources import schemas
 from pubwatch.streaming import jobs
@@ -120,3 +121,32 @@ def test_pages_are_ingested_once(spark, tmp_path):
     assert run() == 2
     (source / "3.json").write_text(json.dumps(page("j", 3, "c3", None)))
     assert run() == 3
+
+
+def test_stream_joins_a_large_registry(spark, tmp_path, monkeypatch):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    land(spark, source, "1", [(1, "hot"), (2, "hot"), (3, "none")], "work_id int, issn string")
+    journals = spark.createDataFrame([("hot", "S"), ("cold", "T")], "issn string, subject string")
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *_: False)
+    enriched = jobs.enrich_stream(stream(spark, source, "work_id int, issn string"), journals, ["work_id"])
+    jobs.append_stream(enriched, out, str(tmp_path / "cp"))
+    assert sorted((r["work_id"], r["subject"]) for r in spark.read.parquet(out).collect()) == [
+        (1, "S"),
+        (2, "S"),
+    ]
+
+
+def test_rows_later_than_the_slack_are_dropped_but_never_by_upsert(spark, tmp_path):
+    schema = "ts timestamp, user_id int, event_type string, publication_date date"
+    source, out, kept = (str(tmp_path / d) for d in ("in", "out", "kept"))
+    day = dt.date(2024, 1, 1)
+    # Spark compares rows with the watermark of the batch before, so the late file comes last.
+    for name, hours, user in (("1", 0, 1), ("2", 72, 2), ("3", 73, 4), ("4", 1, 3)):
+        land(spark, source, name, [(hour(hours), user, "a", day)], schema)
+    unique = jobs.dedup_stream(stream(spark, source, schema), ["user_id"], "ts", "1 day")
+    jobs.append_stream(unique, out, str(tmp_path / "cp1"))
+    assert {r["user_id"] for r in spark.read.parquet(out).collect()} == {1, 2, 4}
+    jobs.upsert_stream(
+        stream(spark, source, schema), kept, str(tmp_path / "cp2"), ["user_id"], [F.desc("ts")]
+    )
+    assert {r["user_id"] for r in spark.read.parquet(kept).collect()} == {1, 2, 3, 4}
