@@ -28,27 +28,20 @@ def restore_abstract(index: Column) -> Column:
             ),
         )
     )
-    winners = let(
-        F.sort_array(placed),
-        lambda all_: F.filter(
-            all_, lambda x, i: ~F.get(all_, i + 1)["position"].eqNullSafe(x["position"])
-        ),
-    )
-    text = let(
-        winners,
-        lambda kept: F.array_join(
-            F.transform(
-                kept,
-                lambda x, i: F.concat(
-                    F.repeat(
-                        F.lit(" "), F.coalesce(x["position"] - F.get(kept, i - 1)["position"], F.lit(0))
-                    ),
-                    x["word"],
-                ),
-            ),
-            "",
-        ),
-    )
+
+    def spaced(all_: Column) -> Column:
+        def word(x: Column, i: Column) -> Column:
+            gap = F.get(all_, i + 1)["position"] - x["position"]
+            return (
+                F.when(gap == 1, F.concat(x["word"], F.lit(" ")))
+                .when(gap.isNull(), x["word"])
+                .when(gap > 1, F.concat(x["word"], F.repeat(F.lit(" "), gap)))
+            )
+
+        # A word that a later one replaces has gap 0 and becomes NULL, which the join leaves out.
+        return F.array_join(F.transform(all_, word), "")
+
+    text = let(F.sort_array(placed), spaced)
     return F.nullif(strip_space(text), F.lit(""))
 
 

@@ -26,6 +26,14 @@ def test_strip_and_split_agree_on_whitespace(spark):
         assert one(spark, text.words(F.col("x")), f"{char}a{char}b{char}") == ["a", "b"]
 
 
+def test_no_other_character_splits_words(spark):
+    # Surrogates and NUL aside, every character of the first plane stands between two letters.
+    codes = [c for c in range(1, 0x10000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(chr(c), f"a{chr(c)}b") for c in codes], "c string, x string")
+    split = df.where(F.size(text.words(F.col("x"))) == 2).select("c").collect()
+    assert {r["c"] for r in split} == set(fixed.WHITESPACE)
+
+
 @pytest.mark.parametrize(
     ("index", "expected"),
     [
