@@ -336,7 +336,7 @@ PUBLISHED = """
 """.split()
 TEMPORAL: dict[str, tuple[str, ...]] = {
     **dict.fromkeys(PUBLISHED, ("publication_date",)),
-    **dict.fromkeys(("volume_by_month", "volume_by_quarter"), ("period_start",)),
+    **dict.fromkeys(("volume_by_month", "volume_by_quarter", "filtered_volume"), ("period_start",)),
     **dict.fromkeys(("digest_html", "digest_published", "run_artifacts"), ("run_date",)),
     **dict.fromkeys(
         ("stream_weekly_counts", "stream_rolling_counts", "stream_closed_windows"),
@@ -362,7 +362,8 @@ def all_oracles() -> dict[str, str]:
 def _twins() -> dict[str, str]:
     return {
         "journal_registry": q(
-            "journals", "select issn, journal_ord, journal_name, subject, grade from journals"
+            "journals_big",
+            "select issn, cast(journal_ord as int) as journal_ord, subject, grade from journals_big",
         ),
         "works_from_pages": q(
             "works journals",
@@ -502,6 +503,17 @@ def _twins() -> dict[str, str]:
         ),
         "volume_by_month": volume("month"),
         "volume_by_quarter": volume("quarter"),
+        "filtered_volume": q(
+            "works_big journals_big",
+            f"""select cast(date_trunc('quarter', publication_date) as date) as period_start,
+                count(*) as n_articles from ({ENRICHED_BIG}) e where {DASHBOARD_BIG} group by 1""",
+        ),
+        "filtered_distribution": q(
+            "works_big journals_big",
+            f"""select subject, count(*) as n_articles,
+                round(count(*) / (sum(count(*)) over ()), 6) as share from ({ENRICHED_BIG}) e
+                where {DASHBOARD_BIG} group by subject""",
+        ),
         "domain_context": digest_q("select * from contexts"),
         "global_context": digest_q("select * from whole"),
         "fetch_completeness": q(

@@ -20,12 +20,15 @@ def union_schema_drift(archive: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def dedup_works(works: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The keys of overlapping pulls, each once. Copies are merged before the shuffle."""
-    return works.select(*key).distinct()
+    """Works of overlapping pulls, each key once. Copies are merged before the shuffle.
+
+    Copies of one key should be equal; where a newer one must win, use :func:`latest_versions`.
+    """
+    return works.dropDuplicates(list(key))
 
 
 def latest_versions(rows: DataFrame, key: Sequence[str], newest: Sequence[Column]) -> DataFrame:
-    """One row per key: the first in the ``newest`` order.
+    """One row per key: the first in the ``newest`` order, which must be total within a key.
 
     Only rank 1 is kept, so each map task sends one row per key and hot keys stay small.
     """

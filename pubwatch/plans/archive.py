@@ -40,7 +40,7 @@ def registry_columns(journals: DataFrame) -> DataFrame:
 def refresh_archive(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> bool:
     """Rebuild the archive from landed pages, unless a journal's pages broke off."""
     stops = chain_stops(landed)
-    works = works_from_pages(valid_prefix(landed, stops))
+    works = works_from_pages(valid_prefix(landed, stops), abstracts=False)
     in_range = works_in_years(works, params.first_year, params.last_year)
     rows = archive_rows(enrich(in_range, registry_columns(journals)), keep=("work_id",))
     return write_snapshot(fill_text(rows), path, fetch_completeness(landed, stops), archive_order())
@@ -66,15 +66,17 @@ def ingest_pages(pages: DataFrame, journals: DataFrame, path: str, checkpoint: s
     holds whole works. What is missing shows in the completeness report.
     """
     fetched = pages.where(F.col("status") == 200)
-    rows = archive_rows(enrich(works_from_pages(fetched), registry_columns(journals)), keep=("work_id",))
+    rows = archive_rows(enrich(works_from_pages(fetched, abstracts=False), registry_columns(journals)), keep=("work_id",))
     append_stream(fill_text(rows), path, checkpoint)
 
 
 def _daily_rows(landed: DataFrame, journals: DataFrame, params: RunParams) -> DataFrame:
-    works = recent_works(works_from_pages(valid_prefix(landed)), params.as_of, params.lookback_days)
+    works = works_from_pages(valid_prefix(landed), abstracts=False)
+    works = recent_works(works, params.as_of, params.lookback_days)
     return fill_text(archive_rows(enrich(works, registry_columns(journals)), keep=("work_id",)))
 
 
 def replace_metadata(landed: DataFrame, journals: DataFrame, path: str) -> None:
     """Create or replace the table of journal names and grades."""
-    replace_table(journal_metadata(works_from_pages(valid_prefix(landed)), journals), path)
+    works = works_from_pages(valid_prefix(landed), abstracts=False)
+    replace_table(journal_metadata(works, journals), path)

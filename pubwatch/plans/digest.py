@@ -14,18 +14,22 @@ from pubwatch.operators.joins import enrich
 from pubwatch.operators.projections import article_nodes
 from pubwatch.params import RunParams
 from pubwatch.session import materialise
+from pubwatch.sources.landing import with_abstract
 from pubwatch.sources.tables import write_digest
 
 
 def select_works(works: DataFrame, journals: DataFrame, params: RunParams) -> DataFrame:
-    """The works of a digest.
+    """The works of a digest, whose abstracts come as text or as inverted indexes.
 
     The page cut comes before the abstract filter, and the subject cap after both, so a page full
-    of works without abstract uses up its journal's turn.
+    of works without abstract uses up its journal's turn. Indexes are turned into text only for the
+    works that the page cut leaves.
     """
     graded = grade_gate(journals, params.digest_grade)
     recent = recent_works(works, params.as_of, params.lookback_days)
     paged = ranking.section_order(ranking.first_page(enrich(recent, graded), params.page_size))
+    if "abstract_inverted_index" in paged.columns:
+        paged = with_abstract(paged)
     return ranking.subject_cap(has_abstract(paged), params.subject_cap)
 
 

@@ -12,6 +12,8 @@ from pubwatch.operators.ranking import first_page
 from pubwatch.session import materialise
 from pubwatch.sources import schemas
 
+WORK_FIELDS = ("id", "title", "publication_date", "cited_by_count", "doi")
+
 
 def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed page envelopes of one pull, one JSON object per line, against the declared schema."""
@@ -110,10 +112,20 @@ def fetch_completeness(landed: DataFrame, stops: DataFrame | None = None) -> Dat
     return counts.join(stops.select("issn", "failed"), "issn")
 
 
-def works_from_pages(pages: DataFrame) -> DataFrame:
-    """Works of landed pages, one row each, with null-safe nested access."""
+def works_from_pages(pages: DataFrame, abstracts: bool = True) -> DataFrame:
+    """Works of landed pages, one row each, with null-safe nested access.
+
+    The wanted fields are zipped before they are exploded, as Spark prunes a nested scan to the
+    fields named before an explode. Without ``abstracts`` the indexes, by far the largest field, are
+    not read.
+    """
+    fields = {name: F.col(f"results.{name}") for name in WORK_FIELDS}
+    fields["journal_name"] = F.col("results.primary_location.source.display_name")
+    if abstracts:
+        fields["abstract_inverted_index"] = F.col("results.abstract_inverted_index")
+    zipped = F.arrays_zip(*[field.alias(name) for name, field in fields.items()])
     work = F.col("work")
-    return pages.select("issn", F.explode("results").alias("work")).select(
+    return pages.select("issn", F.explode(zipped).alias("work")).select(
         work["id"].alias("work_id"),
         "issn",
         work["title"].alias("title"),
@@ -121,10 +133,8 @@ def works_from_pages(pages: DataFrame) -> DataFrame:
         F.coalesce(work["cited_by_count"], F.lit(0)).alias("cited_by_count"),
         work["doi"].alias("doi"),
         work["id"].alias("id"),
-        F.coalesce(
-            work["primary_location"]["source"]["display_name"], F.lit(fixed.UNKNOWN_JOURNAL)
-        ).alias("journal_name"),
-        work["abstract_inverted_index"].alias("abstract_inverted_index"),
+        F.coalesce(work["journal_name"], F.lit(fixed.UNKNOWN_JOURNAL)).alias("journal_name"),
+        *([work["abstract_inverted_index"].alias("abstract_inverted_index")] if abstracts else []),
     )
 
 

@@ -7,57 +7,48 @@ from pyspark.sql import functions as F
 
 from pubwatch.sources import schemas
 
-OCC_HEALTH = "Occupational Health"
-OCC_SAFETY = "Occupational Safety"
-OCC_HYGIENE = "Occupational Hygiene"
-OCC_STRESS = "Occ. Health & Stress"
-APPLIED_PSYCH = "Applied Psych & Org Behavior"
-ERGONOMICS = "General & Physical Ergonomics"
-MUSCULOSKELETAL = "Musculoskeletal Health"
-COGNITIVE = "Cognitive Ergonomics & HCI"
-
 # The monitored journals (ISSN, subject, grade). Their order decides which works
 # fill a subject first.
 JOURNALS = (
-    ("0355-3140", OCC_HEALTH, "Q1"),
-    ("1351-0711", OCC_HEALTH, "Q1"),
-    ("1076-2752", OCC_HEALTH, "Q2"),
-    ("1097-0274", OCC_HEALTH, "Q2"),
-    ("1432-1246", OCC_HEALTH, "Q2"),
-    ("1348-9585", OCC_HEALTH, "Q2"),
-    ("2165-0969", OCC_HEALTH, "Q2"),
-    ("0925-7535", OCC_SAFETY, "Q1"),
-    ("0022-4375", OCC_SAFETY, "Q1"),
-    ("0001-4575", OCC_SAFETY, "Q1"),
-    ("2093-7997", OCC_SAFETY, "Q1"),
-    ("0950-4230", OCC_SAFETY, "Q1"),
-    ("1080-3548", OCC_SAFETY, "Q2"),
-    ("2398-7316", OCC_HYGIENE, "Q1"),
-    ("1545-9632", OCC_HYGIENE, "Q1"),
-    ("1438-4639", OCC_HYGIENE, "Q1"),
-    ("1559-064X", OCC_HYGIENE, "Q1"),
-    ("1939-1307", OCC_STRESS, "Q1"),
-    ("1464-5335", OCC_STRESS, "Q1"),
-    ("0021-9010", APPLIED_PSYCH, "Q1"),
-    ("1099-1379", APPLIED_PSYCH, "Q1"),
-    ("0001-8791", APPLIED_PSYCH, "Q1"),
-    ("0149-2063", APPLIED_PSYCH, "Q1"),
-    ("0018-7267", APPLIED_PSYCH, "Q1"),
-    ("0003-6870", ERGONOMICS, "Q1"),
-    ("0018-7208", ERGONOMICS, "Q1"),
-    ("0014-0139", ERGONOMICS, "Q1/Q2"),
-    ("0169-8141", ERGONOMICS, "Q2"),
-    ("1463-922X", ERGONOMICS, "Q2"),
-    ("1053-0487", MUSCULOSKELETAL, "Q1"),
-    ("0021-9290", MUSCULOSKELETAL, "Q1/Q2"),
-    ("0268-0033", MUSCULOSKELETAL, "Q2"),
-    ("1471-2474", MUSCULOSKELETAL, "Q2"),
-    ("0966-6362", MUSCULOSKELETAL, "Q2"),
-    ("1071-5819", COGNITIVE, "Q1"),
-    ("2168-2291", COGNITIVE, "Q1"),
-    ("1044-7318", COGNITIVE, "Q1"),
-    ("1436-6556", COGNITIVE, "Q1/Q2"),
-    ("1520-6564", COGNITIVE, "Q2"),
+    ("0355-3140", "Occupational Health", "Q1"),
+    ("1351-0711", "Occupational Health", "Q1"),
+    ("1076-2752", "Occupational Health", "Q2"),
+    ("1097-0274", "Occupational Health", "Q2"),
+    ("1432-1246", "Occupational Health", "Q2"),
+    ("1348-9585", "Occupational Health", "Q2"),
+    ("2165-0969", "Occupational Health", "Q2"),
+    ("0925-7535", "Occupational Safety", "Q1"),
+    ("0022-4375", "Occupational Safety", "Q1"),
+    ("0001-4575", "Occupational Safety", "Q1"),
+    ("2093-7997", "Occupational Safety", "Q1"),
+    ("0950-4230", "Occupational Safety", "Q1"),
+    ("1080-3548", "Occupational Safety", "Q2"),
+    ("2398-7316", "Occupational Hygiene", "Q1"),
+    ("1545-9632", "Occupational Hygiene", "Q1"),
+    ("1438-4639", "Occupational Hygiene", "Q1"),
+    ("1559-064X", "Occupational Hygiene", "Q1"),
+    ("1939-1307", "Occ. Health & Stress", "Q1"),
+    ("1464-5335", "Occ. Health & Stress", "Q1"),
+    ("0021-9010", "Applied Psych & Org Behavior", "Q1"),
+    ("1099-1379", "Applied Psych & Org Behavior", "Q1"),
+    ("0001-8791", "Applied Psych & Org Behavior", "Q1"),
+    ("0149-2063", "Applied Psych & Org Behavior", "Q1"),
+    ("0018-7267", "Applied Psych & Org Behavior", "Q1"),
+    ("0003-6870", "General & Physical Ergonomics", "Q1"),
+    ("0018-7208", "General & Physical Ergonomics", "Q1"),
+    ("0014-0139", "General & Physical Ergonomics", "Q1/Q2"),
+    ("0169-8141", "General & Physical Ergonomics", "Q2"),
+    ("1463-922X", "General & Physical Ergonomics", "Q2"),
+    ("1053-0487", "Musculoskeletal Health", "Q1"),
+    ("0021-9290", "Musculoskeletal Health", "Q1/Q2"),
+    ("0268-0033", "Musculoskeletal Health", "Q2"),
+    ("1471-2474", "Musculoskeletal Health", "Q2"),
+    ("0966-6362", "Musculoskeletal Health", "Q2"),
+    ("1071-5819", "Cognitive Ergonomics & HCI", "Q1"),
+    ("2168-2291", "Cognitive Ergonomics & HCI", "Q1"),
+    ("1044-7318", "Cognitive Ergonomics & HCI", "Q1"),
+    ("1436-6556", "Cognitive Ergonomics & HCI", "Q1/Q2"),
+    ("1520-6564", "Cognitive Ergonomics & HCI", "Q2"),
 )
 
 

@@ -96,13 +96,34 @@ def test_completeness(landed):
     assert report["empty"][1:] == (2, 1, 1, False)
 
 
-def test_parquet_landing_reads_one_nested_field(spark, json_path, tmp_path):
+def read_schema(spark, df):
+    """The nested fields that a plan reads of the landed pages."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return [line for line in text.splitlines() if "ReadSchema" in line and "results" in line]
+
+
+@pytest.fixture
+def parquet(spark, json_path, tmp_path):
     landing.land_pages(spark, json_path, str(tmp_path / "pages"))
-    pages = spark.read.schema(schemas.LANDED_PAGE).parquet(str(tmp_path / "pages"))
-    narrow = pages.select("issn", landing.n_results().alias("n"))
-    plan_text = narrow._jdf.queryExecution().executedPlan().toString()
-    assert "results:array<struct<id:string>>" in plan_text
-    assert narrow.agg(F.sum("n")).first()[0] == 15
+    return spark.read.schema(schemas.LANDED_PAGE).parquet(str(tmp_path / "pages"))
+
+
+def test_chain_checks_read_one_nested_field(spark, parquet):
+    scans = read_schema(spark, landing.page_chain(parquet))
+    assert scans and all(s.endswith("results:array<struct<id:string>>>") for s in scans)
+    assert parquet.select(landing.n_results().alias("n")).agg(F.sum("n")).first()[0] == 15
+
+
+def test_archive_never_reads_abstracts(spark, parquet):
+    works = landing.works_from_pages(landing.valid_prefix(parquet), abstracts=False)
+    journals = spark.createDataFrame([("whole", 0, "S", "Q1")], schemas.JOURNAL)
+    for df in (works, landing.journal_metadata(works, journals)):
+        scans = read_schema(spark, df)
+        assert scans and not any("abstract_inverted_index" in s for s in scans)
+    with_index = landing.works_from_pages(landing.valid_prefix(parquet))
+    assert "abstract_inverted_index" in read_schema(spark, with_index)[0]
+    assert works.count() == with_index.count()
 
 
 def test_works_survive_missing_parts(spark, tmp_path):
@@ -159,3 +180,14 @@ def test_registry_round_trip(spark, tmp_path):
         path = str(tmp_path / fmt)
         journals.write.format(fmt).option("header", True).save(path)
         assert sorted(registry.load_journals(spark, path, fmt).collect()) == sorted(journals.collect())
+
+
+def test_broken_line_is_a_missing_page(spark, tmp_path):
+    pages = [page("j", 1, "*", "c2"), page("j", 2, "c2", None), page("k", 1, "*", None)]
+    lines = [json.dumps(p) for p in pages]
+    lines[1] = lines[1][:-20]
+    (tmp_path / "p.json").write_text("\n".join(lines))
+    landed = landing.read_landed_pages(spark, str(tmp_path))
+    report = {r["issn"]: r["failed"] for r in landing.fetch_completeness(landed).collect()}
+    assert report["j"] and not report["k"]
+    assert landing.valid_prefix(landed).count() == 2
