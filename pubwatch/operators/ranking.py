@@ -23,15 +23,23 @@ def first_page(works: DataFrame, size: int = 15) -> DataFrame:
     return works.withColumn("pos", F.row_number().over(newest)).where(F.col("pos") <= size)
 
 
-def section_order(paged: DataFrame) -> DataFrame:
-    """Per row the order of its subject: that of the subject's first journal with any result."""
-    return paged.withColumn("section_ord", F.min("journal_ord").over(Window.partitionBy("subject")))
-
-
 def subject_cap(paged: DataFrame, cap: int = 5) -> DataFrame:
-    """At most ``cap`` works per subject, filled journal by journal in registry order."""
-    greedy = Window.partitionBy("subject").orderBy("journal_ord", "pos")
-    return paged.withColumn("paper_no", F.row_number().over(greedy)).where(F.col("paper_no") <= cap)
+    """At most ``cap`` works with an abstract per subject, filled journal by journal in registry order.
+
+    ``section_ord`` places the subject: it is the order of its first journal with any result, even
+    one without an abstract. So the cut is made for works with and without abstract alike, in the
+    map tasks, and the subject's first journal is found among the few rows that are left.
+    """
+    usable = F.coalesce(F.col("abstract") != "", F.lit(False))
+    greedy = Window.partitionBy("subject", "_usable").orderBy("journal_ord", "pos")
+    return (
+        paged.withColumn("_usable", usable)
+        .withColumn("paper_no", F.row_number().over(greedy))
+        .where(F.col("paper_no") <= cap)
+        .withColumn("section_ord", F.min("journal_ord").over(Window.partitionBy("subject")))
+        .where("_usable")
+        .drop("_usable")
+    )
 
 
 def number_articles(selected: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pubwatch.operators import ranking, rendering, summaries
-from pubwatch.operators.filters import grade_gate, has_abstract, recent_works
+from pubwatch.operators.filters import grade_gate, recent_works
 from pubwatch.operators.joins import enrich
 from pubwatch.operators.projections import article_nodes
 from pubwatch.params import RunParams
@@ -27,10 +27,10 @@ def select_works(works: DataFrame, journals: DataFrame, params: RunParams) -> Da
     """
     graded = grade_gate(journals, params.digest_grade)
     recent = recent_works(works, params.as_of, params.lookback_days)
-    paged = ranking.section_order(ranking.first_page(enrich(recent, graded), params.page_size))
+    paged = ranking.first_page(enrich(recent, graded), params.page_size)
     if "abstract_inverted_index" in paged.columns:
         paged = with_abstract(paged)
-    return ranking.subject_cap(has_abstract(paged), params.subject_cap)
+    return ranking.subject_cap(paged, params.subject_cap)
 
 
 @dataclass(frozen=True)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 import re
 
@@ -9,7 +10,11 @@ from pyspark.sql import functions as F
 
 from pubwatch.operators import filters, ranking, rendering, summaries
 from pubwatch.params import RunParams
+from pubwatch.plans.archive import refresh_archive
+from pubwatch.plans.dashboard import Dashboard
 from pubwatch.plans.digest import Digest, dangling, run_log, select_works
+from pubwatch.sources import landing, registry
+from tests.test_landing import page
 
 AS_OF = dt.date(2024, 6, 30)
 PARAMS = RunParams(as_of=AS_OF)
@@ -307,3 +312,30 @@ def test_digest_with_a_summariser(digest):
 def test_empty_digest_asks_nothing(spark, journals):
     run = Digest(frame(spark, [work(1, "a", 100)]), journals, PARAMS, summariser=Echo())
     assert run.briefing.count() == run.domain_summaries.count() == run.articles.count() == 0
+
+
+def test_landed_pages_to_archive_and_digest(spark, tmp_path):
+    """The whole way with the default registry, as in the README."""
+    index = {"Noise": [0], "harms.": [1], "Stop": [2], "it.": [3]}
+    pages = [
+        page("0355-3140", 1, "*", None, works=(1, 2)),
+        page("0925-7535", 1, "*", None, works=(3,)),
+        page("1076-2752", 1, "*", None, works=(4,)),
+        page("9999-9999", 1, "*", None, works=(5,)),
+    ]
+    for landed_page in pages:
+        for w in landed_page["results"]:
+            w.update(publication_date="2024-06-28", abstract_inverted_index=index)
+    (tmp_path / "pages.json").write_text("\n".join(map(json.dumps, pages)))
+    landed = landing.read_landed_pages(spark, str(tmp_path / "pages.json"))
+    journals = registry.default_journals(spark)
+    assert refresh_archive(landed, journals, PARAMS, str(tmp_path / "archive"))
+    archive = spark.read.parquet(str(tmp_path / "archive"))
+    subjects = Dashboard(archive, grades=["Q1"]).distribution.orderBy("subject").collect()
+    assert [tuple(r) for r in subjects] == [
+        ("Occupational Health", 2, round(2 / 3, 6)),
+        ("Occupational Safety", 1, round(1 / 3, 6)),
+    ]
+    run = Digest(landing.works_from_pages(landing.valid_prefix(landed)), journals, PARAMS)
+    assert [r["summary_en"] for r in run.articles.collect()] == ["Noise harms. Stop it."] * 3
+    assert run.publish(str(tmp_path / "digest"))
