@@ -83,8 +83,9 @@ def sentences(text: Column) -> Column:
 
 
 def lead_sentences(text: Column, count: int) -> Column:
-    """Extractive summary: the first ``count`` sentences."""
-    return F.array_join(F.slice(sentences(text), 1, count), " ")
+    """Extractive summary: the first ``count`` sentences. The rest of the text is not split."""
+    lead = F.regexp_extract(text, rf"^[.!?]*((?:{SENTENCE_PATTERN}){{1,{count}}})", 1)
+    return F.array_join(sentences(lead), " ")
 
 
 def tokens(text: Column) -> Column:

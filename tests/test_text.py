@@ -157,3 +157,13 @@ def test_rules_apply_in_order_and_literally(spark):
     assert one(spark, rewrite.apply_rules(F.col("x"), rules), html) == '<body class="$1\\">abc Y</p>'
     with pytest.raises(ValueError, match="unknown rule kind"):
         rewrite.apply_rules(F.col("x"), [rewrite.Rule("other", "a", "b")])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("ab .!?\n", max_size=30), min_size=1, max_size=40))
+def test_lead_is_the_first_of_all_sentences(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for count in (1, 2, 3):
+        whole = F.array_join(F.slice(text.sentences(F.col("x")), 1, count), " ")
+        rows = df.select("x", text.lead_sentences(F.col("x"), count).alias("lead"), whole.alias("whole"))
+        assert [r["x"] for r in rows.collect() if r["lead"] != r["whole"]] == []
