@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pubwatch.operators import projections, sets
 from pubwatch.params import RunParams
 from pubwatch.plans import archive as plan
-from pubwatch.session import shared_dir
+from pubwatch.session import new_path, shared_dir
 from pubwatch.sources import landing, schemas, tables
 from tests.test_landing import page
 
@@ -119,6 +120,29 @@ def test_latest_versions_sends_one_row_per_key_and_task(spark):
     assert "Partial" in text
 
 
+def fake_session(configured, master, made):
+    context = SimpleNamespace(
+        master=master,
+        getCheckpointDir=lambda: made[-1] if made else None,
+        setCheckpointDir=made.append,
+        applicationId="app",
+    )
+    conf = SimpleNamespace(get=lambda key, default: configured)
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_only_a_local_session_makes_its_own_folder():
+    made = []
+    assert shared_dir(fake_session("s3a://bucket/cp/", "yarn", made)) == "s3a://bucket/cp"
+    assert not made
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(fake_session(None, "yarn", made))
+    local = fake_session(None, "local[2]", made)
+    assert shared_dir(local) == shared_dir(local) == made[0]
+    assert len(made) == 1
+    assert new_path(local, "x").startswith(f"{made[0]}/pubwatch/app/x-")
+
+
 def test_shared_folder_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
