@@ -399,7 +399,13 @@ def _twins() -> dict[str, str]:
                  and year(publication_date) between 1995 and 2001""",
             **CHAIN,
         ),
-        "snapshot_guard": archive_q(f"select {ROW7} from archive"),
+        "snapshot_guard": q(
+            "works journals",
+            f"""select {ROW7} from archive
+                where publication_date >= {SINCE} or exists (select 1 from flags where kept = 0)""",
+            archive=ARCHIVE,
+            **CHAIN,
+        ),
         "metadata_table": q("works journals", METADATA, **CHAIN),
         "archive_append": archive_q(
             f"""select {ROW7} from archive union all
