@@ -342,7 +342,7 @@ TEMPORAL: dict[str, tuple[str, ...]] = {
         ("stream_weekly_counts", "stream_rolling_counts", "stream_closed_windows"),
         ("window_start", "window_end"),
     ),
-    "archive_upsert": ("publication_date", "pulled_on"),
+    **dict.fromkeys(("archive_upsert", "stream_merge_pages"), ("publication_date", "pulled_on")),
     "stream_dedup": ("day",),
 }
 
@@ -704,6 +704,14 @@ def _twins() -> dict[str, str]:
                from paged where status = 200""",
             paged=PAGED_WORKS_SQL,
         ),
+        "stream_merge_pages": q(
+            "works journals",
+            """select id as work_id, subject, journal_name, coalesce(title, 'Untitled') as title,
+                 publication_date, grade, cited_by_count as citations, coalesce(doi, id) as link,
+                 date '2001-08-02' as pulled_on
+               from paged where status = 200""",
+            paged=PAGED_WORKS_SQL,
+        ),
         "stream_dedup": "select distinct user_id, event_type, cast(ts as date) as day from events",
         "stream_weekly_counts": windows(WEEK),
         "stream_rolling_counts": windows(

@@ -163,7 +163,7 @@ def summarise_with(
             answers: list[Attempt] = [(None, None)] * len(batch)
             tries = [0] * len(batch)
             texts = batch["request"].tolist()
-            pending = [i for i, text in enumerate(texts) if text is not None]
+            pending = [i for i, text in enumerate(texts) if isinstance(text, str)]
             for attempt in range(max_attempts):
                 if not pending:
                     break

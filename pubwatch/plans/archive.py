@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +18,7 @@ from pubwatch.sources.landing import (
     works_from_pages,
 )
 from pubwatch.sources.tables import append_rows, replace_table, upsert_table, write_snapshot
-from pubwatch.streaming.jobs import append_stream
+from pubwatch.streaming.jobs import append_stream, upsert_stream
 
 
 def archive_order() -> list[Column]:
@@ -51,12 +49,15 @@ def daily_append(landed: DataFrame, journals: DataFrame, params: RunParams, path
     return append_rows(_daily_rows(landed, journals, params), path)
 
 
-def daily_upsert(
-    landed: DataFrame, journals: DataFrame, params: RunParams, path: str, newest: Sequence[Column]
-) -> None:
+def newest_pull() -> list[Column]:
+    """Of several versions of a work the last pulled one counts; the rest makes the order total."""
+    return [F.desc("pulled_on"), F.desc("citations"), F.desc("publication_date"), F.asc("link")]
+
+
+def daily_upsert(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> None:
     """Merge the last day's pull into the archive by work id."""
     rows = _daily_rows(landed, journals, params).withColumn("pulled_on", F.lit(params.as_of))
-    upsert_table(path, rows, ["work_id"], newest)
+    upsert_table(path, rows, ["work_id"], newest_pull())
 
 
 def ingest_pages(pages: DataFrame, journals: DataFrame, path: str, checkpoint: str) -> None:
@@ -65,9 +66,20 @@ def ingest_pages(pages: DataFrame, journals: DataFrame, path: str, checkpoint: s
     ``pages`` is a stream. A page that failed has no works; pages after it are still taken, as each
     holds whole works. What is missing shows in the completeness report.
     """
-    fetched = pages.where(F.col("status") == 200)
-    rows = archive_rows(enrich(works_from_pages(fetched, abstracts=False), registry_columns(journals)), keep=("work_id",))
-    append_stream(fill_text(rows), path, checkpoint)
+    append_stream(_page_rows(pages, journals), path, checkpoint)
+
+
+def merge_pages(
+    pages: DataFrame, journals: DataFrame, params: RunParams, path: str, checkpoint: str
+) -> None:
+    """Merge the works of newly landed pages into the archive by work id, as the pull of ``as_of``."""
+    rows = _page_rows(pages, journals).withColumn("pulled_on", F.lit(params.as_of))
+    upsert_stream(rows, path, checkpoint, ["work_id"], newest_pull())
+
+
+def _page_rows(pages: DataFrame, journals: DataFrame) -> DataFrame:
+    works = works_from_pages(pages.where(F.col("status") == 200), abstracts=False)
+    return fill_text(archive_rows(enrich(works, registry_columns(journals)), keep=("work_id",)))
 
 
 def _daily_rows(landed: DataFrame, journals: DataFrame, params: RunParams) -> DataFrame:

@@ -70,8 +70,9 @@ def upsert_table(path: str, new: DataFrame, key: Sequence[str], newest: Sequence
         _write_months(batch.withColumn(MONTH, month), path)
         return
     batch = materialise(batch, "upsert-batch")
+    # A key is in the archive once, so this join has no hot keys to split.
     held = dimension_join(
-        archive.select(*key, F.col(MONTH).alias("held_month")), batch.select(*key), list(key), "inner", key
+        archive.select(*key, F.col(MONTH).alias("held_month")), batch.select(*key), list(key)
     )
     placed = materialise(
         batch.join(held, list(key), "left")

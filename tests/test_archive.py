@@ -163,10 +163,9 @@ def test_daily_runs(spark, tmp_path):
     journals = spark.createDataFrame([("j", 0, "S", "Q2")], schemas.JOURNAL)
     params = RunParams(as_of=dt.date(2024, 5, 1), lookback_days=1)
     appended, merged = str(tmp_path / "appended"), str(tmp_path / "merged")
-    newest_pull = [F.desc("pulled_on"), F.asc("link")]
     for _ in range(2):
         assert plan.daily_append(landed, journals, params, appended)
-        plan.daily_upsert(landed, journals, params, merged, newest_pull)
+        plan.daily_upsert(landed, journals, params, merged)
     # Two works are recent enough; a repeated append repeats them, a repeated upsert does not.
     assert spark.read.parquet(appended).count() == 4
     rows_ = spark.read.parquet(merged).collect()

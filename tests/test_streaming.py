@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pubwatch.functions.times import utc_instant, utc_wall_clock
 from pubwatch.operators import joins
+from pubwatch.params import RunParams
 from pubwatch.plans import archive as plan
 from pubwatch.sources import schemas
 from pubwatch.streaming import jobs
@@ -150,3 +151,17 @@ def test_rows_later_than_the_slack_are_dropped_but_never_by_upsert(spark, tmp_pa
         stream(spark, source, schema), kept, str(tmp_path / "cp2"), ["user_id"], [F.desc("ts")]
     )
     assert {r["user_id"] for r in spark.read.parquet(kept).collect()} == {1, 2, 3, 4}
+
+
+def test_later_pull_updates_the_archive(spark, tmp_path):
+    source, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    source.mkdir()
+    journals = spark.createDataFrame([("j", 0, "S", "Q1")], schemas.JOURNAL)
+    for day, citations in ((1, 5), (2, 8)):
+        landed = page("j", 1, "*", None, works=(1, 2))
+        landed["results"][0]["cited_by_count"] = citations
+        (source / f"{day}.json").write_text(json.dumps(landed))
+        pages = jobs.read_stream(spark, str(source), schemas.LANDED_PAGE, "json")
+        plan.merge_pages(pages, journals, RunParams(as_of=dt.date(2024, 6, day)), out, cp)
+    rows = {r["work_id"]: (r["citations"], str(r["pulled_on"])) for r in spark.read.parquet(out).collect()}
+    assert rows == {"Wj-1-1": (8, "2024-06-02"), "Wj-1-2": (2, "2024-06-02")}
