@@ -165,3 +165,18 @@ def test_later_pull_updates_the_archive(spark, tmp_path):
         plan.merge_pages(pages, journals, RunParams(as_of=dt.date(2024, 6, day)), out, cp)
     rows = {r["work_id"]: (r["citations"], str(r["pulled_on"])) for r in spark.read.parquet(out).collect()}
     assert rows == {"Wj-1-1": (8, "2024-06-02"), "Wj-1-2": (2, "2024-06-02")}
+
+
+def test_copies_are_merged_before_the_shuffle(spark):
+    df = spark.range(50_000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 5).alias("k"),
+        F.lit("x").alias("event_type"),
+        "id",
+        F.timestamp_seconds("id").alias("ts"),
+    )
+    merged = jobs.merge_copies(df.coalesce(2), ["k", "event_type"])
+    assert merged.schema == df.schema
+    assert merged.count() < 100
+    assert {r["k"] for r in merged.collect()} == {None, 0, 1, 2, 3, 4}
+    assert merged.join(df, ["id"], "left_anti").count() == 0
+    assert jobs.merge_copies(df.where("id < 0"), ["k"]).count() == 0
