@@ -385,14 +385,14 @@ def _twins() -> dict[str, str]:
         "journal_metadata": q("works journals", METADATA, **CHAIN),
         "archive_snapshot": q(
             "works journals",
-            """select work_id, subject, journal_name, coalesce(title, 'Untitled') as title,
+            """select subject, journal_name, coalesce(title, 'Untitled') as title,
                  publication_date, grade, cited_by_count as citations, coalesce(doi, id) as link
                from landed_works""",
             **CHAIN,
         ),
         "archive_refresh": q(
             "works journals",
-            """select subject, journal_name, coalesce(title, 'Untitled') as title, work_id,
+            """select subject, journal_name, coalesce(title, 'Untitled') as title,
                  publication_date, grade, cited_by_count as citations, coalesce(doi, id) as link
                from landed_works
                where issn not in (select issn from flags where kept = 0)

@@ -41,7 +41,8 @@ def refresh_archive(landed: DataFrame, journals: DataFrame, params: RunParams, p
     works = works_from_pages(valid_prefix(landed, stops), abstracts=False)
     in_range = works_in_years(works, params.first_year, params.last_year)
     rows = archive_rows(enrich(in_range, registry_columns(journals)), keep=("work_id",))
-    return write_snapshot(fill_text(rows), path, fetch_completeness(landed, stops), archive_order())
+    report = fetch_completeness(landed, stops)
+    return write_snapshot(fill_text(rows), path, report, archive_order(), drop=["work_id"])
 
 
 def daily_append(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> bool:

@@ -21,19 +21,20 @@ def write_snapshot(
     path: str,
     completeness: DataFrame | None = None,
     order: Sequence[Column] = (),
+    drop: Sequence[str] = (),
     fmt: str = "parquet",
 ) -> bool:
     """Clear and replace the table at ``path``; tells whether it was written.
 
     An empty result, or a completeness report with a failed journal, leaves the old table alone.
-    Rows are sorted only after these checks.
+    Rows are sorted only after these checks; columns to ``drop`` may still take part in the order.
     """
     if completeness is not None and not completeness.where("failed").isEmpty():
         return False
     if rows.isEmpty():
         return False
     ordered = rows.orderBy(*order) if order else rows
-    ordered.write.mode("overwrite").format(fmt).options(**_text_options(fmt)).save(path)
+    ordered.drop(*drop).write.mode("overwrite").format(fmt).options(**_text_options(fmt)).save(path)
     return True
 
 
@@ -85,7 +86,9 @@ def upsert_table(path: str, new: DataFrame, key: Sequence[str], newest: Sequence
     if not months:
         return
     old = archive.where(F.col(MONTH).isin(*months))
-    merged = materialise(latest_versions(old.unionByName(placed), key, newest), "upsert-merged")
+    merged = materialise(
+        latest_versions(old.unionByName(placed, allowMissingColumns=True), key, newest), "upsert-merged"
+    )
     _write_months(merged, path)
 
 

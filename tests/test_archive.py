@@ -184,5 +184,14 @@ def test_refresh_is_sorted(spark, tmp_path):
     assert plan.refresh_archive(landed, journals, RunParams(as_of=dt.date(2024, 5, 1)), path)
     got = [str(r["publication_date"]) for r in spark.read.parquet(path).collect()]
     assert got == ["2024-03-01", "2024-01-01"]
-    numbered = plan.sorted_archive(spark.read.parquet(path)).orderBy("row_no").collect()
+    assert spark.read.parquet(path).columns == schemas.ARCHIVE.names
+    # A daily append goes on with the same layout.
+    late = RunParams(as_of=dt.date(2024, 3, 2), lookback_days=1)
+    assert plan.daily_append(landed, journals, late, path)
+    archive = spark.read.parquet(path)
+    assert archive.columns == schemas.ARCHIVE.names
+    assert archive.groupBy("link").count().where("count = 2").count() == 1
+    # The link stands in for the work id, which the published layout does not have.
+    keyed = archive.distinct().withColumn("work_id", F.col("link"))
+    numbered = plan.sorted_archive(keyed).orderBy("row_no").collect()
     assert [(r["row_no"], str(r["publication_date"])) for r in numbered] == list(enumerate(got, 1))
