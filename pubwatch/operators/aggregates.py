@@ -16,7 +16,7 @@ def count_rows(view: DataFrame, name: str = "n_articles") -> DataFrame:
 
 
 def subject_distribution(view: DataFrame) -> DataFrame:
-    """Articles per subject and their share of the view."""
+    """Articles per subject and their share of the view. The total adds up one row per subject."""
     counts = view.groupBy("subject").agg(F.count("*").alias("n_articles"))
     total = F.sum("n_articles").over(Window.partitionBy())
     return counts.withColumn("share", F.round(F.col("n_articles") / total, 6))
