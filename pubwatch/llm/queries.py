@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pubwatch.llm import exact_dedup, mixing
+from pubwatch.llm import (
+    byte_bpe,
+    cover_tree,
+    exact_dedup,
+    html_text,
+    mixing,
+    near_dup,
+    repeats,
+    token_counts,
+    warc,
+)
+from pubwatch.llm.common import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +44,72 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BPE_PATTERN = public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+TOKEN_LIMIT = 4096
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+_oracles["op2_top_k"] = """
+    with v as (
+      select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as q
+      from embeddings
+      where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    ), s as (
+      select a.vec_id as query_id, b.vec_id,
+             cast(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) as bigint) as score
+      from (select * from v where vec_id % 100 = 0) a join v b on a.vec_id <> b.vec_id
+    )
+    select query_id, cast(rnk as integer) as rank, vec_id, score
+    from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rnk from s)
+    where rnk <= 10
+"""
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_path(spark, "warc")
+    index = materialise(warc.write_archives(table(spark, sf_dir, "pages"), root), "warc-index")
+    records = warc.read_records(index, root)
+    return records.select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+_oracles["op3_warc"] = """
+    with p as (
+      select page_id, cast(octet_length(encode(coalesce(html, ''))) as bigint) as payload_bytes,
+             sha1(coalesce(html, '')) as hex
+      from pages
+    ), d as (
+      select page_id, payload_bytes,
+             array_to_string(list_transform(range(0, 32), lambda i: substr(
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               ((cast('0x' || substr(hex, cast(i // 4 * 5 + 1 as bigint), 5) as bigint)
+                 >> cast(15 - 5 * (i % 4) as bigint)) & 31) + 1, 1)), '') as payload_digest
+      from p
+    ), g as (
+      select payload_digest, payload_bytes, min(page_id) as first_id from d group by all
+    )
+    select page_id, payload_bytes, payload_digest,
+           case when page_id = first_id then 'response' else 'revisit' end as record_type,
+           case when page_id <> first_id then first_id end as refers_to
+    from d join g using (payload_digest, payload_bytes)
+"""
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), keep="largest")
@@ -103,3 +181,41 @@ _oracles["op5_mix_sources"] = r"""
                         then 1 else 0 end) as bigint) as taken
     from k
 """
+
+
+@query
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe_digests(table(spark, sf_dir, "documents"))
+
+
+def byte_bpe_digests(docs: DataFrame) -> DataFrame:
+    coded = byte_bpe.encode_decode(docs, BPE_RANKS, BPE_PATTERN)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
+@query
+def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
