@@ -17,6 +17,7 @@ from pubwatch.llm import (
     near_dup,
     repeats,
     token_counts,
+    toxicity,
     warc,
 )
 from pubwatch.llm.common import materialise, new_path
@@ -219,3 +220,8 @@ def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

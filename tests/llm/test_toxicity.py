@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+from pubwatch.llm import toxicity
+from pubwatch.llm.toxicity import FitParams
+from pyspark.sql import functions as F
+
+SLURS = ["blarghead", "snotwit", "cruddle", "vilefink", "grubsnout", "dimspawn"]
+
+
+def corpus(n=1500, seed=1):
+    pick = random.Random(seed)
+    parts = ["ba", "ko", "ti", "re", "na", "lo", "shi", "mu", "ven", "dar"]
+    word = lambda: "".join(pick.choice(parts) for _ in range(pick.randint(1, 4)))
+    docs, labels = [], []
+    for i in range(n):
+        words, toxic = [word() for _ in range(pick.randint(20, 200))], pick.random() < 0.2
+        for _ in range(len(words) // 12 if toxic else 0):
+            words[pick.randrange(len(words))] = pick.choice(SLURS)
+        docs.append((i, " ".join(words), "x"))
+        if i % 3:
+            labels.append((i, int(toxic), 1))
+    return docs, labels
+
+
+def frames(spark, docs, labels):
+    return (
+        spark.createDataFrame(docs, "doc_id long, text string, score string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int, quality int"),
+    )
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = corpus()
+    rows = toxicity.score_documents(*frames(spark, docs, labels)).collect()
+    truth = {i: t for i, t, _ in labels}
+    checked = [r for r in rows if r["held_out"] and r["doc_id"] in truth]
+    assert len(rows) == len(docs) and len(checked) > 150
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in checked]) > 0.95
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+
+
+def test_held_out_labels_are_not_used(spark):
+    docs, labels = corpus(600)
+    turned = [(i, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t, q) for i, t, q in labels]
+    first = toxicity.score_documents(*frames(spark, docs, labels)).collect()
+    again = toxicity.score_documents(*frames(spark, docs[::-1], turned)).collect()
+    assert sorted(first) == sorted(again)
+
+
+def test_odd_rows_and_few_labels(spark):
+    docs, labels = corpus(400)
+    odd = [(None, "blarghead snotwit cruddle", "x"), (9000, None, "x"), (9001, "", "x"), (1, docs[1][1], "x")]
+    odd += [(9002, "ko ba " * 100_000, "x")]
+    labels += [(None, 1, 1), (9000, None, 1), (2, 1 - labels[1][1], 1)]
+    d, marked = frames(spark, docs + odd, labels)
+    rows = toxicity.score_documents(d, marked).collect()
+    assert len(rows) == len(docs) + len(odd)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    kept = toxicity.drop_toxic(d, marked)
+    assert kept.columns == d.columns
+    assert kept.count() == sum(r["predicted"] == 0 for r in rows)
+    assert toxicity.score_documents(d.limit(0), marked).count() == 0
+    none = toxicity.score_documents(d, marked.limit(0)).collect()
+    assert {r["predicted"] for r in none} == {0}
+    one = toxicity.score_documents(d, marked.where(F.col("toxic") == 0)).collect()
+    assert {r["score"] for r in one} == {0.0}
+
+
+def test_windows_hold_the_whole_text():
+    text = "One  two\nthree " * 50
+    assert b" ".join(w.strip() for w in toxicity.windows(text, 7)).decode().split() == text.lower().split()
+
+
+def test_sample_bounds(spark):
+    docs, labels = corpus(600)
+    params = FitParams(toxic_texts=30, ordinary_texts=60, windows_per_text=4)
+    model = toxicity.fit(*frames(spark, docs, labels), params)
+    assert len(model.weights) == 10
