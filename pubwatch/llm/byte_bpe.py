@@ -21,9 +21,10 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 CACHED_BYTES = 64
 BATCH_BYTES = 8 << 20
+BEYOND = re.compile("[\U00010000-\U0010ffff]")
 
 
 class RankQueue:
@@ -87,6 +88,15 @@ def class_differences() -> dict[int, str]:
     return stand_ins
 
 
+def _any_of(codes: list[int]) -> str:
+    """A pattern of one of these code points; ranges keep it short."""
+    if not codes:
+        return r"(?!)"
+    starts = [c for i, c in enumerate(codes) if not i or codes[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(codes) if i + 1 == len(codes) or codes[i + 1] != c + 1]
+    return "[" + "".join(f"\\U{a:08x}-\\U{z:08x}" for a, z in zip(starts, ends, strict=True)) + "]"
+
+
 class ByteBpe:
     """A vocabulary of byte strings by rank, which is also the id, and a pattern of pre-tokens."""
 
@@ -95,8 +105,8 @@ class ByteBpe:
         self.tokens = dict(zip(ranks.values(), ranks.keys(), strict=True))
         self.pattern = regex.compile(pattern)
         self.stand_ins = class_differences()
-        odd = "".join(re.escape(chr(c)) for c in sorted(self.stand_ins))
-        self.odd = re.compile(f"[{odd}]" if odd else r"(?!)")
+        # a class within the first plane is a table look-up; one beyond it would be a long list
+        self.odd = re.compile(_any_of([c for c in sorted(self.stand_ins) if c < 0x10000]))
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
         self.words = _Words(self)
 
@@ -108,7 +118,10 @@ class ByteBpe:
 
     def split(self, text: str) -> list[str]:
         """Pre-tokens, as the library's pattern engine finds them."""
-        if text.isascii() or not self.odd.search(text):
+        if text.isascii() or not (
+            self.odd.search(text)
+            or (BEYOND.search(text) and not self.stand_ins.keys().isdisjoint(text))
+        ):
             return self.pattern.findall(text)
         matches = self.pattern.finditer(text.translate(self.stand_ins))
         return [text[m.start() : m.end()] for m in matches]
@@ -162,18 +175,26 @@ class ByteBpe:
 
 
 class _Words(dict):
-    """Encoded pre-tokens; a bounded memory of the short ones."""
+    """Encoded pre-tokens; a bounded memory of the short ones in two generations.
+
+    When the young generation is full it becomes the old one; words in use move back from there.
+    """
 
     def __init__(self, bpe: ByteBpe) -> None:
         self.bpe = bpe
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        piece = word.encode()
-        ids = array("I", self.bpe.merge(piece)).tobytes()
-        if len(piece) <= CACHED_BYTES:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = ids
+        ids = self.old.get(word)
+        if ids is None:
+            piece = word.encode()
+            ids = array("I", self.bpe.merge(piece)).tobytes()
+            if len(piece) > CACHED_BYTES:
+                return ids
+        if len(self) >= CACHED_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
         return ids
 
 
