@@ -47,13 +47,13 @@ class PieceCounter:
         The library puts a space before every chunk. It is gone from the count with everything
         left of the first splice, and counts where the text itself starts.
         """
-        proto = self.encode(text[low:high], out_type="immutable_proto")
-        return [low + p.begin for p in proto.pieces]
+        mapped = self.encode(text[low:high], return_type="offset_mapping")
+        return [low + begin for begin, _ in mapped["offsets"]]
 
     def count(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
         size = len(text)
         if size <= chunk:
-            return len(self.encode(text))
+            return len(self.encode(text, return_type="numpy"))
         total, begin, low, high = 0, 0, 0, chunk
         here = self.starts(text, low, high)
         while high < size:
