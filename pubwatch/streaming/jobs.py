@@ -6,15 +6,15 @@ Sources are folders that new files land in. Every job processes what is there an
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pubwatch.functions.times import utc_wall_clock
 from pubwatch.operators.joins import enrich
+from pubwatch.sources.schemas import CORRUPT
 from pubwatch.sources.tables import upsert_table
 
 
@@ -28,6 +28,8 @@ def read_stream(
 ) -> DataFrame:
     """A folder of landed files as a stream, with a declared schema."""
     reader = spark.readStream.format(fmt).schema(schema)
+    if fmt == "json":
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if file_filter is not None:
         reader = reader.option("pathGlobFilter", file_filter)
     if files_per_batch is not None:
@@ -68,30 +70,12 @@ def replace_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
     )
 
 
-def merge_copies(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per key in each Arrow batch of a map task, so that a hot key is small when it shuffles.
-
-    A streaming deduplication has no map-side step of its own.
-    """
-    names = list(key)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            places = table.select(names).append_column("_place", pa.array(range(table.num_rows)))
-            firsts = places.group_by(names).aggregate([("_place", "min")])["_place_min"]
-            yield from table.take(firsts).to_batches()
-
-    return rows.mapInArrow(run, rows.schema)
-
-
 def dedup_stream(stream: DataFrame, key: Sequence[str], event_time: str, slack: str) -> DataFrame:
     """One row per key. Copies may come up to ``slack`` apart; state is dropped after it.
 
     Rows later than ``slack`` are dropped too. Where no row may be lost, use :func:`upsert_stream`.
     """
-    merged = merge_copies(stream, key)
-    return merged.withWatermark(event_time, slack).dropDuplicatesWithinWatermark(list(key))
+    return stream.withWatermark(event_time, slack).dropDuplicatesWithinWatermark(list(key))
 
 
 def window_counts(

@@ -128,7 +128,7 @@ def test_stream_joins_a_large_registry(spark, tmp_path, monkeypatch):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     land(spark, source, "1", [(1, "hot"), (2, "hot"), (3, "none")], "work_id int, issn string")
     journals = spark.createDataFrame([("hot", "S"), ("cold", "T")], "issn string, subject string")
-    monkeypatch.setattr(joins, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     enriched = jobs.enrich_stream(stream(spark, source, "work_id int, issn string"), journals, ["work_id"])
     jobs.append_stream(enriched, out, str(tmp_path / "cp"))
     assert sorted((r["work_id"], r["subject"]) for r in spark.read.parquet(out).collect()) == [
@@ -167,16 +167,15 @@ def test_later_pull_updates_the_archive(spark, tmp_path):
     assert rows == {"Wj-1-1": (8, "2024-06-02"), "Wj-1-2": (2, "2024-06-02")}
 
 
-def test_copies_are_merged_before_the_shuffle(spark):
-    df = spark.range(50_000).select(
-        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 5).alias("k"),
-        F.lit("x").alias("event_type"),
-        "id",
-        F.timestamp_seconds("id").alias("ts"),
-    )
-    merged = jobs.merge_copies(df.coalesce(2), ["k", "event_type"])
-    assert merged.schema == df.schema
-    assert merged.count() < 100
-    assert {r["k"] for r in merged.collect()} == {None, 0, 1, 2, 3, 4}
-    assert merged.join(df, ["id"], "left_anti").count() == 0
-    assert jobs.merge_copies(df.where("id < 0"), ["k"]).count() == 0
+def test_dedup_equals_the_plain_operator_on_late_mixed_batches(spark, tmp_path):
+    source = str(tmp_path / "in")
+    files = [[(0, 1)], [(240, 2)], [(241, 4)], [(1, 3), (242, 3), (2, 5)], [(243, 5), (243, 5)]]
+    for i, rows in enumerate(files):
+        land(spark, source, str(i), [(hour(h), user, "a") for h, user in rows], EVENT)
+    ours = jobs.dedup_stream(stream(spark, source, EVENT), ["user_id"], "ts", "1 day")
+    plain = stream(spark, source, EVENT).withWatermark("ts", "1 day").dropDuplicatesWithinWatermark(["user_id"])
+    found = []
+    for name, unique in (("ours", ours), ("plain", plain)):
+        jobs.append_stream(unique, str(tmp_path / name), str(tmp_path / f"cp-{name}"))
+        found.append(sorted(r["user_id"] for r in spark.read.parquet(str(tmp_path / name)).collect()))
+    assert found[0] == found[1] == [1, 2, 3, 4, 5]
