@@ -162,9 +162,9 @@ DIGEST = {
     "briefing": f"""
         select string_agg('<a href=''#' || article_id || '''>'
                  || {escaped('(' + sentences('summary_en') + ')[1]')} || '</a>',
-                 ' ' order by section_ord) as briefing_en,
+                 ' ' order by section_ord, paper_no) as briefing_en,
                {lit(fixed.GLOBAL_UNLABELLED_HE)} as briefing_he, count(*) as n_findings
-        from articles where paper_no = 1 having count(*) > 0
+        from articles having count(*) > 0
     """,
     "cards": f"""
         select article_id, article_no, subject, section_ord, {filled(
@@ -260,7 +260,7 @@ def outcome_select(name: str, tier: summaries.Tier) -> str:
             when 'retryable' then null else {answer} end"""
 
     return f"""
-        select '{name}' as tier, conv_id, status, {text(0, en)} as en, {text(1, he)} as he
+        select '{name}' as tier, conv_id, turn, status, {text(0, en)} as en, {text(1, he)} as he
         from (select *, case when not has_input then 'no_abstract'
                     when error is null and response is null then 'failed'
                     when error is null then case when contains(response, 'English:')
@@ -332,7 +332,7 @@ PUBLISHED = """
     works_from_pages archive_refresh snapshot_guard first_page_per_journal archive_snapshot
     archive_append archive_rows archive_rows_legacy archive_fillna recent_works works_in_years dashboard_filtered works_enriched
     archive_with_grade digest_selection archive_sorted dashboard_main_table union_batches
-    union_schema_drift stream_ingest stream_ingest_pages stream_upsert stream_enrich
+    union_schema_drift dedup_works archive_daily dashboard_by_journal stream_ingest stream_ingest_pages stream_upsert stream_enrich
 """.split()
 TEMPORAL: dict[str, tuple[str, ...]] = {
     **dict.fromkeys(PUBLISHED, ("publication_date",)),
@@ -396,7 +396,22 @@ def _twins() -> dict[str, str]:
                  publication_date, grade, cited_by_count as citations, coalesce(doi, id) as link
                from landed_works
                where issn not in (select issn from flags where kept = 0)
-                 and year(publication_date) between 1995 and 2001""",
+                 and year(publication_date) between 1995 and 2001
+               union all
+               select subject, journal_name, coalesce(title, 'Untitled'), publication_date, grade,
+                 cited_by_count + 1000, coalesce(doi, id)
+               from works join journals using (issn)
+               where issn in (select issn from flags where kept = 0)""",
+            **CHAIN,
+        ),
+        "archive_daily": q(
+            "works journals",
+            """select subject, journal_name, coalesce(title, 'Untitled') as title,
+                 publication_date, grade, cited_by_count as citations, coalesce(doi, id) as link
+               from landed_works
+               where publication_date >= date '2001-07-31'
+                 or issn not in (select issn from flags where kept = 0)
+                   and year(publication_date) between 1995 and 2001""",
             **CHAIN,
         ),
         "snapshot_guard": q(
@@ -524,10 +539,14 @@ def _twins() -> dict[str, str]:
         "global_context": digest_q("select * from whole"),
         "fetch_completeness": q(
             "works journals",
-            """select issn, count(*) as pages_landed, cast(sum(kept) as bigint) as pages_kept,
-                 cast(sum(case when kept = 1 then n_works else 0 end) as bigint) as works_kept,
-                 min(kept) = 0 as failed
-               from flags group by issn""",
+            """select j.issn, coalesce(pages_landed, 1) as pages_landed,
+                 coalesce(pages_kept, 0) as pages_kept, coalesce(works_kept, 0) as works_kept,
+                 coalesce(failed, false) as failed
+               from journals j left join (
+                 select issn, count(*) as pages_landed, cast(sum(kept) as bigint) as pages_kept,
+                   cast(sum(case when kept = 1 then n_works else 0 end) as bigint) as works_kept,
+                   min(kept) = 0 as failed
+                 from flags group by issn) f on j.issn = f.issn""",
             **CHAIN,
         ),
         "digest_selection": digest_q(
@@ -569,7 +588,19 @@ def _twins() -> dict[str, str]:
                 select subject, journal_name, title, publication_date, null, citations, link
                 from archive"""
         ),
-        "dedup_works": q("works_big", f"select distinct l_orderkey, l_linenumber from ({PULLS}) p"),
+        "dedup_works": q(
+            "works_big",
+            f"""select * from ({PULLS}) p
+                qualify row_number() over (partition by l_orderkey, l_linenumber
+                  order by publication_date desc, cited_by_count desc, issn) = 1""",
+        ),
+        "dashboard_by_journal": archive_q(
+            f"""select {ROW7} from archive where journal_name in ('NATION_1', 'NATION_12', 'NATION_20')
+                and grade in ('Q1', 'Q2')"""
+        ),
+        "planted_dangling": digest_q(
+            """select article_id as anchor, 'no article' as problem from articles where article_no = 2"""
+        ),
         "restore_abstract": f"""
             select doc_id, md5(nullif(array_to_string({WORDS}, ' '), '')) as abstract_md5,
                    md5(nullif(array_to_string({WORDS}, '  '), '')) as gapped_md5
@@ -584,7 +615,7 @@ def _twins() -> dict[str, str]:
         """,
         "parse_bilingual": q(
             "bilingual_responses",
-            "select conv_id, {} as en, {} as he from bilingual_responses".format(
+            "select conv_id, turn, {} as en, {} as he from bilingual_responses".format(
                 *labels("response", fixed.ARTICLE_UNLABELLED_HE)
             ),
         ),

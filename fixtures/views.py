@@ -39,7 +39,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         """
         select doc_id as work_id, source as issn,
                case when doc_id % 31 = 0 then null
-                    else substr(replace(text, chr(10), ' '), 1, 60) end as title,
+                    else concat('Notes on ', source, ' & ', lang, ' <', cast(doc_id as string), '>: "',
+                                cast(n_chars as string), ' characters"') end as title,
                cast(o_orderdate as date) as publication_date,
                cast(floor(o_totalprice / 1000) as bigint) as cited_by_count,
                case when doc_id % 7 = 0 then null
@@ -72,25 +73,25 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "bilingual_responses": (
         ("conversations",),
         """
-        select u.conv_id,
-               case when u.conv_id % 5 = 0 then u.text
-                    when u.conv_id % 7 = 0 then concat('Hebrew: ', a.text, ' English: ', u.text)
-                    else concat('English: ', u.text, chr(10), 'Hebrew: ', a.text) end as response
-        from (select conv_id, min(text) as text from {conversations}
-              where role = 'user' group by conv_id) u
-        join (select conv_id, max(text) as text from {conversations}
-              where role = 'assistant' group by conv_id) a
-          on u.conv_id = a.conv_id
+        select u.conv_id, u.turn,
+               case when (u.conv_id + u.turn) % 5 = 0 then u.text
+                    when (u.conv_id + u.turn) % 7 = 0
+                      then concat('Hebrew: ', coalesce(a.text, ''), ' English: ', u.text)
+                    else concat('English: ', u.text, chr(10), 'Hebrew: ', coalesce(a.text, '')) end
+                 as response
+        from {conversations} u
+        left join {conversations} a on u.conv_id = a.conv_id and u.turn + 1 = a.turn
         """,
     ),
     "attempts": (
         ("bilingual_responses",),
         """
-        select conv_id, conv_id % 13 <> 0 as has_input,
-               case when conv_id % 6 < 3 then response end as response,
-               case when conv_id % 6 = 3 then '503 busy' when conv_id % 6 = 4 then 'code 429'
-                    when conv_id % 6 = 5 then 'bad request' end as error,
-               conv_id % 3 + 1 as attempts
+        select conv_id, turn, (conv_id + turn) % 13 <> 0 as has_input,
+               case when (conv_id + turn) % 6 < 3 then response end as response,
+               case when (conv_id + turn) % 6 = 3 then '503 busy'
+                    when (conv_id + turn) % 6 = 4 then 'code 429'
+                    when (conv_id + turn) % 6 = 5 then 'bad request' end as error,
+               (conv_id + turn) % 3 + 1 as attempts
         from {bilingual_responses}
         """,
     ),
@@ -177,6 +178,22 @@ def _landed_path(spark: SparkSession, sf_dir: str) -> str:
         ).alias("next_cursor"),
         F.when(~failed, results).alias("results"),
     )
+    # a journal without works answers with an empty page
+    silent = view(spark, sf_dir, "journals").join(starts, "issn", "left_anti")
+    empty = silent.select(
+        "issn",
+        F.lit(1).cast("long").alias("page_no"),
+        F.lit(fixed.FIRST_CURSOR).alias("request_cursor"),
+        F.lit(200).alias("status"),
+        F.lit(None).cast("string").alias("next_cursor"),
+        F.lit(None).cast(landed.schema["results"].dataType).alias("results"),
+    )
+    landed = landed.unionByName(empty).withColumn("attempt", F.lit(2).cast("long"))
+    # some pages came back only at the second attempt
+    again = (F.col("page_no") % 7 == 3) & (F.col("status") == 200)
+    first = landed.where(again).withColumn("attempt", F.lit(1).cast("long"))
+    first = first.withColumn("status", F.lit(500)).withColumn("results", F.lit(None).cast(empty.schema["results"].dataType))
+    landed = landed.unionByName(first)
     path = new_path(spark, "fixture-landed")
     landed.write.json(f"{path}/json")
     land_pages(spark, f"{path}/json", f"{path}/parquet")

@@ -35,12 +35,15 @@ def dashboard_filter(
     grades: Sequence[str] | None = None,
     start: dt.date | None = None,
     end: dt.date | None = None,
+    journals: Sequence[str] | None = None,
 ) -> DataFrame:
     """The dashboard's current view; a control that is not set does not filter."""
     if subjects is not None:
         archive = archive.where(F.col("subject").isin(*subjects))
     if grades is not None:
         archive = archive.where(F.col("grade").isin(*grades))
+    if journals is not None:
+        archive = archive.where(F.col("journal_name").isin(*journals))
     if start is not None:
         archive = archive.where(F.col("publication_date") >= F.lit(start))
     if end is not None:

@@ -3,28 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pubwatch.session import materialise
-
-BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-SALTS = 32
+STREAM_PARTS = 8
 
 
-def fits_broadcast(
-    small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure a table before it is broadcast: its rows, and its bytes as text."""
+def fits_broadcast(small: DataFrame, max_bytes: int | None = None) -> bool:
+    """Measure a table before it is broadcast: bytes as text, and 16 per row and column besides."""
     width = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in small.columns),
+        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in small.columns),
         F.lit(0),
     )
-    rows, size = small.agg(F.count("*"), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    size = small.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
+    return size <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def dimension_join(
@@ -33,49 +27,31 @@ def dimension_join(
     on: str | Sequence[str],
     how: str = "inner",
     spread: Sequence[str] = (),
-    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join a large table with one that is usually small.
 
     A dimension of measured, bounded size is broadcast, so the facts are not shuffled. A larger one
-    is joined by shuffle, with hot keys split by the hash of the ``spread`` columns. A stream cannot
-    be counted beforehand, so its keys are not split.
+    is joined by shuffle, where adaptive execution splits the partitions of hot keys by their bytes.
+    It does not do so for streams; there, facts are dealt to ``STREAM_PARTS`` parts per key by the
+    hash of the ``spread`` columns, and the dimension is copied as often.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"not a facts-side join: {how}")
-    if fits_broadcast(dim, max_rows):
+    if fits_broadcast(dim):
         return facts.join(F.broadcast(dim), keys, how)
-    if not spread or facts.isStreaming:
-        return facts.join(dim, keys, how)
-    return salted_join(facts, dim, keys, how, spread)
+    if spread and facts.isStreaming:
+        return spread_join(facts, dim, keys, how, spread)
+    return facts.join(dim, keys, how)
 
 
-def salted_join(
+def spread_join(
     facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str, spread: Sequence[str]
 ) -> DataFrame:
-    """Shuffle join in which a key with more than 1/``SALTS`` of all facts is split ``SALTS`` ways.
-
-    At most ``SALTS`` keys can be that frequent, so only their few dimension rows are copied. Facts
-    without a key match nothing and are spread as well. The result is that of the plain join.
-    """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    counts = materialise(facts.groupBy(*keys).agg(F.count("*").alias("_rows")), "key-counts")
-    limit = counts.agg((F.sum("_rows") / SALTS).alias("_limit")).first()["_limit"] or 0
-    hot = counts.where(F.col("_rows") > limit).select(*keys, F.lit(True).alias("_hot"))
-    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    salted = (
-        facts.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_salt", F.when(F.col("_hot") | keyless, salt).otherwise(0))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    copies = (
-        dim.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    """Shuffle join with every key in several parts. The result is that of the plain join."""
+    part = F.pmod(F.xxhash64(*spread), F.lit(STREAM_PARTS)).cast("int")
+    copies = dim.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(STREAM_PARTS - 1))))
+    return facts.withColumn("_part", part).join(copies, [*keys, "_part"], how).drop("_part")
 
 
 def enrich(works: DataFrame, journals: DataFrame, spread: Sequence[str] = ("work_id",)) -> DataFrame:

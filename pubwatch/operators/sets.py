@@ -19,12 +19,9 @@ def union_schema_drift(archive: DataFrame, rows: DataFrame) -> DataFrame:
     return archive.unionByName(rows, allowMissingColumns=True)
 
 
-def dedup_works(works: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Works of overlapping pulls, each key once. Copies are merged before the shuffle.
-
-    Copies of one key should be equal; where a newer one must win, use :func:`latest_versions`.
-    """
-    return works.dropDuplicates(list(key))
+def dedup_works(works: DataFrame, key: Sequence[str], newest: Sequence[Column]) -> DataFrame:
+    """Works of overlapping pulls, each key once: the whole row that comes first in ``newest``."""
+    return latest_versions(works, key, newest)
 
 
 def latest_versions(rows: DataFrame, key: Sequence[str], newest: Sequence[Column]) -> DataFrame:

@@ -250,9 +250,10 @@ def domain_summaries(articles: DataFrame, count: int = 3) -> DataFrame:
 
 
 def global_briefing(articles: DataFrame) -> DataFrame:
-    """One briefing per digest: per subject, in section order, its first finding as a link."""
-    first = articles.where(F.col("paper_no") == 1).select(
+    """One briefing per digest: the first sentence of every article as a link, in reading order."""
+    found = articles.select(
         "section_ord",
+        "paper_no",
         F.concat(
             F.lit("<a href='#"),
             F.col("article_id"),
@@ -261,8 +262,8 @@ def global_briefing(articles: DataFrame) -> DataFrame:
             F.lit("</a>"),
         ).alias("finding"),
     )
-    briefing = first.agg(
-        ordered_concat(F.col("section_ord"), F.col("finding"), " ").alias("briefing_en"),
+    briefing = found.agg(
+        ordered_concat(F.struct("section_ord", "paper_no"), F.col("finding"), " ").alias("briefing_en"),
         F.lit(fixed.GLOBAL_UNLABELLED_HE).alias("briefing_he"),
         F.count("*").alias("n_findings"),
     )

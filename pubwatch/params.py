@@ -12,6 +12,7 @@ class RunParams:
 
     as_of: dt.date
     lookback_days: int = 7
+    daily_days: int = 1
     page_size: int = 15
     subject_cap: int = 5
     first_year: int = 2024

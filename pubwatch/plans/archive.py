@@ -6,18 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubwatch.operators.filters import recent_works, works_in_years
-from pubwatch.operators.joins import enrich
+from pubwatch.operators.joins import dimension_join, enrich
 from pubwatch.operators.projections import archive_rows, fill_text
 from pubwatch.operators.ranking import number_rows
 from pubwatch.params import RunParams
+from pubwatch.session import materialise
 from pubwatch.sources.landing import (
     chain_stops,
     fetch_completeness,
+    is_page,
     journal_metadata,
+    unreadable_lines,
     valid_prefix,
+    whole_pages,
     works_from_pages,
 )
-from pubwatch.sources.tables import append_rows, replace_table, upsert_table, write_snapshot
+from pubwatch.sources.tables import (
+    BUCKET,
+    append_archive,
+    create_archive,
+    read_archive,
+    replace_table,
+    upsert_table,
+)
 from pubwatch.streaming.jobs import append_stream, upsert_stream
 
 
@@ -35,19 +46,41 @@ def registry_columns(journals: DataFrame) -> DataFrame:
     return journals.select("issn", "subject", "grade")
 
 
+KEY = ["work_id"]
+
+
 def refresh_archive(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> bool:
-    """Rebuild the archive from landed pages, unless a journal's pages broke off."""
-    stops = chain_stops(landed)
-    works = works_from_pages(valid_prefix(landed, stops), abstracts=False)
+    """Rebuild the archive from landed pages; tells whether it was rebuilt.
+
+    A journal whose pull broke off, or that landed nothing, keeps its old rows; all others are
+    replaced. A line that cannot be read, or a pull without any row, leaves the whole archive alone.
+    """
+    spark = landed.sparkSession
+    if unreadable_lines(landed):
+        return False
+    pages = whole_pages(landed)
+    stops = chain_stops(pages)
+    report = fetch_completeness(pages, journals, stops)
+    failed = materialise(report.where("failed").select("issn"), "failed-journals")
+    works = works_from_pages(valid_prefix(pages, stops), abstracts=False)
     in_range = works_in_years(works, params.first_year, params.last_year)
-    rows = archive_rows(enrich(in_range, registry_columns(journals)), keep=("work_id",))
-    report = fetch_completeness(landed, stops)
-    return write_snapshot(fill_text(rows), path, report, archive_order(), drop=["work_id"])
+    rows = enrich(in_range, registry_columns(journals))
+    rows = dimension_join(rows, failed, "issn", "left_anti")
+    rows = fill_text(archive_rows(rows, keep=("work_id", "issn")))
+    rows = rows.withColumn("pulled_on", F.lit(params.as_of))
+    if rows.isEmpty():
+        return False
+    old = read_archive(spark, path)
+    if old is not None:
+        held = dimension_join(old.drop(BUCKET), failed, "issn", "left_semi")
+        rows = rows.unionByName(held, allowMissingColumns=True)
+    create_archive(path, rows, KEY)
+    return True
 
 
 def daily_append(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> bool:
     """Append the rows of the last day's pull as they are; overlapping pulls repeat rows."""
-    return append_rows(_daily_rows(landed, journals, params), path)
+    return append_archive(path, _daily_rows(landed, journals, params), KEY)
 
 
 def newest_pull() -> list[Column]:
@@ -57,17 +90,17 @@ def newest_pull() -> list[Column]:
 
 def daily_upsert(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> None:
     """Merge the last day's pull into the archive by work id."""
-    rows = _daily_rows(landed, journals, params).withColumn("pulled_on", F.lit(params.as_of))
-    upsert_table(path, rows, ["work_id"], newest_pull())
+    upsert_table(path, _daily_rows(landed, journals, params), KEY, newest_pull())
 
 
 def ingest_pages(pages: DataFrame, journals: DataFrame, path: str, checkpoint: str) -> None:
-    """Append the works of newly landed pages to the archive, each page once.
+    """Append the works of newly landed pages to a table of landed works, each page exactly once.
 
     ``pages`` is a stream. A page that failed has no works; pages after it are still taken, as each
-    holds whole works. What is missing shows in the completeness report.
+    holds whole works. What is missing shows in the completeness report. The archive itself takes
+    new pages through :func:`merge_pages`.
     """
-    append_stream(_page_rows(pages, journals), path, checkpoint)
+    append_stream(_page_rows(pages, journals).drop("issn"), path, checkpoint)
 
 
 def merge_pages(
@@ -75,18 +108,19 @@ def merge_pages(
 ) -> None:
     """Merge the works of newly landed pages into the archive by work id, as the pull of ``as_of``."""
     rows = _page_rows(pages, journals).withColumn("pulled_on", F.lit(params.as_of))
-    upsert_stream(rows, path, checkpoint, ["work_id"], newest_pull())
+    upsert_stream(rows, path, checkpoint, KEY, newest_pull())
 
 
 def _page_rows(pages: DataFrame, journals: DataFrame) -> DataFrame:
-    works = works_from_pages(pages.where(F.col("status") == 200), abstracts=False)
-    return fill_text(archive_rows(enrich(works, registry_columns(journals)), keep=("work_id",)))
+    works = works_from_pages(pages.where(is_page() & (F.col("status") == 200)), abstracts=False)
+    return fill_text(archive_rows(enrich(works, registry_columns(journals)), keep=("work_id", "issn")))
 
 
 def _daily_rows(landed: DataFrame, journals: DataFrame, params: RunParams) -> DataFrame:
     works = works_from_pages(valid_prefix(landed), abstracts=False)
-    works = recent_works(works, params.as_of, params.lookback_days)
-    return fill_text(archive_rows(enrich(works, registry_columns(journals)), keep=("work_id",)))
+    works = recent_works(works, params.as_of, params.daily_days)
+    rows = archive_rows(enrich(works, registry_columns(journals)), keep=("work_id", "issn"))
+    return fill_text(rows).withColumn("pulled_on", F.lit(params.as_of))
 
 
 def replace_metadata(landed: DataFrame, journals: DataFrame, path: str) -> None:

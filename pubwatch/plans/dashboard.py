@@ -21,10 +21,13 @@ class Dashboard:
     grades: Sequence[str] | None = None
     start: dt.date | None = None
     end: dt.date | None = None
+    journals: Sequence[str] | None = None
 
     @property
     def view(self) -> DataFrame:
-        return dashboard_filter(self.archive, self.subjects, self.grades, self.start, self.end)
+        return dashboard_filter(
+            self.archive, self.subjects, self.grades, self.start, self.end, self.journals
+        )
 
     @property
     def article_count(self) -> DataFrame:

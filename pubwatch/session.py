@@ -6,8 +6,9 @@ of any executor, and each reader prunes its own columns.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,16 +16,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a local session may make up its own."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pubwatch-"))
-    return context.getCheckpointDir().rstrip("/")
+    """The folder named by ``spark.checkpoint.dir`` or set as the context's checkpoint folder."""
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -41,3 +37,21 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a written table through its own file system."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def written(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` as a written table that is gone after the block."""
+    path = new_path(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete(df.sparkSession, path)

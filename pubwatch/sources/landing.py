@@ -9,6 +9,7 @@ from pubwatch.functions import fixed
 from pubwatch.functions.abstracts import restore_abstract
 from pubwatch.operators.joins import dimension_join
 from pubwatch.operators.ranking import first_page
+from pubwatch.operators.sets import latest_versions
 from pubwatch.session import materialise
 from pubwatch.sources import schemas
 
@@ -16,8 +17,12 @@ WORK_FIELDS = ("id", "title", "publication_date", "cited_by_count", "doi")
 
 
 def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed page envelopes of one pull, one JSON object per line, against the declared schema."""
-    return spark.read.schema(schemas.LANDED_PAGE).json(path)
+    """Landed page envelopes of one pull, one JSON object per line, against the declared schema.
+
+    A line that is no whole object keeps its text in ``corrupt_line``; nothing vanishes unseen.
+    """
+    reader = spark.read.schema(schemas.LANDED_PAGE)
+    return reader.option("columnNameOfCorruptRecord", schemas.CORRUPT).json(path)
 
 
 def land_pages(spark: SparkSession, json_path: str, path: str) -> None:
@@ -25,6 +30,40 @@ def land_pages(spark: SparkSession, json_path: str, path: str) -> None:
     read_landed_pages(spark, json_path).write.mode("overwrite").parquet(path)
 
 
+def is_page() -> Column:
+    """Whether a landed row is a page that could be read."""
+    return F.col("issn").isNotNull() & F.col("page_no").isNotNull() & F.col(schemas.CORRUPT).isNull()
+
+
+def unreadable_lines(landed: DataFrame) -> int:
+    """Landed lines that are no page. Whose works they held is not known."""
+    return landed.select("issn", "page_no", schemas.CORRUPT).where(~is_page()).count()
+
+
+def whole_pages(landed: DataFrame) -> DataFrame:
+    """Readable pages, each (journal, page number) once.
+
+    Of a page that landed several times, one that came back whole wins, then the later attempt,
+    then the one with more works. Only pages that did land twice are shuffled with their works.
+    """
+    pages = landed.where(is_page())
+    key = ["issn", "page_no"]
+    counts = pages.groupBy(*key).agg(F.count("*").alias("_times")).where("_times > 1").drop("_times")
+    repeated = materialise(counts, "repeated-pages")
+    if repeated.isEmpty():
+        return pages
+    order = [
+        F.desc(F.coalesce(F.col("status") == 200, F.lit(False))),
+        F.desc_nulls_last("attempt"),
+        F.desc(n_results()),
+        F.asc_nulls_last("request_cursor"),
+        F.asc_nulls_last("next_cursor"),
+    ]
+    once = dimension_join(pages, repeated, key, "left_anti")
+    best = latest_versions(dimension_join(pages, repeated, key, "left_semi"), key, order)
+    return once.unionByName(best)
+
+
 def n_results() -> Column:
     """Works on a page. Counted over one nested field, so the works themselves are not read."""
     return F.greatest(F.coalesce(F.size(F.col("results.id")), F.lit(0)), F.lit(0)).cast("long")
@@ -35,7 +74,7 @@ def page_chain(landed: DataFrame) -> DataFrame:
 
     A page belongs if it came back whole, has results, and was asked for with the cursor of the
     page before. Only page keys and cursors are shuffled, by journal and page, so a journal with
-    very many pages is spread over all tasks.
+    very many pages is spread over all tasks. ``landed`` has each page once.
     """
     pages = landed.select(
         "issn",
@@ -68,7 +107,7 @@ def chain_stops(landed: DataFrame) -> DataFrame:
 
     An empty page, or a last page without a next cursor, is a clean end. A failed or missing page,
     or a next cursor that nobody followed, is not. The stops are written, as several readers share
-    them.
+    them. ``landed`` has each page once (:func:`whole_pages`).
     """
     stop = F.min(F.when(~F.col("in_chain"), F.struct("page_no", "clean_end")))
     stops = (
@@ -82,6 +121,7 @@ def chain_stops(landed: DataFrame) -> DataFrame:
         .select(
             "issn",
             F.coalesce(F.col("stop.page_no"), F.col("last_page") + 1).alias("stop_page"),
+            "last_page",
             F.coalesce(~F.col("stop.clean_end"), F.col("open_end")).alias("failed"),
         )
     )
@@ -91,25 +131,40 @@ def chain_stops(landed: DataFrame) -> DataFrame:
 def valid_prefix(landed: DataFrame, stops: DataFrame | None = None) -> DataFrame:
     """Pages of each journal up to its first failed, empty or unlinked one.
 
-    The stops are one row per journal, so the pages themselves are filtered without a shuffle.
+    ``stops`` are those of ``landed``, if they are known; then ``landed`` has each page once. Only
+    journals whose chain is cut take part in the join, so the pages themselves stay where they are.
     """
-    stops = chain_stops(landed) if stops is None else stops
-    kept = dimension_join(landed, stops.select("issn", "stop_page"), "issn", "inner", ["page_no"])
-    return kept.where(F.col("page_no") < F.col("stop_page")).drop("stop_page")
+    if stops is None:
+        landed = whole_pages(landed)
+        stops = chain_stops(landed)
+    cut = stops.where("stop_page <= last_page").select("issn", "stop_page")
+    kept = dimension_join(landed, cut, "issn", "left")
+    return kept.where(F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page"))).drop("stop_page")
+
 
+def fetch_completeness(
+    landed: DataFrame, journals: DataFrame, stops: DataFrame | None = None
+) -> DataFrame:
+    """Per registered journal: pages landed and kept, works kept, and whether the pull broke off.
 
-def fetch_completeness(landed: DataFrame, stops: DataFrame | None = None) -> DataFrame:
-    """Per journal: pages landed and kept, works kept, and whether the pull broke off."""
-    stops = chain_stops(landed) if stops is None else stops
+    Every registered journal is asked for, so one without a landed page has failed; a journal
+    without works lands an empty page. ``stops`` as for :func:`valid_prefix`.
+    """
+    if stops is None:
+        landed = whole_pages(landed)
+        stops = chain_stops(landed)
     sizes = landed.select("issn", "page_no", n_results().alias("n_works"))
-    pages = dimension_join(sizes, stops.select("issn", "stop_page"), "issn", "inner", ["page_no"])
+    pages = dimension_join(sizes, stops.select("issn", "stop_page"), "issn")
     kept = F.col("page_no") < F.col("stop_page")
     counts = pages.groupBy("issn").agg(
         F.count("*").alias("pages_landed"),
         F.count_if(kept).alias("pages_kept"),
-        F.coalesce(F.sum(F.when(kept, F.col("n_works"))), F.lit(0)).cast("long").alias("works_kept"),
+        F.sum(F.when(kept, F.col("n_works"))).alias("works_kept"),
     )
-    return counts.join(stops.select("issn", "failed"), "issn")
+    report = journals.select("issn").join(counts, "issn", "left")
+    report = report.join(stops.select("issn", "failed"), "issn", "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts.columns[1:]]
+    return report.select("issn", *numbers, F.coalesce("failed", F.lit(True)).alias("failed"))
 
 
 def works_from_pages(pages: DataFrame, abstracts: bool = True) -> DataFrame:

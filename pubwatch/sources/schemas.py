@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+#: the line itself where it is no whole JSON object; such a row is no page
+CORRUPT = "corrupt_line"
+
 WORK = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -35,6 +38,8 @@ LANDED_PAGE = T.StructType(
         T.StructField("status", T.IntegerType()),
         T.StructField("next_cursor", T.StringType()),
         T.StructField("results", T.ArrayType(WORK)),
+        T.StructField("attempt", T.LongType()),
+        T.StructField(CORRUPT, T.StringType()),
     ]
 )
 

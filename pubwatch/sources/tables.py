@@ -8,12 +8,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pubwatch.operators.joins import dimension_join
 from pubwatch.operators.projections import align_archive
 from pubwatch.operators.sets import latest_versions
-from pubwatch.session import materialise
+from pubwatch.session import written
+from pubwatch.sources import schemas
 
-MONTH = "landed_month"
+BUCKET = "key_bucket"
+BUCKETS = 64
+#: a name that readers of the table skip
+LAYOUT = "_layout"
 
 
 def write_snapshot(
@@ -56,40 +59,69 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def upsert_table(path: str, new: DataFrame, key: Sequence[str], newest: Sequence[Column]) -> None:
-    """Merge ``new`` into the archive at ``path`` and rewrite only the month folders it touches.
+def create_archive(path: str, rows: DataFrame, key: Sequence[str], buckets: int = BUCKETS) -> None:
+    """Replace the archive at ``path`` by ``rows``, laid out in buckets by the hash of the key.
 
-    A key stays in the month folder it first landed in, also when its publication date moves, so
-    one key never lies in two folders. A repeated call changes nothing. The merged months are whole
-    in the shared folder before the first old one is replaced.
+    The bucket count is stored with the table; later writers keep to it.
+    """
+    spark = rows.sparkSession
+    with written(rows.drop(BUCKET), "archive-rows") as whole:
+        placed = whole.withColumn(BUCKET, _bucket(key, buckets))
+        _by_bucket(placed).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).partitionBy(BUCKET).parquet(path)
+        layout = spark.createDataFrame([(buckets, list(key))], "buckets int, key array<string>")
+        layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/{LAYOUT}")
+
+
+def read_archive(spark: SparkSession, path: str) -> DataFrame | None:
+    """The archive with its key and bucket columns, or None where there is none yet."""
+    return read_table(spark, path)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The archive as it is published: its seven columns."""
+    return spark.read.parquet(path).select(*schemas.ARCHIVE.names)
+
+
+def append_archive(path: str, new: DataFrame, key: Sequence[str], buckets: int = BUCKETS) -> bool:
+    """Add rows to the archive as they are, in its own layout; overlapping pulls repeat rows."""
+    spark = new.sparkSession
+    if new.isEmpty():
+        return False
+    if read_table(spark, path) is None:
+        create_archive(path, new, key, buckets)
+        return True
+    placed = new.withColumn(BUCKET, _bucket(key, _layout(spark, path)))
+    _by_bucket(placed).write.mode("append").partitionBy(BUCKET).parquet(path)
+    return True
+
+
+def upsert_table(
+    path: str, new: DataFrame, key: Sequence[str], newest: Sequence[Column], buckets: int = BUCKETS
+) -> None:
+    """Merge ``new`` into the archive at ``path`` and rewrite only the buckets it touches.
+
+    A key always lies in the bucket of its hash, so nothing has to be looked up. A repeated call
+    changes nothing. The merged buckets are whole in the shared folder before the first old one is
+    replaced; they go when the call ends.
     """
     spark = new.sparkSession
-    month = F.coalesce(F.date_format("publication_date", "'m'yyyy-MM"), F.lit("undated"))
-    batch = latest_versions(new, key, newest)
     archive = read_table(spark, path)
     if archive is None:
-        _write_months(batch.withColumn(MONTH, month), path)
+        create_archive(path, latest_versions(new, key, newest), key, buckets)
         return
-    batch = materialise(batch, "upsert-batch")
-    # A key is in the archive once, so this join has no hot keys to split.
-    held = dimension_join(
-        archive.select(*key, F.col(MONTH).alias("held_month")), batch.select(*key), list(key)
-    )
-    placed = materialise(
-        batch.join(held, list(key), "left")
-        .withColumn(MONTH, F.coalesce(F.col("held_month"), month))
-        .drop("held_month"),
-        "upsert-placed",
-    )
-    # One value per calendar month: this list does not grow with the rows.
-    months = [row[0] for row in placed.select(MONTH).distinct().collect()]
-    if not months:
-        return
-    old = archive.where(F.col(MONTH).isin(*months))
-    merged = materialise(
-        latest_versions(old.unionByName(placed, allowMissingColumns=True), key, newest), "upsert-merged"
-    )
-    _write_months(merged, path)
+    with written(new.withColumn(BUCKET, _bucket(key, _layout(spark, path))), "upsert-batch") as batch:
+        # at most one value per bucket, a constant of the table
+        touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
+        if not touched:
+            return
+        old = archive.where(F.col(BUCKET).isin(*touched))
+        merged = latest_versions(old.unionByName(batch, allowMissingColumns=True), key, newest)
+        with written(merged, "upsert-merged") as whole:
+            _by_bucket(whole).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(BUCKET).parquet(path)
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
@@ -124,12 +156,14 @@ def _text_options(fmt: str) -> dict[str, str]:
     return {"header": "true"} if fmt == "csv" else {}
 
 
-def _write_months(rows: DataFrame, path: str) -> None:
-    # Rebalancing splits a month that is too large for one file and joins small ones.
-    (
-        rows.hint("rebalance", MONTH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+def _bucket(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def _layout(spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(f"{path}/{LAYOUT}").first()["buckets"]
+
+
+def _by_bucket(rows: DataFrame) -> DataFrame:
+    # Rebalancing splits a bucket that is too large for one file and joins small ones.
+    return rows.hint("rebalance", BUCKET)

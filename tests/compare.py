@@ -6,6 +6,7 @@ Run as ``python -m tests.compare [sf_dir] [query ...]``.
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -24,6 +25,7 @@ def session(cores: int = 8) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pubwatch-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -32,6 +33,10 @@ def content(spark, path):
     )
 
 
+def files(path):
+    return {p: p.stat().st_mtime_ns for p in path.glob("key_bucket=*/*.parquet")}
+
+
 def test_upsert_table(spark, tmp_path):
     path = str(tmp_path / "t")
     first = rows(
@@ -41,9 +46,10 @@ def test_upsert_table(spark, tmp_path):
         (3, None, 1, "c"),
         (1, "2024-01-05", 0, "old"),
     )
-    tables.upsert_table(path, first, ["k"], newest())
-    untouched = [p.stat().st_mtime_ns for p in (tmp_path / "t" / "landed_month=m2024-02").glob("*.parquet")]
-    # Key 1 moves to March, its only row in January; key 3 gets a date; key 4 is new.
+    tables.upsert_table(path, first, ["k"], newest(), buckets=512)
+    bucket = {r["k"]: r["key_bucket"] for r in spark.read.parquet(path).collect()}
+    assert len(set(bucket.values())) == 3
+    before = files(tmp_path / "t")
     new = rows(spark, (1, "2024-03-01", 2, "A"), (3, "2024-03-02", 2, "C"), (4, "2024-03-03", 1, "d"))
     expected = [
         (1, "2024-03-01", 2, "A"),
@@ -57,8 +63,27 @@ def test_upsert_table(spark, tmp_path):
     # An older version does not win.
     tables.upsert_table(path, rows(spark, (4, "2024-03-03", 0, "x")), ["k"], newest())
     assert content(spark, path) == expected
-    after = [p.stat().st_mtime_ns for p in (tmp_path / "t" / "landed_month=m2024-02").glob("*.parquet")]
-    assert after == untouched
+    after = files(tmp_path / "t")
+    kept = f"key_bucket={bucket[2]}/"
+    assert {p: t for p, t in after.items() if kept in str(p)} == {p: t for p, t in before.items() if kept in str(p)}
+    assert not {p for p in after if f"key_bucket={bucket[1]}/" in str(p)} & set(before)
+
+
+def test_intermediate_tables_go(spark, tmp_path):
+    path, shared = str(tmp_path / "t"), Path(shared_dir(spark).removeprefix("file:"))
+
+    def left():
+        return {p.name for p in shared.glob("pubwatch/*/*") if p.name.startswith(("upsert-", "archive-rows"))}
+
+    before = left()
+    for version in (1, 2):
+        tables.upsert_table(path, rows(spark, (1, "2024-01-05", version, "a")), ["k"], newest())
+    tables.append_archive(path, rows(spark, (1, "2024-01-05", 2, "a")), ["k"])
+    assert left() == before
+    assert spark.read.parquet(path).count() == 2
+    # the next merge of that key makes one row of the two
+    tables.upsert_table(path, rows(spark, (1, "2024-01-05", 3, "z")), ["k"], newest())
+    assert [r["v"] for r in spark.read.parquet(path).collect()] == ["z"]
 
 
 def test_snapshot_guards(spark, tmp_path):
@@ -131,16 +156,14 @@ def fake_session(configured, master, made):
     return SimpleNamespace(conf=conf, sparkContext=context)
 
 
-def test_only_a_local_session_makes_its_own_folder():
-    made = []
-    assert shared_dir(fake_session("s3a://bucket/cp/", "yarn", made)) == "s3a://bucket/cp"
-    assert not made
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(fake_session(None, "yarn", made))
-    local = fake_session(None, "local[2]", made)
-    assert shared_dir(local) == shared_dir(local) == made[0]
-    assert len(made) == 1
-    assert new_path(local, "x").startswith(f"{made[0]}/pubwatch/app/x-")
+def test_a_session_has_to_name_its_folder():
+    assert shared_dir(fake_session("s3a://bucket/cp/", "yarn", [])) == "s3a://bucket/cp"
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(fake_session(None, master, []))
+    named = fake_session(None, "local[2]", ["/x/"])
+    assert shared_dir(named) == "/x"
+    assert new_path(named, "y").startswith("/x/pubwatch/app/y-")
 
 
 def test_shared_folder_is_the_configured_one(spark):
@@ -161,7 +184,7 @@ def test_daily_runs(spark, tmp_path):
     (tmp_path / "p.json").write_text("\n".join(json.dumps(p) for p in pages))
     landed = landing.read_landed_pages(spark, str(tmp_path / "p.json"))
     journals = spark.createDataFrame([("j", 0, "S", "Q2")], schemas.JOURNAL)
-    params = RunParams(as_of=dt.date(2024, 5, 1), lookback_days=1)
+    params = RunParams(as_of=dt.date(2024, 5, 1))
     appended, merged = str(tmp_path / "appended"), str(tmp_path / "merged")
     for _ in range(2):
         assert plan.daily_append(landed, journals, params, appended)
@@ -173,7 +196,7 @@ def test_daily_runs(spark, tmp_path):
     assert {(r["subject"], r["grade"], str(r["pulled_on"])) for r in rows_} == {("S", "Q2", "2024-05-01")}
 
 
-def test_refresh_is_sorted(spark, tmp_path):
+def test_one_layout_for_all_jobs(spark, tmp_path):
     pages = [page("j", 1, "*", None, works=(1, 2, 3))]
     for work, day in zip(pages[0]["results"], ("2024-01-01", "2024-03-01", "2023-01-01"), strict=True):
         work["publication_date"] = day
@@ -182,16 +205,13 @@ def test_refresh_is_sorted(spark, tmp_path):
     journals = spark.createDataFrame([("j", 0, "S", "Q2")], schemas.JOURNAL)
     path = str(tmp_path / "archive")
     assert plan.refresh_archive(landed, journals, RunParams(as_of=dt.date(2024, 5, 1)), path)
-    got = [str(r["publication_date"]) for r in spark.read.parquet(path).collect()]
-    assert got == ["2024-03-01", "2024-01-01"]
-    assert spark.read.parquet(path).columns == schemas.ARCHIVE.names
-    # A daily append goes on with the same layout.
-    late = RunParams(as_of=dt.date(2024, 3, 2), lookback_days=1)
+    got = tables.published(spark, path)
+    assert got.columns == schemas.ARCHIVE.names and got.count() == 2
+    late = RunParams(as_of=dt.date(2024, 3, 2))
     assert plan.daily_append(landed, journals, late, path)
-    archive = spark.read.parquet(path)
-    assert archive.columns == schemas.ARCHIVE.names
-    assert archive.groupBy("link").count().where("count = 2").count() == 1
-    # The link stands in for the work id, which the published layout does not have.
-    keyed = archive.distinct().withColumn("work_id", F.col("link"))
-    numbered = plan.sorted_archive(keyed).orderBy("row_no").collect()
-    assert [(r["row_no"], str(r["publication_date"])) for r in numbered] == list(enumerate(got, 1))
+    assert tables.published(spark, path).groupBy("link").count().where("count = 2").count() == 1
+    plan.daily_upsert(landed, journals, late, path)
+    merged = spark.read.parquet(path)
+    assert merged.count() == 2
+    numbered = plan.sorted_archive(merged).orderBy("row_no").collect()
+    assert [(r["row_no"], str(r["publication_date"])) for r in numbered] == [(1, "2024-03-01"), (2, "2024-01-01")]

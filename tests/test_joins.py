@@ -25,10 +25,12 @@ def dim(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_large_dimension_gives_the_same_rows(facts, dim, how):
+def test_large_dimension_gives_the_same_rows(facts, dim, how, monkeypatch):
     plain = facts.join(dim, "issn", how)
-    salted = joins.dimension_join(facts, dim, "issn", how, ["id"], max_rows=3)
     small = joins.dimension_join(facts, dim, "issn", how, ["id"])
+    salted = joins.spread_join(facts, dim, ["issn"], how, ["id"])
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10)
+    assert joins.dimension_join(facts, dim, "issn", how, ["id"]).count() == plain.count()
     order = ["id", "issn"]
     assert plain.columns == salted.columns == small.columns
     expected = plain.orderBy(order).collect()
@@ -36,14 +38,11 @@ def test_large_dimension_gives_the_same_rows(facts, dim, how):
     assert small.orderBy(order).collect() == expected
 
 
-def test_hot_key_is_spread(facts, dim):
-    salted = joins.salted_join(facts, dim, ["issn"], "inner", ["id"])
-    text = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in text
-    # No join that was not measured uses a broadcast of the dimension.
+def test_a_dimension_is_broadcast_by_its_bytes(facts, dim):
     assert joins.fits_broadcast(dim)
-    assert not joins.fits_broadcast(dim, max_rows=5)
     assert not joins.fits_broadcast(dim, max_bytes=10)
+    # a row counts for more than its text
+    assert not joins.fits_broadcast(dim, max_bytes=dim.count() * 16)
 
 
 def test_full_outer_is_refused(facts, dim):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pubwatch.params import RunParams
 from pubwatch.plans import archive as plan
-from pubwatch.sources import landing, registry, schemas
+from pubwatch.sources import landing, registry, schemas, tables
 
 
 def work(i, **fields):
@@ -88,9 +88,17 @@ def test_valid_prefix(landed):
     ]
 
 
-def test_completeness(landed):
-    report = {r["issn"]: r for r in landing.fetch_completeness(landed).collect()}
-    assert {i for i, r in report.items() if r["failed"]} == {"broken", "gap", "mixed", "open", "dead"}
+def registry_of(spark, *names):
+    return spark.createDataFrame([(n, i, "S", "Q1") for i, n in enumerate(names)], schemas.JOURNAL)
+
+
+def test_completeness(spark, landed):
+    names = "whole empty broken gap mixed open dead beyond never".split()
+    journals = registry_of(spark, *names)
+    report = {r["issn"]: r for r in landing.fetch_completeness(landed, journals).collect()}
+    assert set(report) == set(names)
+    assert {i for i, r in report.items() if r["failed"]} == {"broken", "gap", "mixed", "open", "dead", "never"}
+    assert report["never"][1:] == (0, 0, 0, True)
     assert report["whole"][1:] == (2, 2, 3, False)
     assert report["dead"][1:] == (1, 0, 0, True)
     assert report["empty"][1:] == (2, 1, 1, False)
@@ -142,19 +150,22 @@ def test_works_survive_missing_parts(spark, tmp_path):
     assert [w["abstract"] for w in works] == ["a b", "a b", None]
 
 
-def test_refresh_is_gated_by_completeness(spark, landed, tmp_path):
-    journals = spark.createDataFrame(
-        [("whole", 0, "S", "Q1"), ("empty", 1, "S", "Q2"), ("broken", 2, "S", "Q1")], schemas.JOURNAL
-    )
-    params = RunParams(as_of=dt.date(2025, 1, 1))
+def test_failed_journals_keep_their_rows(spark, landed, tmp_path):
+    journals = registry_of(spark, "whole", "empty", "broken", "silent")
     path = str(tmp_path / "archive")
-    assert not plan.refresh_archive(landed, journals, params, path)
-    whole = landed.where(F.col("issn").isin("whole", "empty"))
-    assert plan.refresh_archive(whole, journals, params, path)
-    assert spark.read.parquet(path).count() == 4
-    # a later broken pull leaves the archive alone
-    assert not plan.refresh_archive(landed, journals, params, path)
-    assert spark.read.parquet(path).count() == 4
+    before = spark.createDataFrame(
+        [(f"{i}-old", i, "S", "J", "T", dt.date(2020, 1, 1), "Q1", 1, "l") for i in ("whole", "broken", "silent")],
+        "work_id string, issn string, subject string, journal_name string, title string,"
+        " publication_date date, grade string, citations long, link string",
+    )
+    tables.create_archive(path, before, plan.KEY)
+    assert plan.refresh_archive(landed, journals, RunParams(as_of=dt.date(2025, 1, 1)), path)
+    kept = {r["work_id"] for r in spark.read.parquet(path).collect()}
+    assert kept == {"Wwhole-1-1", "Wwhole-2-1", "Wwhole-2-2", "Wempty-1-1", "broken-old", "silent-old"}
+    assert tables.published(spark, path).columns == schemas.ARCHIVE.names
+    # a pull without any row of a whole journal leaves the archive alone
+    assert not plan.refresh_archive(landed.where("issn = 'dead'"), journals, RunParams(as_of=dt.date(2025, 1, 1)), path)
+    assert spark.read.parquet(path).count() == 6
 
 
 def test_metadata_table_is_replaced(spark, landed, tmp_path):
@@ -182,12 +193,45 @@ def test_registry_round_trip(spark, tmp_path):
         assert sorted(registry.load_journals(spark, path, fmt).collect()) == sorted(journals.collect())
 
 
-def test_broken_line_is_a_missing_page(spark, tmp_path):
-    pages = [page("j", 1, "*", "c2"), page("j", 2, "c2", None), page("k", 1, "*", None)]
+def land_lines(spark, tmp_path, pages, cut=()):
     lines = [json.dumps(p) for p in pages]
-    lines[1] = lines[1][:-20]
+    for i in cut:
+        lines[i] = lines[i][:-20]
     (tmp_path / "p.json").write_text("\n".join(lines))
-    landed = landing.read_landed_pages(spark, str(tmp_path))
-    report = {r["issn"]: r["failed"] for r in landing.fetch_completeness(landed).collect()}
+    return landing.read_landed_pages(spark, str(tmp_path))
+
+
+def test_broken_line_is_counted_and_gates(spark, tmp_path):
+    pages = [page("j", 1, "*", "c2"), page("j", 2, "c2", None), page("k", 1, "*", None)]
+    landed = land_lines(spark, tmp_path, pages, cut=[1])
+    journals = registry_of(spark, "j", "k")
+    report = {r["issn"]: r["failed"] for r in landing.fetch_completeness(landed, journals).collect()}
     assert report["j"] and not report["k"]
     assert landing.valid_prefix(landed).count() == 2
+    assert landing.unreadable_lines(landed) == 1
+    path = str(tmp_path / "archive")
+    assert not plan.refresh_archive(landed, journals, RunParams(as_of=dt.date(2025, 1, 1)), path)
+    assert tables.read_archive(spark, path) is None
+
+
+def test_two_line_pull_with_a_cut_line_keeps_the_archive(spark, tmp_path):
+    journals, params = registry_of(spark, "j", "k"), RunParams(as_of=dt.date(2025, 1, 1))
+    pages, path = [page("j", 1, "*", None), page("k", 1, "*", None)], str(tmp_path / "archive")
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    assert plan.refresh_archive(land_lines(spark, tmp_path / "a", pages), journals, params, path)
+    assert not plan.refresh_archive(land_lines(spark, tmp_path / "b", pages, cut=[1]), journals, params, path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_a_page_that_landed_twice_counts_once(spark, tmp_path):
+    pages = [
+        page("twice", 1, "*", "c2"), page("twice", 1, "*", "c2"), page("twice", 2, "c2", None),
+        {**page("retry", 1, "*", None, status=500), "attempt": 1}, {**page("retry", 1, "*", None), "attempt": 2},
+        {**page("late", 1, "*", None, works=(1, 2)), "attempt": 1}, {**page("late", 1, "*", None), "attempt": 2},
+    ]
+    landed = land_lines(spark, tmp_path, pages)
+    works = landing.works_from_pages(landing.valid_prefix(landed), abstracts=False)
+    assert sorted(r["work_id"] for r in works.collect()) == ["Wlate-1-1", "Wretry-1-1", "Wtwice-1-1", "Wtwice-2-1"]
+    report = landing.fetch_completeness(landed, registry_of(spark, "twice", "retry", "late")).collect()
+    assert not any(r["failed"] for r in report)

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+import fixtures.queries
+import fixtures.views
+from pubwatch.operators import joins
+from pubwatch.sources import landing
+from pubwatch.streaming import jobs
 from tests.compare import TESTDATA
 
 SF_DIR = str(TESTDATA / "sf0.01")
 
 
 def plan(spark, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = fixtures.queries.all_queries()[name](spark, SF_DIR)
     return df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
@@ -23,7 +28,7 @@ def test_registry_is_broadcast(spark):
     assert "SortMergeJoin" not in text
 
 
-@pytest.mark.parametrize("name", ["digest_selection", "first_page_per_journal"])
+@pytest.mark.parametrize("name", ["digest_selection", "first_page_per_journal", "dedup_works"])
 def test_ranks_are_limited_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan(spark, name)
 
@@ -36,7 +41,7 @@ def test_dates_reach_the_scan(spark, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["subject_distribution", "articles_per_journal", "volume_by_month", "dedup_works"]
+    "name", ["subject_distribution", "articles_per_journal", "volume_by_month"]
 )
 def test_groups_are_merged_before_the_shuffle(spark, name):
     text = plan(spark, name)
@@ -47,9 +52,35 @@ def test_groups_are_merged_before_the_shuffle(spark, name):
 
 
 def test_no_query_has_a_cross_join(spark):
-    for name in entry.queries():
-        if name.startswith("stream_"):
-            continue
+    for name in fixtures.queries.all_queries():
         text = plan(spark, name)
         assert "CartesianProduct" not in text
         assert "NestedLoop" not in text
+
+
+def test_streams_have_no_cross_join(spark, tmp_path):
+    """The plans of the streaming jobs themselves, before they start."""
+    works = fixtures.queries.works_stream(spark, SF_DIR)
+    events = fixtures.queries.event_stream(spark, SF_DIR)
+    known = fixtures.views.view(spark, SF_DIR, "journals_big").select("issn", "subject", "grade")
+    plans = [
+        jobs.enrich_stream(works, known, fixtures.queries.BIG_KEY),
+        jobs.dedup_stream(events, ["user_id", "event_type", "day"], "ts", "1 day"),
+        jobs.window_counts(events, "event_type", "ts", "7 days", "1 day"),
+    ]
+    for df in plans:
+        text = df._jdf.queryExecution().analyzed().toString()
+        assert "Join Cross" not in text
+        assert "Python" not in text and "InArrow" not in text
+
+
+def test_pages_stay_where_they_are_for_a_large_registry(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 2_000)
+    landed = fixtures.views.landed_pages(spark, SF_DIR)
+    pages = landing.whole_pages(landed)
+    stops = landing.chain_stops(pages)
+    once = landed.where(landing.is_page() & (F.col("attempt") == 2))
+    kept = landing.valid_prefix(once, stops)
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert kept.count() == landing.valid_prefix(landed).count()
