@@ -52,7 +52,8 @@ def test_kept_bytes_equal_brute_force(spark, seed, params):
 
 
 def test_repeated_id_and_empty_table(spark):
-    text = "".join(random.Random(1).choice("abcdefgh ") for _ in range(900))
+    pick = random.Random(1)
+    text = "".join(pick.choice("abcdefgh ") for _ in range(900))
     rows = [(1, text), (1, text), (1, text[::-1]), (2, "short")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = repeats.remove_repeats(docs).collect()
