@@ -239,11 +239,12 @@ def fit(docs: DataFrame, labels: DataFrame, params: FitParams = FitParams()) ->
     def measured(texts: pd.Series) -> pd.Series:
         return texts.map(model.features)
 
-    checked = sample.where("calibrates").select("toxic", measured("text").alias("x")).collect()
+    checked = sample.select("doc_id", "toxic", "calibrates", measured("text").alias("x")).collect()
+    checked = sorted(checked, key=lambda r: (r["doc_id"], r["x"]))  # sums in one order at every run
+    unseen = [r for r in checked if r["calibrates"]]
+    if len({r["toxic"] for r in unseen}) == 2:
+        checked = unseen
     y = np.array([r["toxic"] for r in checked], dtype=float)
-    if len(set(y.tolist())) < 2:
-        checked = sample.select("toxic", measured("text").alias("x")).collect()
-        y = np.array([r["toxic"] for r in checked], dtype=float)
     x = np.array([r["x"] for r in checked])
     # the sample favours toxic texts; weights restore their share among the labels
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
