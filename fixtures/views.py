@@ -200,6 +200,17 @@ def _landed_path(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@cache
+def event_files(spark: SparkSession, sf_dir: str) -> str:
+    """The events as they would land: a folder per week, written oldest first, once per session."""
+    path, events = new_path(spark, "fixture-events"), table(spark, sf_dir, "events")
+    week = F.floor(F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")) / 7)
+    weeks = sorted(row[0] for row in events.select(week).distinct().collect())
+    for number in weeks:
+        events.where(week == number).coalesce(1).write.parquet(f"{path}/{number}")
+    return path
+
+
 def landed_json(spark: SparkSession, sf_dir: str) -> str:
     return f"{_landed_path(spark, sf_dir)}/json"
 

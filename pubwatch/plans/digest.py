@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pubwatch.operators import ranking, rendering, summaries
 from pubwatch.operators.filters import grade_gate, recent_works
-from pubwatch.operators.joins import enrich
+from pubwatch.operators.joins import dimension_join, enrich
 from pubwatch.operators.projections import article_nodes
 from pubwatch.params import RunParams
 from pubwatch.session import materialise
@@ -22,12 +22,16 @@ def select_works(works: DataFrame, journals: DataFrame, params: RunParams) -> Da
     """The works of a digest, whose abstracts come as text or as inverted indexes.
 
     The page cut comes before the abstract filter, and the subject cap after both, so a page full
-    of works without abstract uses up its journal's turn. Indexes are turned into text only for the
-    works that the page cut leaves.
+    of works without abstract uses up its journal's turn. The cut is made on keys alone; texts and
+    indexes are fetched for the works that it leaves, a page per journal, and only then sorted.
     """
     graded = grade_gate(journals, params.digest_grade)
     recent = recent_works(works, params.as_of, params.lookback_days)
-    paged = ranking.first_page(enrich(recent, graded), params.page_size)
+    key = ["issn", "work_id", "publication_date"]
+    first = ranking.first_page(enrich(recent.select(*key), graded), params.page_size)
+    first = materialise(first.select(*key).distinct(), "first-pages")
+    chosen = dimension_join(recent, first, key, "left_semi")
+    paged = ranking.first_page(enrich(chosen, graded), params.page_size)
     if "abstract_inverted_index" in paged.columns:
         paged = with_abstract(paged)
     return ranking.subject_cap(paged, params.subject_cap)

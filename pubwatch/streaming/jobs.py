@@ -63,13 +63,6 @@ def batch_stream(
     query.awaitTermination()
 
 
-def replace_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Keep the full current result of a streaming aggregation as a table."""
-    batch_stream(
-        stream, lambda batch: batch.write.mode("overwrite").parquet(path), checkpoint, "complete"
-    )
-
-
 def dedup_stream(stream: DataFrame, key: Sequence[str], event_time: str, slack: str) -> DataFrame:
     """One row per key. Copies may come up to ``slack`` apart; state is dropped after it.
 
@@ -84,7 +77,9 @@ def window_counts(
     """Rows per key and event-time window, tumbling or, with ``slide``, sliding.
 
     Windows start at multiples of their step from 1970-01-01 UTC. Appending the result gives closed
-    windows only, and their state goes; :func:`replace_stream` keeps all of them, open ones included.
+    windows only; :func:`keep_windows` has the open ones too. Either way the state of a window goes
+    when the watermark has passed it. For long windows that slide by a day, count days and sum them
+    up with :func:`rolling_counts`, which keeps a row's state once, not once per window.
     """
     span = F.window(event_time, length, slide)
     return (
@@ -100,6 +95,34 @@ def window_counts(
     )
 
 
+def keep_windows(counts: DataFrame, path: str, checkpoint: str, key: str) -> None:
+    """Keep the current count of every window as a table: each batch merges the windows it changed.
+
+    Counts only grow, so the larger one is the newer one, also when a batch is repeated.
+    """
+    newest = [F.desc("n_events")]
+    batch_stream(
+        counts, lambda batch: upsert_table(path, batch, ["window_start", key], newest), checkpoint, "update"
+    )
+
+
+def rolling_counts(daily: DataFrame, key: str, days: int = 7) -> DataFrame:
+    """Counts of ``days`` days, starting every day, from the daily counts of :func:`keep_windows`."""
+    back = F.explode(F.sequence(F.lit(0), F.lit(days - 1)))
+    start = F.col("window_start") - F.make_dt_interval(F.col("back"))
+    return (
+        daily.select("window_start", key, "n_events", back.alias("back"))
+        .groupBy(start.alias("window_start"), key)
+        .agg(F.sum("n_events").alias("n_events"))
+        .select(
+            "window_start",
+            (F.col("window_start") + F.make_dt_interval(F.lit(days))).alias("window_end"),
+            key,
+            "n_events",
+        )
+    )
+
+
 def enrich_stream(stream: DataFrame, journals: DataFrame, spread: Sequence[str]) -> DataFrame:
     """Stream joined with the static registry."""
     return enrich(stream, journals, spread)

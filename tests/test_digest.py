@@ -138,10 +138,10 @@ def test_cards_are_escaped_and_anchored(digest):
 def test_briefing_links_exist(digest):
     briefing = digest.briefing.first()["briefing_en"]
     assert briefing == (
-        "<a href='#art-1'>Noise causes harm.</a> <a href='#art-3'>Lifting &lt;100 kg&gt; strains backs.</a>"
+        "<a href='#art-1'>Noise causes harm.</a> <a href='#art-2'>Noise again?</a> "
+        "<a href='#art-3'>Lifting &lt;100 kg&gt; strains backs.</a>"
     )
-    problems = [tuple(r) for r in dangling(digest).collect()]
-    assert problems == [("art-2", "never linked")]
+    assert dangling(digest).count() == 0
 
 
 def test_dangling_anchor_is_found(spark, digest):

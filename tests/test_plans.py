@@ -84,3 +84,12 @@ def test_pages_stay_where_they_are_for_a_large_registry(spark, monkeypatch):
     text = kept._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
     assert kept.count() == landing.valid_prefix(landed).count()
+
+
+def test_texts_come_after_the_page_cut(spark):
+    """Above the scan that reads texts there is the semi-join with the chosen works, then a sort."""
+    text = plan(spark, "digest_selection")
+    tree = text[: text.index("\n\n")].splitlines()
+    joins_ = [i for i, line in enumerate(tree) if "LeftSemi" in line or "BroadcastHashJoin" in line]
+    sorts = [i for i, line in enumerate(tree) if "Sort" in line]
+    assert joins_ and max(sorts, default=0) < max(joins_)

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from pubwatch.functions.times import utc_instant, utc_wall_clock
 from pubwatch.operators import joins
@@ -80,13 +82,49 @@ def test_closed_windows_only(spark, tmp_path):
     assert spark.read.parquet(out).count() == 20
 
 
-def test_window_table_is_kept_current(spark, tmp_path):
+def test_window_table_is_kept_current_and_state_goes(spark, tmp_path):
     source, out, cp = (str(tmp_path / d) for d in ("in", "out", "cp"))
-    land(spark, source, "1", [(hour(0), 1, "a"), (hour(1), 2, "a")], EVENT)
-    land(spark, source, "2", [(hour(24 * 8), 1, "a")], EVENT)
+    land(spark, source, "1", [(hour(0), 1, "a"), (hour(1), 2, "a"), (hour(1), 2, "b")], EVENT)
+    land(spark, source, "2", [(hour(2), 1, "a")], EVENT)
+    land(spark, source, "3", [(hour(24 * 20), 1, "a")], EVENT)
+    land(spark, source, "4", [(hour(24 * 21), 1, "a")], EVENT)
+    land(spark, source, "5", [(hour(24 * 21), 1, "a"), (hour(3), 1, "a")], EVENT)
     counts = jobs.window_counts(stream(spark, source, EVENT), "event_type", "ts", "7 days")
-    jobs.replace_stream(counts, out, cp)
-    assert sorted(r["n_events"] for r in spark.read.parquet(out).collect()) == [1, 2]
+    rows = []
+
+    class Progress(StreamingQueryListener):
+        def onQueryStarted(self, event): ...
+        def onQueryTerminated(self, event): ...
+
+        def onQueryProgress(self, event):
+            rows.extend(op.numRowsTotal for op in event.progress.stateOperators)
+
+    listener = Progress()
+    spark.streams.addListener(listener)
+    try:
+        jobs.keep_windows(counts, out, cp, "event_type")
+        for _ in range(50):
+            if rows and rows[-1] <= 2 and max(rows) >= 3:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    found = sorted((r["event_type"], r["n_events"]) for r in spark.read.parquet(out).collect())
+    assert found == [("a", 3), ("a", 3), ("b", 1)]
+    # the windows of the first week are out of the state, but stay in the table
+    assert max(rows) >= 3 and rows[-1] <= 2
+
+
+def test_rolling_counts_equal_sliding_windows(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(4):
+        land(spark, source, str(i), [(hour(30 * i + k * 7), 1, "ab"[k % 2]) for k in range(5)], EVENT)
+    daily = jobs.window_counts(stream(spark, source, EVENT), "event_type", "ts", "1 day", slack="9 days")
+    jobs.keep_windows(daily, out, str(tmp_path / "cp"), "event_type")
+    rolling = jobs.rolling_counts(spark.read.parquet(out), "event_type", 3)
+    rows = spark.read.parquet(f"{source}/*")
+    batch = jobs.window_counts(rows, "event_type", "ts", "3 days", "1 day")
+    assert sorted(rolling.collect()) == sorted(batch.collect())
 
 
 @pytest.mark.parametrize("repeat", [1, 2])
