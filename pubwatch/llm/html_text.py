@@ -4,9 +4,10 @@ A token is an element in its place: its tag, class and id below those of its anc
 host, tokens with the same occurrence vector over its pages form an equivalence class. A class is
 valid if its tokens stand once on each of its pages; valid classes nest, as a token's place names
 its ancestors. They make the template, and what stands between its tokens are slots. Of each class
-the slot with the article is the deepest token that still holds nine tenths of the running text.
-Pages then give up the slot of the best class they carry, without the parts that their own markup
-declares to be something else (menus, adverts, forms, comments and so on).
+the slot with the article is an ``article`` or ``main`` that holds nine tenths of the running text, or
+else the deepest container that does. Pages then give up the slot of the best class they carry, with
+the headings right before it, without the parts that their own markup declares to be something else
+(menus, adverts, forms, comments and so on).
 
 An occurrence vector never leaves its page: each page adds a random number of its own per token,
 and equal sums stand for equal vectors. The sums merge in the map tasks, so a host with a third of
@@ -23,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pubwatch.llm.common import materialise
+
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 RAW = ("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "plaintext")
@@ -50,10 +53,15 @@ CLOSES_P = {
     " h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 }
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: elements that hold one block; a slot holds many
+SINGLE = {*"p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption summary address tr ul ol dl".split()}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 MIN_SUPPORT = 0.1
 SLOT_SHARE = 0.9
 
-Block = tuple[str, int, bool, tuple[str, ...]]
+#: tag, place, apart, inside article or main, number on the page
+Element = tuple[str, str, bool, bool, int]
+Block = tuple[str, int, bool, tuple[Element, ...]]
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -66,7 +74,7 @@ def _name(tag: str, attributes: dict[str, str]) -> str:
     """The element in its template: numbers in class or id differ from page to page."""
     words = f".{attributes['class']}" if attributes.get("class") else ""
     words += f"#{attributes['id']}" if attributes.get("id") else ""
-    return tag + re.sub(r"\d+", "0", " ".join(words.split()))
+    return tag + re.sub(r"\d+", "0", " ".join(words.split())).replace("/", "_")
 
 
 def _apart(tag: str, attributes: dict[str, str], in_body: bool) -> bool:
@@ -84,13 +92,14 @@ def _apart(tag: str, attributes: dict[str, str], in_body: bool) -> bool:
 
 
 def blocks(page: str) -> list[Block]:
-    """The blocks of a page in order: text, characters of it inside links, apart or not, path.
+    """The blocks of a page in order: text, characters of it inside links, apart or not, elements.
 
     Character references are decoded, white space is one space, markup is gone. Ends of elements
     that HTML lets authors leave out are supplied; a page may break off anywhere.
     """
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, apart, inside article or main
+    stack: list[Element] = []
+    opened = 0
     parts: list[str] = []
     link_parts: list[str] = []
     in_link, at, size = False, 0, len(page)
@@ -102,7 +111,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = len(" ".join(html.unescape("".join(link_parts)).split()))
                 apart = stack[-1][2] if stack else False
-                out.append((text, linked, apart, tuple(s[1] for s in stack)))
+                out.append((text, linked, apart, tuple(stack)))
             parts, link_parts = [], []
 
     def close(index: int) -> None:
@@ -163,9 +172,11 @@ def blocks(page: str) -> list[Block]:
                     break
         flush()
         attributes = _attributes(match[3])
-        _, above, apart, in_body = stack[-1] if stack else ("", "", False, False)
+        _, above, apart, in_body, _ = stack[-1] if stack else ("", "", False, False, 0)
         apart = apart or _apart(tag, attributes, in_body)
-        stack.append((tag, f"{above}/{_name(tag, attributes)}", apart, in_body or tag in BODY))
+        opened += 1
+        place = f"{above}/{_name(tag, attributes)}"
+        stack.append((tag, place, apart, in_body or tag in BODY, opened))
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             parts.append(page[at : end.start() if end else size])
@@ -175,21 +186,18 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _tokens(page: str) -> dict[str, list[int]]:
-    """Per token with text: how often it stands on the page, characters of running text in it.
-
-    An element counts as often as blocks enter it anew; neighbours without text do not count.
-    """
-    found: dict[str, list[int]] = {}
-    last: tuple[str, ...] = ()
-    for text, linked, apart, path in blocks(page):
-        for depth, token in enumerate(path):
-            stats = found.setdefault(token, [0, 0])
-            if depth >= len(last) or last[depth] != token:
+def _tokens(page: str) -> dict[str, list]:
+    """Per place with text: elements of it on the page, characters of running text in them, tag."""
+    found: dict[str, list] = {}
+    seen: set[int] = set()
+    for text, linked, apart, elements in blocks(page):
+        for tag, place, _, _, number in elements:
+            stats = found.setdefault(place, [0, 0, tag])
+            if number not in seen:
+                seen.add(number)
                 stats[0] += 1
             if not apart:
                 stats[1] += len(text) - linked
-        last = path
     return found
 
 
@@ -208,11 +216,11 @@ def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, marks, pages_ = (batch.column(i) for i in range(3))
-            sums: dict[tuple[str, str], list[int]] = {}
+            sums: dict[tuple[str, str, str], list[int]] = {}
             for host, mark, page in zip(hosts, marks, pages_, strict=True):
                 name, seed = host.as_py(), mark.as_py() & (1 << 64) - 1
-                for token, (times, chars) in [("", [1, 0]), *_tokens(page.as_py()).items()]:
-                    s = sums.setdefault((name, token), [0, 0, 0, 0, 0])
+                for token, (times, chars, tag) in [("", [1, 0, ""]), *_tokens(page.as_py()).items()]:
+                    s = sums.setdefault((name, token, tag), [0, 0, 0, 0, 0])
                     s[0] += 1
                     s[1] += times
                     s[2] += chars
@@ -220,14 +228,14 @@ def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                     s[4] += (seed * 0xC2B2AE3D27D4EB4F >> 11 & 0x3FFFFFFF) * times
             if sums:
                 keys = list(sums)
-                columns = [pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys])]
+                columns = [pa.array([k[i] for k in keys]) for i in range(3)]
                 columns += [pa.array([sums[k][i] for k in keys], pa.int64()) for i in range(5)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["host", "token", "pages", "times", "chars", "sum1", "sum2"]
-    schema = "host string, token string, pages bigint, times bigint, chars bigint, sum1 bigint, sum2 bigint"
-    stats = rows.mapInArrow(run, schema).groupBy("host", "token")
-    stats = stats.agg(*[F.sum(c).alias(c) for c in names[2:]])
+    names = ["host", "token", "tag", "pages", "times", "chars", "sum1", "sum2"]
+    schema = "host string, token string, tag string, pages bigint, times bigint, chars bigint, sum1 bigint, sum2 bigint"
+    stats = rows.mapInArrow(run, schema).groupBy("host", "token", "tag")
+    stats = materialise(stats.agg(*[F.sum(c).alias(c) for c in names[3:]]), "html-tokens")
     whole = stats.where(F.col("token") == "").select("host", F.col("pages").alias("host_pages"))
     tokens = stats.where(F.col("token") != "").join(whole, "host")
     tokens = tokens.where((F.col("pages") >= MIN_SUPPORT * F.col("host_pages")) & (F.col("times") == F.col("pages")))
@@ -237,11 +245,12 @@ def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     inside = tokens.join(classes, ["host", "sum1", "sum2"])
     depth = F.length("token") - F.length(F.replace("token", F.lit("/")))
     slot = inside.where((F.col("chars") >= SLOT_SHARE * F.col("most")) & (F.col("most") > 0))
-    slot = slot.groupBy("host", "sum1", "sum2", "most", "support", "size").agg(
-        F.max(F.struct(depth.alias("depth"), "token")).alias("deepest")
-    )
+    slot = slot.where(~F.col("tag").isin(*sorted(SINGLE)))
+    named = F.col("tag").isin(*BODY)
+    order = F.struct(named.alias("named"), F.when(named, -depth).otherwise(depth).alias("depth"), "token")
+    slot = slot.groupBy("host", "sum1", "sum2", "most", "support", "size").agg(F.max(order).alias("best"))
     ranked = F.sort_array(
-        F.collect_list(F.struct("most", "support", "size", F.col("deepest.token").alias("token"))), asc=False
+        F.collect_list(F.struct("most", "support", "size", F.col("best.token").alias("token"))), asc=False
     )
     return slot.groupBy("host").agg(ranked["token"].alias("slots"))
 
@@ -250,8 +259,12 @@ def main_text(page: str, slots: list[str]) -> str:
     """The running text of the first slot that has any on this page, or else of the whole page."""
     found = [b for b in blocks(page) if not b[2]]
     for slot in slots:
-        if inside := [b[0] for b in found if slot in b[3]]:
-            return "\n".join(inside)
+        inside = [i for i, b in enumerate(found) if any(e[1] == slot for e in b[3])]
+        if inside:
+            first = inside[0]
+            while first and found[first - 1][3] and found[first - 1][3][-1][0] in HEADINGS:
+                first -= 1
+            return "\n".join(found[i][0] for i in [*range(first, inside[0]), *inside])
     return "\n".join(b[0] for b in found)
 
 

@@ -44,6 +44,17 @@ def test_template_finds_the_slot_without_any_hint(spark):
         assert found[i]["n_chars"] == len(found[i]["text"])
 
 
+def test_headings_and_single_paragraphs_stay(spark):
+    page = "<body><div class=menu>m</div><div id=c><h1>Title {0}</h1><div class=t>{1}</div></div><div class=z>other {0}</div></body>"
+    paragraph = "<p>" + "words of the story " * 20 + "</p>"
+    rows = [(i, f"http://h.example/{i}", page.format(i, paragraph * (1 + i % 2 * (i < 9)))) for i in range(30)]
+    found = {r["page_id"]: r["text"].split("\n") for r in html_text.extract(pages(spark, rows)).collect()}
+    for i in range(30):
+        assert found[i][0] == f"Title {i}"
+        assert set(found[i][1:]) == {("words of the story " * 20).strip()}
+        assert len(found[i]) == 2 + i % 2 * (i < 9)
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (None, "no url", "<p>x"), (2, "http://H.example:80/a", "<p>y</p>"), (2, "http://H.example:80/a", "<p>y</p>"), (3, "http://u@h.example", "<p>" + "long " * 200_000)]
     found = html_text.extract(pages(spark, rows)).collect()
