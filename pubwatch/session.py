@@ -39,6 +39,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores.
+
+    For work on long texts above a small scan: a file with one row group is one split.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a written table through its own file system."""
     jvm = spark.sparkContext._jvm
