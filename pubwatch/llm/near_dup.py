@@ -30,7 +30,7 @@ from pubwatch.llm.common import fresh, materialise
 from pubwatch.llm.components import components
 from pubwatch.operators.ranking import number_rows
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 CHUNK = 4096
 
 
@@ -43,8 +43,8 @@ class JoinParams:
     trees: int = 20
     depth: int = 8
     recall: float = 0.999
-    block: int = 1024
-    block_words: int = 2_000_000
+    block: int = 512
+    block_words: int = 400_000
     whole_group: int = 8192
     seed: int = 1
 
