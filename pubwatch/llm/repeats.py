@@ -312,9 +312,9 @@ def repeated_spans(rows: DataFrame, params: RepeatParams) -> DataFrame:
     counts = mixed.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(place).alias("one"))
     counts = materialise(counts, "repeat-contexts")
     variants = counts.groupBy("gram").agg(F.count("*").alias("variants"))
-    hot = variants.select("gram", (F.col("variants") > params.hot).alias("hot"))
-    wanted = counts.join(hot, "gram").select(
-        "gram", "one.*", (F.col("n") == 1).alias("open"), "hot"
+    hot = materialise(variants.where(F.col("variants") > params.hot).select("gram"), "repeat-hot")
+    wanted = counts.join(hot.withColumn("hot", F.lit(True)), "gram", "left").select(
+        "gram", "one.*", (F.col("n") == 1).alias("open"), F.coalesce("hot", F.lit(False)).alias("hot")
     )
     contexts = materialise(_contexts(rows, wanted, params), "repeat-bytes")
     again = counts.where("n > 1").select("gram", "context")
