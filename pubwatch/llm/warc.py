@@ -205,7 +205,10 @@ def read_records(selected: DataFrame, root: str) -> DataFrame:
     """
     kind = selected.schema["id"].dataType.simpleString()
     places = selected.select("archive", "offset", "length", "id", "refers_to")
-    sorted_places = places.repartition("archive").sortWithinPartitions("archive", "offset")
+    # index rows are small beside what they point to, so tasks are dealt by the bytes to read
+    size = places.agg(F.sum("length")).first()[0] or 0
+    tasks = max(selected.sparkSession.sparkContext.defaultParallelism, -(-size // ARCHIVE_BYTES))
+    sorted_places = places.repartition(tasks, "archive").sortWithinPartitions("archive", "offset")
     schema = (
         f"id {kind}, url string, record_type string, payload binary, payload_bytes bigint,"
         f" payload_digest string, refers_to {kind}"
