@@ -1,26 +1,33 @@
 """Main text of web pages by template deduction from the pages of a host.
 
-A token is an element in its place: its tag, class and id below those of its ancestors. For every
-host, tokens with the same occurrence vector over its pages form an equivalence class. A class is
-valid if its tokens stand once on each of its pages; valid classes nest, as a token's place names
-its ancestors. They make the template, and what stands between its tokens are slots. Of each class
-the slot with the article is an ``article`` or ``main`` that holds nine tenths of the running text, or
-else the deepest container that does. Pages then give up the slot of the best class they carry, with
-the headings right before it, without the parts that their own markup declares to be something else
-(menus, adverts, forms, comments and so on).
+A token is an element in its place (its tag, class and id below those of its ancestors) or a block
+of running text in its place. For every host, tokens with the same occurrence vector over its pages
+form an equivalence class. A class with an element is valid if its elements stand once on each of at
+least ``MIN_SUPPORT`` pages; valid classes nest, as a token's place names its ancestors. They make
+the template, and what stands between their tokens are slots. Texts of a valid class belong to the
+template too.
+
+Every page picks its own slot among the valid classes that it carries: an ``article`` or ``main``
+that holds nine tenths of the page's running text outside the template, or else the deepest
+container that does, or else the whole page. So no page loses more than a tenth of its own text,
+whatever the rest of its host looks like. It gives up that slot, with the headings right before it,
+without the parts that their own markup declares to be something else (menus, adverts, forms,
+comments and so on).
 
 An occurrence vector never leaves its page: each page adds a random number of its own per token,
-and equal sums stand for equal vectors. The sums merge in the map tasks, so a host with a third of
-all pages costs no more than any other.
+and equal sums stand for equal vectors. Pages with the same containers share a layout, and what a
+page needs to know comes by its layout, so a host with a third of all pages costs no more than any
+other, and no list is longer than a page.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +63,8 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 #: elements that hold one block; a slot holds many
 SINGLE = {*"p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption summary address tr ul ol dl".split()}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-MIN_SUPPORT = 0.1
+#: pages that a valid class stands on at least, or all pages of a host with fewer
+MIN_SUPPORT = 3
 SLOT_SHARE = 0.9
 
 #: tag, place, apart, inside article or main, number on the page
@@ -186,19 +194,29 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _tokens(page: str) -> dict[str, list]:
-    """Per place with text: elements of it on the page, characters of running text in them, tag."""
-    found: dict[str, list] = {}
-    seen: set[int] = set()
-    for text, linked, apart, elements in blocks(page):
-        for tag, place, _, _, number in elements:
-            stats = found.setdefault(place, [0, 0, tag])
-            if number not in seen:
-                seen.add(number)
-                stats[0] += 1
-            if not apart:
-                stats[1] += len(text) - linked
-    return found
+def _hash(text: str) -> int:
+    value = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _text_key(block: Block) -> int:
+    return _hash(f"{block[3][-1][1] if block[3] else ''}\n{block[0]}")
+
+
+def _containers(found: list[Block]) -> dict[str, int]:
+    """Place to number of the containers that stand once on the page."""
+    numbers: dict[str, set[int]] = {}
+    for block in found:
+        for tag, place, _, _, number in block[3]:
+            if tag not in SINGLE:
+                numbers.setdefault(place, set()).add(number)
+    return {place: next(iter(n)) for place, n in numbers.items() if len(n) == 1}
+
+
+def _layout(host: str, places: Iterable[str]) -> tuple[int, list[int]]:
+    """The layout of a page, and hashes of the containers that stand on it once."""
+    tokens = sorted(map(_hash, places))
+    return _hash(f"{host}\n{tokens}"), tokens
 
 
 def _host(url: Column) -> Column:
@@ -206,7 +224,7 @@ def _host(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, slots: the article's slot of each valid class of the host, the best class first."""
+    """layout, slots, template: hashes of the valid containers and of the template's texts."""
     rows = pages.select(
         _host(F.col(url_col)).alias("host"),
         F.coalesce(F.xxhash64(id_col, url_col), F.lit(0)).alias("mark"),
@@ -215,57 +233,70 @@ def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, marks, pages_ = (batch.column(i) for i in range(3))
-            sums: dict[tuple[str, str, str], list[int]] = {}
-            for host, mark, page in zip(hosts, marks, pages_, strict=True):
-                name, seed = host.as_py(), mark.as_py() & (1 << 64) - 1
-                for token, (times, chars, tag) in [("", [1, 0, ""]), *_tokens(page.as_py()).items()]:
-                    s = sums.setdefault((name, token, tag), [0, 0, 0, 0, 0])
-                    s[0] += 1
-                    s[1] += times
-                    s[2] += chars
-                    s[3] += (seed * 0x9E3779B97F4A7C15 >> 7 & 0x3FFFFFFF) * times
-                    s[4] += (seed * 0xC2B2AE3D27D4EB4F >> 11 & 0x3FFFFFFF) * times
+            sums: dict[tuple[int, bool, int], list] = {}
+            for name, mark, page in zip(*(batch.column(i) for i in range(3)), strict=True):
+                host, found = name.as_py(), [b for b in blocks(page.as_py()) if not b[2]]
+                mixed = (mark.as_py() & (1 << 64) - 1) * 0x9E3779B97F4A7C15
+                layout, tokens = _layout(host, _containers(found))
+                # texts of an article or main are never the template's
+                texts = {_text_key(b) for b in found if len(b[0]) > b[1] and not (b[3] and b[3][-1][3])}
+                for key, is_text, inside in [(layout, False, tokens), *((k, True, None) for k in texts)]:
+                    s = sums.setdefault((_hash(host), is_text, key), [inside, 0, 0, 0])
+                    s[1] += 1
+                    s[2] += mixed >> 7 & 0x3FFFFFFF
+                    s[3] += mixed >> 37 & 0x3FFFFFFF
             if sums:
-                keys = list(sums)
-                columns = [pa.array([k[i] for k in keys]) for i in range(3)]
-                columns += [pa.array([sums[k][i] for k in keys], pa.int64()) for i in range(5)]
+                hosts, kinds, keys = zip(*sums, strict=True)
+                columns = [pa.array(hosts, pa.int64()), pa.array(kinds), pa.array(keys, pa.int64())]
+                columns += [pa.array([s[0] for s in sums.values()], pa.list_(pa.int64()))]
+                columns += [pa.array([s[i] for s in sums.values()], pa.int64()) for i in (1, 2, 3)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["host", "token", "tag", "pages", "times", "chars", "sum1", "sum2"]
-    schema = "host string, token string, tag string, pages bigint, times bigint, chars bigint, sum1 bigint, sum2 bigint"
-    stats = rows.mapInArrow(run, schema).groupBy("host", "token", "tag")
-    stats = materialise(stats.agg(*[F.sum(c).alias(c) for c in names[3:]]), "html-tokens")
-    whole = stats.where(F.col("token") == "").select("host", F.col("pages").alias("host_pages"))
-    tokens = stats.where(F.col("token") != "").join(whole, "host")
-    tokens = tokens.where((F.col("pages") >= MIN_SUPPORT * F.col("host_pages")) & (F.col("times") == F.col("pages")))
-    classes = tokens.groupBy("host", "sum1", "sum2").agg(
-        F.max("chars").alias("most"), F.max("pages").alias("support"), F.count("*").alias("size")
-    )
-    inside = tokens.join(classes, ["host", "sum1", "sum2"])
-    depth = F.length("token") - F.length(F.replace("token", F.lit("/")))
-    slot = inside.where((F.col("chars") >= SLOT_SHARE * F.col("most")) & (F.col("most") > 0))
-    slot = slot.where(~F.col("tag").isin(*sorted(SINGLE)))
-    named = F.col("tag").isin(*BODY)
-    order = F.struct(named.alias("named"), F.when(named, -depth).otherwise(depth).alias("depth"), "token")
-    slot = slot.groupBy("host", "sum1", "sum2", "most", "support", "size").agg(F.max(order).alias("best"))
-    ranked = F.sort_array(
-        F.collect_list(F.struct("most", "support", "size", F.col("best.token").alias("token"))), asc=False
-    )
-    return slot.groupBy("host").agg(ranked["token"].alias("slots"))
-
-
-def main_text(page: str, slots: list[str]) -> str:
-    """The running text of the first slot that has any on this page, or else of the whole page."""
+    names = ["host", "is_text", "key", "tokens", "pages", "sum1", "sum2"]
+    schema = "host bigint, is_text boolean, key bigint, tokens array<bigint>, pages bigint, sum1 bigint, sum2 bigint"
+    vector = [F.sum(c).alias(c) for c in names[4:]]
+    stats = rows.mapInArrow(run, schema).groupBy("host", "is_text", "key").agg(F.first("tokens").alias("tokens"), *vector)
+    # a text on fewer pages is never the template's
+    stats = materialise(stats.where(~F.col("is_text") | (F.col("pages") >= MIN_SUPPORT)), "html-tokens")
+    layouts = stats.where(~F.col("is_text")).drop("is_text")
+    whole = layouts.groupBy("host").agg(F.sum("pages").alias("host_pages"))
+    carried = layouts.select("host", F.col("key").alias("layout"), F.explode("tokens").alias("token"), *names[4:])
+    valid = carried.groupBy("host", "token").agg(*vector).join(whole, "host")
+    valid = valid.where(F.col("pages") >= F.least(F.lit(MIN_SUPPORT), "host_pages")).drop("host_pages")
+    carried = materialise(carried.select("host", "layout", "token").join(valid, ["host", "token"]), "html-classes")
+    slots = carried.groupBy("layout").agg(F.collect_list("token").alias("slots"))
+    texts = stats.where("is_text").select("host", "key", *names[4:])
+    same = carried.select("host", "layout", *names[4:]).distinct()
+    texts = same.join(texts, ["host", *names[4:]]).groupBy("layout").agg(F.collect_list("key").alias("template"))
+    return slots.join(texts, "layout", "left")
+
+
+def main_text(page: str, slots: Collection[int], template: Collection[int] = ()) -> str:
+    """The running text of the page's slot among the valid containers, or else of the whole page.
+
+    The template's texts do not count in the choice, unless they are half of the page or more:
+    then they may well be what the page is about.
+    """
     found = [b for b in blocks(page) if not b[2]]
-    for slot in slots:
-        inside = [i for i, b in enumerate(found) if any(e[1] == slot for e in b[3])]
-        if inside:
-            first = inside[0]
-            while first and found[first - 1][3] and found[first - 1][3][-1][0] in HEADINGS:
-                first -= 1
-            return "\n".join(found[i][0] for i in [*range(first, inside[0]), *inside])
-    return "\n".join(b[0] for b in found)
+    inside = range(len(found))
+    if slots:
+        running = [len(b[0]) - b[1] for b in found]
+        own = [0 if n and _text_key(b) in template else n for b, n in zip(found, running, strict=True)]
+        if 2 * sum(own) <= sum(running):
+            own = running
+        held: dict[int, int] = {}
+        for b, n in zip(found, own, strict=True):
+            for element in b[3]:
+                held[element[4]] = held.get(element[4], 0) + n
+        tags = {e[4]: e[0] for b in found for e in b[3]}
+        chain = sorted(n for place, n in _containers(found).items() if held[n] >= SLOT_SHARE * sum(own) and _hash(place) in slots)
+        if chain and sum(own):
+            slot = next((n for n in chain if tags[n] in BODY), chain[-1])
+            inside = [i for i, b in enumerate(found) if any(e[4] == slot for e in b[3])]
+    first = inside[0] if inside else 0
+    while first and found[first - 1][3] and found[first - 1][3][-1][0] in HEADINGS:
+        first -= 1
+    return "\n".join(found[i][0] for i in [*range(first, inside[0] if inside else 0), *inside])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -281,14 +312,25 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
         _host(F.col(url_col)).alias("host"),
     )
-    joined = rows.join(templates(pages, id_col, url_col, html_col), "host", "left").drop("host")
     kind = rows.schema["id"].dataType.simpleString()
 
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            layouts = [
+                _layout(host.as_py(), _containers([b for b in blocks(page.as_py()) if not b[2]]))[0]
+                for host, page in zip(batch.column("host"), batch.column("html"), strict=True)
+            ]
+            columns = [batch.column(c) for c in ("id", "url", "html")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(layouts, pa.int64())], ["id", "url", "html", "layout"])
+
+    placed = rows.mapInArrow(place, f"id {kind}, url string, html string, layout bigint")
+    joined = placed.join(templates(pages, id_col, url_col, html_col), "layout", "left")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                main_text(page.as_py(), slots.as_py() or [])
-                for page, slots in zip(batch.column("html"), batch.column("slots"), strict=True)
+                main_text(page.as_py(), set(slots.as_py() or ()), set(template.as_py() or ()))
+                for page, slots, template in zip(*(batch.column(c) for c in ("html", "slots", "template")), strict=True)
             ]
             columns = [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "url", "text"])

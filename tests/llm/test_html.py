@@ -66,3 +66,19 @@ def test_repeated_article_is_not_a_template(spark):
     page = "<body><nav>m</nav><article><p>same words</p></article></body>"
     rows = [(i, f"http://h.example/{i}", page) for i in range(6)]
     assert {r["text"] for r in html_text.extract(pages(spark, rows)).collect()} == {"same words"}
+
+
+def test_every_page_picks_its_own_slot(spark):
+    """Some pages have their article elsewhere, and few have an element that the others lack."""
+    line, story = "an intro of one line", [f"sentence {j} of the article with some more words" for j in range(12)]
+    body = "".join(f"<p>{s}</p>" for s in story)
+    usual = "<body><div class=wrap><div class=content>{1}</div></div><div class=low>call {0}</div></body>"
+    other = "<body><div class=wrap><div class=content><p>{0}</p></div><div class=story>{1}</div></div></body>"
+    odd = "<body><div class=lone><p>only {0} here</p></div></body>"
+    rows = [(i, f"http://h.example/{i}", usual.format(i, body.replace("sentence", f"{i} sentence") * 3)) for i in range(60)]
+    rows += [(i, f"http://h.example/{i}", other.format(line, body)) for i in range(60, 65)]
+    rows += [(65, "http://h.example/65", odd.format(65))]
+    found = {r["page_id"]: r["text"].split("\n") for r in html_text.extract(pages(spark, rows)).collect()}
+    assert all(found[i] == [s.replace("sentence", f"{i} sentence") for s in story] * 3 for i in range(60))
+    assert all(found[i][-12:] == story for i in range(60, 65))
+    assert found[65] == ["only 65 here"]
