@@ -54,6 +54,13 @@ APART_WORDS = {
     " sharing social related recommended recommendations comment comments disqus respond reply replies"
     " pagination pager widget toolbar skip topbar masthead".split()
 }
+#: words that stand beside those in a name without changing what it says
+PLAIN_WORDS = {
+    *"post posts link links item items list lists wrap wrapper container box block area section inner outer left"
+    " right center top bottom main primary secondary site page global slot unit button buttons bar icon icons"
+    " panel group header title text form fixed sticky mobile desktop large small mini first last thread js wp".split()
+}
+COMMENT_WORDS = {*"comment comments disqus respond reply replies".split()}
 BODY = ("article", "main")
 CLOSES_P = {
     *"address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2"
@@ -66,6 +73,8 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: pages that a valid class stands on at least, or all pages of a host with fewer
 MIN_SUPPORT = 3
 SLOT_SHARE = 0.9
+#: a name says nothing about an element with more than this share of the page's running text
+MOST = 0.5
 
 #: tag, place, apart, inside article or main, number on the page
 Element = tuple[str, str, bool, bool, int]
@@ -86,27 +95,73 @@ def _name(tag: str, attributes: dict[str, str]) -> str:
 
 
 def _apart(tag: str, attributes: dict[str, str], in_body: bool) -> bool:
+    """Whether tag, role or style declare the element to be something else."""
     if tag in APART_TAGS or (tag == "header" and not in_body):
         return True
     if not attributes or tag in BODY or tag in ("html", "body"):
         return False
     if attributes.get("role", "").lower() in APART_ROLES or "hidden" in attributes:
         return True
-    if re.search(r"display\s*:\s*none", attributes.get("style", "")):
-        return True
-    label = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower())
-    return any(w in APART_WORDS for w in words) or (not in_body and "header" in words)
+    return bool(re.search(r"display\s*:\s*none", attributes.get("style", "")))
+
+
+def _named_apart(tag: str, attributes: dict[str, str], in_body: bool) -> set[str]:
+    """The words by which a whole class name or id says that the element is something else.
+
+    All words of the name have to say so or be plain. The id of a heading or of a section inside an
+    article may be a slug of its title; of a section only comments are told by it.
+    """
+    if not attributes or tag in BODY or tag in HEADINGS or tag in ("html", "body"):
+        return set()
+    classes = attributes.get("class", "").split()
+    said = APART_WORDS if in_body else APART_WORDS | {"header"}
+    titled = in_body and (tag == "section" or "section" in classes)
+    found: set[str] = set()
+    for name, known in [*((c, said) for c in classes), (attributes.get("id", ""), COMMENT_WORDS if titled else said)]:
+        words = set(re.findall(r"[^\W\d_]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+        if words <= known | PLAIN_WORDS:
+            found |= words & known
+    return found
+
+
+def _really_apart(out: list[Block], named: dict[int, set[str]]) -> set[int]:
+    """Those of the elements named to be apart that are: not what holds most of the article or of the page."""
+    if not named:
+        return set()
+    page, article = 0, 0
+    held: dict[int, list[int]] = {number: [0, 0] for number in named}
+    for text, linked, apart, elements in out:
+        if apart:
+            continue
+        n, in_body = len(text) - linked, bool(elements) and elements[-1][3]
+        page, article = page + n, article + n * in_body
+        outside = True
+        for tag, _, _, _, number in elements:
+            if number in held:
+                held[number][0] += n
+                # below the element, not around it
+                held[number][1] += n if in_body and outside else 0
+            outside = outside and tag not in BODY
+    return {
+        number
+        for number, words in named.items()
+        if not held[number][1] > MOST * article
+        and not held[number][0] > (SLOT_SHARE if words <= COMMENT_WORDS else MOST) * page
+    }
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order: text, characters of it inside links, apart or not, elements.
 
+    What class or id call apart is judged when the whole page is known: not if it holds most of the
+    page's running text, or of what its articles hold.
+
     Character references are decoded, white space is one space, markup is gone. Ends of elements
     that HTML lets authors leave out are supplied; a page may break off anywhere.
     """
     out: list[Block] = []
     stack: list[Element] = []
+    named: dict[int, set[str]] = {}
     opened = 0
     parts: list[str] = []
     link_parts: list[str] = []
@@ -183,6 +238,8 @@ def blocks(page: str) -> list[Block]:
         _, above, apart, in_body, _ = stack[-1] if stack else ("", "", False, False, 0)
         apart = apart or _apart(tag, attributes, in_body)
         opened += 1
+        if words := set() if apart else _named_apart(tag, attributes, in_body):
+            named[opened] = words
         place = f"{above}/{_name(tag, attributes)}"
         stack.append((tag, place, apart, in_body or tag in BODY, opened))
         if tag in RAW:
@@ -191,6 +248,9 @@ def blocks(page: str) -> list[Block]:
             close(len(stack) - 1)
             at = end.end() if end else size
     flush()
+    gone = _really_apart(out, named)
+    if gone:
+        out = [(t, n, apart or any(e[4] in gone for e in elements), elements) for t, n, apart, elements in out]
     return out
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pubwatch.llm import html_text
 
@@ -82,3 +84,27 @@ def test_every_page_picks_its_own_slot(spark):
     assert all(found[i] == [s.replace("sentence", f"{i} sentence") for s in story] * 3 for i in range(60))
     assert all(found[i][-12:] == story for i in range(60, 65))
     assert found[65] == ["only 65 here"]
+
+
+LONG = "<p>" + "words of the article " * 20 + "</p>"
+NAMED = [
+    f"<div class='content-sidebar-wrap'><article>{LONG}</article></div>",
+    f"<div class='sidebar'><article>{LONG}</article></div>",
+    f"<div class='no-sidebar'>{LONG}</div><p>low</p>",
+    f"<div class='page-with-sidebar'><p>k</p></div>{LONG}",
+    f"<div class='widget'><p>all of it</p>{LONG}</div><p>low</p>",
+    f"<article><h2 id='search'>Search</h2>{LONG}<section id='related-work'><h2>Related work</h2><p>r</p></section></article>",
+    f"<article>{LONG}<section id='search'><p>s</p></section><div class='section' id='notice'><p>n</p></div></article>",
+    f"<article>{LONG}<div id='comments-on-x'><p>c</p></div><section id='social-networks'><p>n</p></section></article>",
+]
+
+
+@pytest.mark.parametrize("page", NAMED)
+def test_names_drop_no_article(page):
+    assert html_text.main_text(page, []) == html_text.main_text(re.sub(r" (class|id)='[^']*'", "", page), [])
+
+
+def test_names_drop_what_they_say():
+    low = "<div class='related-posts'><article>a card</article></div><div id='nav-main'>n</div><div class='x sidebarLeft'>s</div>"
+    low += "<section class='comment-list'>" + "<p>a long comment</p>" * 30 + "</section><div class='site-header'>h</div>"
+    assert html_text.main_text(f"<article>{LONG}</article>{low}", []) == ("words of the article " * 20).strip()
