@@ -7,9 +7,9 @@ target recall; nodes below the same trie node at that depth are candidates.
 
 Candidates are then compared whole, by their real shingle sets, in tasks that hold one block of a
 group against another. Only counts and one pointer per node leave a task, never pairs, so a group
-of thousands of near copies does not blow up. A group is a connected set of candidates; one too
-large for that falls apart into its trie nodes again, and each pair counts in the first tree only
-where it meets. No group, bucket or block drops anything, whatever its size.
+of thousands of near copies does not blow up. A group is a connected set of candidates, and all its
+pairs are compared, whatever its size. In a large one the blocks are made by size of the sets, and
+blocks that differ too much in it do not meet, as their sets cannot reach the similarity.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil
+from math import log
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,10 @@ CHUNK = 4096
 
 @dataclass(frozen=True)
 class JoinParams:
-    """``block`` texts and ``block_words`` words bound one side of a comparison in a task."""
+    """``block`` texts and ``block_words`` words bound one side of a comparison in a task.
+
+    Groups of more than ``whole_group`` texts are cut into blocks by size; no result depends on it.
+    """
 
     words: int = 5
     similarity: float = 0.8
@@ -173,8 +176,6 @@ def compare(group: pd.DataFrame, params: JoinParams) -> pd.DataFrame:
     left = np.ones(len(group), bool) if within else side == side.min()
     right = np.ones(len(group), bool) if within else ~left
     linked = _links([shingles(t, params.words) for t in group["text"]], left, right, params.similarity)
-    tree = int(group["tree"].iloc[0])
-    earlier = np.stack(group["earlier"].to_numpy()) if tree > 0 else None
     links, root = np.zeros(len(group), np.int64), np.full(len(group), -1)
     for start in range(len(group)):
         if root[start] >= 0:
@@ -183,8 +184,6 @@ def compare(group: pd.DataFrame, params: JoinParams) -> pd.DataFrame:
         while todo:
             row = todo.pop()
             others = linked(row)
-            if earlier is not None and len(others):
-                others = others[~(earlier[others] == earlier[row]).any(axis=1)]
             links[row] = copies[others].sum()
             new = others[root[others] < 0]
             root[new] = start
@@ -192,27 +191,45 @@ def compare(group: pd.DataFrame, params: JoinParams) -> pd.DataFrame:
     return pd.DataFrame({"node": nodes, "links": links, "root": nodes[root]})
 
 
-def _groups(members: DataFrame, params: JoinParams) -> DataFrame:
-    """node, group, texts and words of the group, tree: what is compared with what."""
-    labels = components(members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    labels = materialise(labels, "candidate-groups")
-    weight = members.select("node", "words").distinct()
-    size = labels.join(weight, "node").groupBy("label").agg(
-        F.count("*").alias("texts"), F.sum("words").alias("all_words")
+def _units(labels: DataFrame, nodes: DataFrame, params: JoinParams) -> DataFrame:
+    """node, copies, rep, group, low, high, side: the comparisons that each text takes part in.
+
+    Sets whose sizes lie further apart than the similarity allows cannot reach it. So a large group
+    is cut into size classes as wide as that (a little wider, for rounding), and a class meets
+    itself and its neighbours. Blocks are dealt by hash within a class.
+    """
+    labels = labels.join(nodes.select("node", "words"), "node")
+    texts = labels.groupBy("label").agg(F.count("*").alias("texts"))
+    width = log(1 / params.similarity) + 1e-6
+    step = F.floor(F.log(F.col("words").cast("double")) / width).cast("long")
+    large = F.col("texts") > params.whole_group
+    sized = labels.join(texts, "label").select("node", "label", "words", F.when(large, step).otherwise(0).alias("step"))
+    sized = materialise(sized, "candidate-groups")
+    blocks = F.greatest(
+        F.ceil(F.count("*") / params.block), F.ceil(F.sum("words") / params.block_words)
+    ).cast("int")
+    steps = materialise(sized.groupBy("label", "step").agg(blocks.alias("blocks")), "candidate-blocks")
+    own = sized.join(steps, ["label", "step"]).select(
+        "node", "label", "step", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long").alias("own")
     )
-    sized = materialise(labels.join(size, "label"), "candidate-sizes")
-    whole = sized.where(F.col("texts") <= params.whole_group).select(
-        "node", F.concat_ws(":", F.lit("g"), "label").alias("group"), "texts", "all_words", F.lit(-1).alias("tree")
+    reach = steps.select(
+        "label",
+        F.explode(F.sequence(F.col("step") - 1, F.col("step") + 1)).alias("step"),
+        F.col("step").alias("other_step"),
+        F.col("blocks").alias("others"),
     )
-    large = sized.where(F.col("texts") > params.whole_group).select("node")
-    parts = members.join(large, "node").select(
+    met = own.join(reach, ["label", "step"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    mine = F.col("step") * (1 << 32) + F.col("own")
+    theirs = F.col("other_step") * (1 << 32) + F.col("other")
+    return met.join(nodes.select("node", "copies", "rep"), "node").select(
         "node",
-        F.concat_ws(":", F.lit("b"), "tree", "prefix").alias("group"),
-        F.col("n").alias("texts"),
-        "all_words",
-        "tree",
+        "copies",
+        "rep",
+        F.col("label").alias("group"),
+        F.least(mine, theirs).alias("low"),
+        F.greatest(mine, theirs).alias("high"),
+        F.when(mine == theirs, -1).otherwise(mine).alias("side"),
     )
-    return whole.unionByName(parts)
 
 
 def near_duplicates(
@@ -242,37 +259,11 @@ def near_duplicates(
     )
     nodes = number_rows(texts, [F.asc("digest")], "near-nodes").withColumnRenamed("row_no", "node")
     nodes = materialise(nodes, "near-numbered")
-    places = nodes.select("node", "words", F.posexplode("prefixes").alias("tree", "prefix"))
-    buckets = places.groupBy("tree", "prefix").agg(
-        F.min("node").alias("hub"), F.count("*").alias("n"), F.sum("words").alias("all_words")
-    )
-    members = materialise(
-        places.join(buckets.where("n > 1"), ["tree", "prefix"]), "near-members"
-    )
-    groups = _groups(members, params)
-    blocks = F.greatest(
-        F.ceil(F.col("texts") / params.block), F.ceil(F.col("all_words") / params.block_words)
-    ).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    earlier = F.when(F.col("tree") > 0, F.slice("prefixes", 1, F.greatest(F.col("tree"), F.lit(1))))
-    units = (
-        groups.withColumn("blocks", blocks)
-        .withColumn("own", own)
-        .withColumn("other", other)
-        .join(nodes.select("node", "copies", "rep", "prefixes"), "node")
-        .select(
-            "node",
-            "copies",
-            "rep",
-            "group",
-            "tree",
-            earlier.alias("earlier"),
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side"),
-        )
-    )
+    places = nodes.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
+    buckets = places.groupBy("tree", "prefix").agg(F.min("node").alias("hub"), F.count("*").alias("n"))
+    members = places.join(buckets.where("n > 1"), ["tree", "prefix"])
+    labels = components(members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    units = _units(labels, nodes, params)
     text = F.coalesce(F.col(text_col), F.lit(""))
     whole = docs.select(F.col(id_col).alias("id"), F.md5(text.cast("binary")).alias("text_md5"), text.alias("text"))
     at = whole["id"].eqNullSafe(units["rep.id"]) & (whole["text_md5"] == units["rep.text_md5"])

@@ -97,3 +97,17 @@ def test_components_of_paths_stars_and_circles(spark):
     groups = [range(1, 61), range(500, 540), range(900, 903), [*range(700, 740), 999]]
     assert [{labels[n] for n in g} for g in groups] == [{1}, {500}, {900}, {700}]
     assert components(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("whole_group", [5, 8192])
+def test_pairs_of_a_group_that_meet_in_no_tree_are_links(spark, whole_group):
+    """With two trees many pairs of one large group meet in none; lengths differ up to the threshold."""
+    pick = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        copy = [w if pick.random() > 0.01 else f"x{i}" for w in base]
+        rows.append((i, " ".join(copy[: pick.choice([244, 260, 280, 300])])))
+    rows += [(100, " ".join(base[:244])), (101, " ".join(base[:300])), (102, " ".join(base[:299]))]
+    params = JoinParams(trees=2, block=7, whole_group=whole_group)
+    assert found(spark, rows, params) == brute(rows)
