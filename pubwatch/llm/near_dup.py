@@ -1,9 +1,9 @@
-"""Near duplicates: an n-gram Jaccard join over a MinHash LSH forest, verified exactly.
+"""Near duplicates: an n-gram Jaccard join over MinHash bands, verified exactly.
 
-Every text is a set of word shingles. Texts with equal sets are one node. A forest of prefix tries
-holds the nodes: tree t sorts them by a sequence of MinHash values of its own. Matched prefixes are
-shortened from the full depth until a pair at the similarity sought meets in some tree with the
-target recall; nodes below the same trie node at that depth are candidates.
+Every text is a set of word shingles. Texts with equal sets are one node. A tree is one band: nodes
+with equal values of a fixed number of MinHash functions are candidates. The number is the largest
+one at which a pair at the similarity sought meets in some tree with the target recall; it follows
+from the parameters alone, so there are no tries that would be shortened by what the data hold.
 
 Candidates are then compared whole, by their real shingle sets, in tasks that hold one block of a
 group against another. Only counts and one pointer per node leave a task, never pairs, so a group
