@@ -165,6 +165,16 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.nd
     return cell, np.sqrt(((points - centres[cell]) ** 2).sum(1))
 
 
+def spread_rows(placed: DataFrame, routed: DataFrame, blocks: dict[int, int]) -> DataFrame:
+    """id, v, cell, block, query_block: each data row for the query blocks that routing sent to its cell."""
+    # at most cells x query blocks
+    wanted = routed.select("cell", F.col("query_block").alias("to")).distinct()
+    in_cell = F.element_at(F.create_map(*[F.lit(x) for item in blocks.items() for x in item]), F.col("cell"))
+    return placed.join(F.broadcast(wanted), "cell").select(
+        "id", "v", "cell", F.pmod(F.xxhash64("id"), in_cell).cast("int").alias("block"), F.col("to").alias("query_block")
+    )
+
+
 def search(
     data: DataFrame,
     is_query: Column,
@@ -254,19 +264,13 @@ def search(
             )
 
     query_block = F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")
-    routed = (
+    routed = materialise(
         asked.mapInPandas(route, "query_id bigint, q array<bigint>, floor double, cell int, block array<int>")
         .withColumn("block", F.explode("block"))
-        .withColumn("query_block", query_block)
-    )
-    in_cell = F.element_at(F.create_map(*[F.lit(x) for c in known for x in (c["cell"], c["blocks"])]), F.col("cell"))
-    spread = placed.select(
-        "id",
-        "v",
-        "cell",
-        F.pmod(F.xxhash64("id"), in_cell).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
+        .withColumn("query_block", query_block),
+        "search-routes",
     )
+    spread = spread_rows(placed, routed, blocks)
 
     def work(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:

@@ -68,3 +68,12 @@ def test_bounds_hold_for_all_pairs():
         todo += node.children
         seen += [] if node.children else node.rows.tolist()
     assert sorted(seen) == list(range(400))
+
+
+def test_rows_go_only_to_query_blocks_routed_to_their_cell(spark):
+    placed = spark.createDataFrame([(i, [i], i % 4) for i in range(40)], "id long, v array<bigint>, cell int")
+    routed = spark.createDataFrame([(0, 2), (0, 2), (1, 0), (1, 1)], "cell int, query_block int")
+    spread = cover_tree.spread_rows(placed, routed, {0: 3, 1: 1, 2: 1, 3: 1}).collect()
+    met = sorted((r["id"], r["query_block"]) for r in spread)
+    assert met == sorted([(i, 2) for i in range(0, 40, 4)] + [(i, b) for i in range(1, 40, 4) for b in (0, 1)])
+    assert all(0 <= r["block"] < 3 if r["cell"] == 0 else r["block"] == 0 for r in spread)
