@@ -1,10 +1,10 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one on toxic text, namely on what
-recurs in toxic texts and in no ordinary one. The toxic side compresses with both, the ordinary
+There are two zstandard dictionaries: one is trained on ordinary text; the other is not trained, but a
+list of the words whose stems recur in toxic texts and hardly in ordinary ones. The toxic side compresses with both, the ordinary
 side with its own alone, so a window gets shorter on the toxic side only by what it shares with toxic
 text. Ordinary windows that gain nonetheless join the ordinary dictionary. The gains of a text's
-windows are summed up in a few numbers, and thresholds on them are calibrated by a logistic fit on
+windows are summed up in nine numbers, and a logistic fit on them decides, made on
 texts that the dictionaries have not seen.
 
 Only the fit uses labels, on a bounded sample; every text is scored whole.
