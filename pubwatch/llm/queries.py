@@ -12,6 +12,7 @@ from pubwatch.llm import (
     byte_bpe,
     cover_tree,
     exact_dedup,
+    fill_middle,
     html_text,
     mixing,
     near_dup,
@@ -225,3 +226,45 @@ def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return fill_middle.restore(made).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("text", 256).alias("restored_sha256"),
+    )
+
+
+_oracles["op12_fill_middle"] = """
+    with d as (
+      select doc_id, coalesce(text, '') as t, cast(length(coalesce(text, '')) as bigint) as n,
+             sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h
+      from documents
+    ), c as (
+      select *, cast('0x' || substr(h, 1, 8) as bigint) % (n + 1) as a,
+             cast('0x' || substr(h, 9, 8) as bigint) % (n + 1) as b,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                    or cast('0x' || substr(h, 17, 8) as bigint) % 100 >= 90 then 'plain'
+                  when cast('0x' || substr(h, 25, 8) as bigint) % 100 < 20 then 'spm' else 'psm' end as form
+      from d
+    ), p as (
+      select *, substr(t, 1, least(a, b)) as pre, substr(t, least(a, b) + 1, abs(a - b)) as mid,
+             substr(t, greatest(a, b) + 1) as suf
+      from c
+    )
+    select doc_id, n, form,
+           case when form <> 'plain' then least(a, b) end as prefix_chars,
+           case when form <> 'plain' then abs(a - b) end as middle_chars,
+           sha256(case form when 'plain' then t
+                    when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+                    else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+           sha256(t) as restored_sha256
+    from p
+"""
