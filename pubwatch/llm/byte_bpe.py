@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-The pairs that can merge wait in one bucket per merge rank. A bitmap of three levels marks the
-buckets in use, so the next rank is three find-first-set steps away. A bucket is a heap of
+The pairs that can merge wait in one bucket per merge rank. A bitmap of two levels marks the
+buckets in use, so the next rank is two find-first-set steps away. A bucket is a heap of
 positions in the linked list of parts, so the leftmost pair of a rank comes first. Entries of pairs
 that have changed since are skipped when they come up. A pre-token of n bytes takes O(n log n)
 steps, however long it is.
@@ -15,6 +15,7 @@ from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -27,14 +28,21 @@ BATCH_BYTES = 8 << 20
 BEYOND = re.compile("[\U00010000-\U0010ffff]")
 
 
+WIDTH = 9
+MASK = (1 << WIDTH) - 1
+BIT = [1 << i for i in range(1 << WIDTH)]
+
+
 class RankQueue:
-    """Positions by rank; the smallest rank first, then the smallest position."""
+    """Positions by rank; the smallest rank first, then the smallest position.
+
+    The bitmap has a word of 512 bits per 512 ranks and one word above these.
+    """
 
     def __init__(self, ranks: int) -> None:
-        if ranks > 1 << 18:
-            raise ValueError("three levels of 64 bits hold 262,144 ranks")
-        self.leaves = [0] * ((ranks >> 6) + 1)
-        self.middles = [0] * ((ranks >> 12) + 1)
+        if ranks > 1 << 2 * WIDTH:
+            raise ValueError("two levels of 512 bits hold 262,144 ranks")
+        self.leaves = [0] * ((ranks >> WIDTH) + 1)
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
@@ -44,27 +52,23 @@ class RankQueue:
             heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        self.leaves[rank >> 6] |= 1 << (rank & 63)
-        self.middles[rank >> 12] |= 1 << (rank >> 6 & 63)
-        self.top |= 1 << (rank >> 12)
+        self.leaves[rank >> WIDTH] |= BIT[rank & MASK]
+        self.top |= BIT[rank >> WIDTH]
 
     def pop(self) -> tuple[int, int] | None:
         if not self.top:
             return None
-        high = (self.top & -self.top).bit_length() - 1
-        bits = self.middles[high]
-        middle = high << 6 | (bits & -bits).bit_length() - 1
-        bits = self.leaves[middle]
-        rank = middle << 6 | (bits & -bits).bit_length() - 1
+        first = self.top & -self.top
+        leaf = first.bit_length() - 1
+        lowest = self.leaves[leaf] & -self.leaves[leaf]
+        rank = leaf << WIDTH | lowest.bit_length() - 1
         bucket = self.buckets[rank]
         position = heappop(bucket)
         if not bucket:
             del self.buckets[rank]
-            self.leaves[middle] &= ~(1 << (rank & 63))
-            if not self.leaves[middle]:
-                self.middles[high] &= ~(1 << (middle & 63))
-                if not self.middles[high]:
-                    self.top &= ~(1 << high)
+            self.leaves[leaf] ^= lowest
+            if not self.leaves[leaf]:
+                self.top ^= first
         return rank, position
 
 
@@ -102,7 +106,9 @@ class ByteBpe:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
-        self.tokens = dict(zip(ranks.values(), ranks.keys(), strict=True))
+        by_rank = dict(zip(ranks.values(), ranks.keys(), strict=True))
+        #: bytes per id; ids that no token has are NULL
+        self.tokens = pa.array([by_rank.get(i) for i in range(max(by_rank, default=-1) + 1)], pa.large_binary())
         self.pattern = regex.compile(pattern)
         self.stand_ins = class_differences()
         # a class within the first plane is a table look-up; one beyond it would be a long list
@@ -120,48 +126,78 @@ class ByteBpe:
         """Pre-tokens, as the library's pattern engine finds them."""
         if text.isascii() or not (
             self.odd.search(text)
-            or (BEYOND.search(text) and not self.stand_ins.keys().isdisjoint(text))
+            or (BEYOND.search(text) and not self.stand_ins.keys().isdisjoint(map(ord, text)))
         ):
             return self.pattern.findall(text)
         matches = self.pattern.finditer(text.translate(self.stand_ins))
         return [text[m.start() : m.end()] for m in matches]
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks, queue = self.ranks, self.queue
-        if piece in ranks:
-            return [ranks[piece]]
+        """Ids of one pre-token. The loop spells out the steps of the queue, as calls cost a third."""
+        get = self.ranks.get
+        whole = get(piece)
+        if whole is not None:
+            return [whole]
+        leaves, buckets, top = self.queue.leaves, self.queue.buckets, 0
         size = len(piece)
         # after[i]: where the part at i ends; before[i]: where the part left of it starts
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
         pair = [-1] * size  # rank of the part at i with the next one; -1: none, or i is merged away
         for i in range(size - 1):
-            rank = ranks.get(piece[i : i + 2], -1)
+            rank = get(piece[i : i + 2], -1)
             if rank >= 0:
                 pair[i] = rank
-                queue.push(rank, i)
-        while (entry := queue.pop()) is not None:
-            rank, i = entry
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    leaves[rank >> WIDTH] |= BIT[rank & MASK]
+                    top |= BIT[rank >> WIDTH]
+        while top:
+            first = top & -top
+            leaf = first.bit_length() - 1
+            bits = leaves[leaf]
+            lowest = bits & -bits
+            rank = leaf << WIDTH | lowest.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                leaves[leaf] = bits ^ lowest
+                if bits == lowest:
+                    top ^= first
             if pair[i] != rank:
                 continue
             gone = after[i]
             end = after[i] = after[gone]
             pair[gone] = -1
+            new = -1
             if end < size:
                 before[end] = i
-                pair[i] = ranks.get(piece[i : after[end]], -1)
-                if pair[i] >= 0:
-                    queue.push(pair[i], i)
-            else:
-                pair[i] = -1
+                new = get(piece[i : after[end]], -1)
+                if new >= 0:
+                    if new in buckets:
+                        heappush(buckets[new], i)
+                    else:
+                        buckets[new] = [i]
+                        leaves[new >> WIDTH] |= BIT[new & MASK]
+                        top |= BIT[new >> WIDTH]
+            pair[i] = new
             left = before[i]
             if left >= 0:
-                pair[left] = ranks.get(piece[left:end], -1)
-                if pair[left] >= 0:
-                    queue.push(pair[left], left)
+                pair[left] = new = get(piece[left:end], -1)
+                if new >= 0:
+                    if new in buckets:
+                        heappush(buckets[new], left)
+                    else:
+                        buckets[new] = [left]
+                        leaves[new >> WIDTH] |= BIT[new & MASK]
+                        top |= BIT[new >> WIDTH]
         ids, i = [], 0
         while i < size:
-            ids.append(ranks[piece[i : after[i]]])
+            ids.append(self.ranks[piece[i : after[i]]])
             i = after[i]
         return ids
 
@@ -170,8 +206,18 @@ class ByteBpe:
         return b"".join(map(self.words.__getitem__, self.split(text)))
 
     def decode(self, ids: bytes) -> bytes:
-        numbers = array("I", ids)
-        return b"".join(map(self.tokens.__getitem__, numbers))
+        return self.decode_all([ids])[0].as_py()
+
+    def decode_all(self, encoded: list[bytes]) -> pa.Array:
+        """The bytes of each run of ids. The bytes of all tokens lie in one buffer, cut at the runs."""
+        numbers = pa.Array.from_buffers(
+            pa.uint32(), sum(map(len, encoded)) // 4, [None, pa.py_buffer(b"".join(encoded))]
+        )
+        _, places, values = self.tokens.take(numbers).buffers()
+        ends = np.cumsum([0, *map(len, encoded)]) // 4
+        offsets = np.frombuffer(places, np.int64)[ends] if values else np.zeros(len(ends), np.int64)
+        offsets = pa.py_buffer(offsets.astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(encoded), [None, offsets, values or pa.py_buffer(b"")])
 
 
 class _Words(dict):
@@ -229,29 +275,19 @@ def encode_decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(ranks_path, pattern)
         for batch in batches:
-            keys, encoded, decoded, held = [], [], [], 0
-            for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = bpe.encode(text.as_py())
-                keys.append(key)
-                encoded.append(ids)
-                decoded.append(bpe.decode(ids))
-                held += len(ids) + len(decoded[-1])
-                if held >= BATCH_BYTES:
-                    yield _batch(batch, keys, encoded, decoded)
-                    keys, encoded, decoded, held = [], [], [], 0
-            yield _batch(batch, keys, encoded, decoded)
+            start, encoded, held = 0, [], 0
+            for row, text in enumerate(batch.column(1), 1):
+                encoded.append(bpe.encode(text.as_py()))
+                held += len(encoded[-1])
+                if held >= BATCH_BYTES or row == len(batch):
+                    yield _batch(bpe, batch.column(0).slice(start, row - start), encoded)
+                    start, encoded, held = row, [], 0
 
     schema = f"id {kind}, n_tokens bigint, ids binary, decoded binary"
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def _batch(source: pa.RecordBatch, keys: list, encoded: list, decoded: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([k.as_py() for k in keys], source.schema.field(0).type),
-            pa.array([len(ids) // 4 for ids in encoded], pa.int64()),
-            pa.array(encoded, pa.binary()),
-            pa.array(decoded, pa.binary()),
-        ],
-        ["id", "n_tokens", "ids", "decoded"],
-    )
+def _batch(bpe: ByteBpe, keys: pa.Array, encoded: list[bytes]) -> pa.RecordBatch:
+    sizes = pa.array([len(ids) // 4 for ids in encoded], pa.int64())
+    arrays = [keys, sizes, pa.array(encoded, pa.binary()), bpe.decode_all(encoded)]
+    return pa.RecordBatch.from_arrays(arrays, ["id", "n_tokens", "ids", "decoded"])

@@ -25,6 +25,7 @@ SAMPLES = [
     "ab" * 2000 + "." * 999 + "=-" * 400,
     "the of and " * 900,
     "🙂🏽‍🚀" * 99,
+    "1 \U00010ee7a \U00010ee7",
 ]
 
 
