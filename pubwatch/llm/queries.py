@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pubwatch.llm import (
     byte_bpe,
+    conversations,
     cover_tree,
     exact_dedup,
     fill_middle,
@@ -228,6 +230,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+EMPTY_SHA256 = hashlib.sha256().hexdigest()
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    result = conversations.repair(conversations.damage(rows))
+    digests = conversations.digests(result.rows)
+    all_ids = rows.select("conv_id").distinct()
+    report, sums = result.report.alias("r"), digests.alias("d")
+    joined = all_ids.alias("a").join(report, F.col("a.conv_id").eqNullSafe(F.col("r.conv_id")), "left")
+    joined = joined.join(sums, F.col("a.conv_id").eqNullSafe(F.col("d.conv_id")), "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "a.conv_id",
+        *[F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.lit(EMPTY_SHA256)).alias("repaired_sha256"),
+    )
+
+
 @query
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.transform(table(spark, sf_dir, "documents"))
