@@ -18,6 +18,7 @@ from pubwatch.llm import (
     html_text,
     mixing,
     near_dup,
+    prefix_forest,
     repeats,
     token_counts,
     toxicity,
@@ -291,3 +292,8 @@ _oracles["op12_fill_middle"] = """
            sha256(t) as restored_sha256
     from p
 """
+
+
+@query
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
