@@ -327,6 +327,14 @@ def windows(starts: str) -> str:
 WEEK = "time_bucket(interval '7 days', ts, timestamp '1970-01-01')"
 
 
+# The archive after two pulls, of which the second has newer versions of recent works.
+UPSERTED = f"""select work_id, subject, journal_name, title, grade, link,
+      case when recent then publication_date + 40 else publication_date end as publication_date,
+      case when recent then citations + 5 else citations end as citations,
+      case when recent then date '2001-08-01' else date '2001-07-25' end as pulled_on
+    from (select *, publication_date >= {SINCE} as recent from archive) a"""
+
+
 # Columns that are dates or times in the twins, per query.
 PUBLISHED = """
     works_from_pages archive_refresh snapshot_guard first_page_per_journal archive_snapshot
@@ -336,13 +344,13 @@ PUBLISHED = """
 """.split()
 TEMPORAL: dict[str, tuple[str, ...]] = {
     **dict.fromkeys(PUBLISHED, ("publication_date",)),
-    **dict.fromkeys(("volume_by_month", "volume_by_quarter", "filtered_volume"), ("period_start",)),
+    **dict.fromkeys(("volume_by_month", "volume_by_quarter", "filtered_volume", "counted_volume"), ("period_start",)),
     **dict.fromkeys(("digest_html", "digest_published", "run_artifacts"), ("run_date",)),
     **dict.fromkeys(
         ("stream_weekly_counts", "stream_rolling_counts", "stream_closed_windows"),
         ("window_start", "window_end"),
     ),
-    **dict.fromkeys(("archive_upsert", "stream_merge_pages"), ("publication_date", "pulled_on")),
+    **dict.fromkeys(("archive_upsert", "archive_compacted", "stream_merge_pages"), ("publication_date", "pulled_on")),
     "stream_dedup": ("day",),
 }
 
@@ -427,13 +435,17 @@ def _twins() -> dict[str, str]:
                 select subject, journal_name, title, publication_date, null, citations, link
                 from archive where publication_date >= {SINCE}"""
         ),
-        "archive_upsert": archive_q(
-            f"""select work_id, subject, journal_name, title, grade, link,
-                  case when recent then publication_date + 40 else publication_date end
-                    as publication_date,
-                  case when recent then citations + 5 else citations end as citations,
-                  case when recent then date '2001-08-01' else date '2001-07-25' end as pulled_on
-                from (select *, publication_date >= {SINCE} as recent from archive) a"""
+        "archive_upsert": archive_q(UPSERTED),
+        "archive_compacted": archive_q(
+            f"select * from ({UPSERTED}) u where date_trunc('month', publication_date) = date '1998-03-01'"
+        ),
+        "counted_distribution": archive_q(
+            f"""select subject, count(*) as n_articles,
+                round(count(*) / (sum(count(*)) over ()), 6) as share from ({UPSERTED}) u group by subject"""
+        ),
+        "counted_volume": archive_q(
+            f"""select cast(date_trunc('quarter', publication_date) as date) as period_start,
+                count(*) as n_articles from ({UPSERTED}) u where grade in ('Q1', 'Q2') group by 1"""
         ),
         "archive_rows": archive_q(f"select {ROW7} from archive"),
         "archive_rows_legacy": archive_q(f"select {ROW6} from archive"),

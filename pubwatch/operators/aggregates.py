@@ -32,6 +32,19 @@ def volume_by(works: DataFrame, period: str) -> DataFrame:
     return works.groupBy(start.alias("period_start")).agg(F.count("*").alias("n_articles"))
 
 
+def counted_distribution(counts: DataFrame) -> DataFrame:
+    """:func:`subject_distribution` from counts by subject, grade, journal and month."""
+    sums = counts.groupBy("subject").agg(F.sum("n_rows").alias("n_articles"))
+    total = F.sum("n_articles").over(Window.partitionBy())
+    return sums.withColumn("share", F.round(F.col("n_articles") / total, 6))
+
+
+def counted_volume(counts: DataFrame, period: str) -> DataFrame:
+    """:func:`volume_by` from counts by subject, grade, journal and month."""
+    start = F.trunc("month", period)
+    return counts.groupBy(start.alias("period_start")).agg(F.sum("n_rows").alias("n_articles"))
+
+
 def journals_by_domain(journals: DataFrame, grades: Sequence[str] = ("Q1", "Q2", "Q1/Q2")) -> DataFrame:
     """Journals per subject, in total and per grade."""
     per_grade = [

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
@@ -27,17 +28,23 @@ def dimension_join(
     on: str | Sequence[str],
     how: str = "inner",
     spread: Sequence[str] = (),
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join a large table with one that is usually small.
 
     A dimension of measured, bounded size is broadcast, so the facts are not shuffled. A larger one
     is joined by shuffle, where adaptive execution splits the partitions of hot keys by their bytes.
     It does not do so for streams; there, facts are dealt to ``STREAM_PARTS`` parts per key by the
-    hash of the ``spread`` columns, and the dimension is copied as often.
+    hash of the ``spread`` columns, and the dimension is copied as often. A ``null_safe`` semi or
+    anti join lets NULL keys meet.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"not a facts-side join: {how}")
+    if null_safe:
+        dim = dim.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        met = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+        return facts.join(F.broadcast(dim) if fits_broadcast(dim) else dim, met, how)
     if fits_broadcast(dim):
         return facts.join(F.broadcast(dim), keys, how)
     if spread and facts.isStreaming:

@@ -21,14 +21,7 @@ from pubwatch.sources.landing import (
     whole_pages,
     works_from_pages,
 )
-from pubwatch.sources.tables import (
-    BUCKET,
-    append_archive,
-    create_archive,
-    read_archive,
-    replace_table,
-    upsert_table,
-)
+from pubwatch.sources.tables import NEWEST_PULL, archive_table, replace_table
 from pubwatch.streaming.jobs import append_stream, upsert_stream
 
 
@@ -49,7 +42,9 @@ def registry_columns(journals: DataFrame) -> DataFrame:
 KEY = ["work_id"]
 
 
-def refresh_archive(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> bool:
+def refresh_archive(
+    landed: DataFrame, journals: DataFrame, params: RunParams, path: str, counts: bool = False
+) -> bool:
     """Rebuild the archive from landed pages; tells whether it was rebuilt.
 
     A journal whose pull broke off, or that landed nothing, keeps its old rows; all others are
@@ -70,27 +65,31 @@ def refresh_archive(landed: DataFrame, journals: DataFrame, params: RunParams, p
     rows = rows.withColumn("pulled_on", F.lit(params.as_of))
     if rows.isEmpty():
         return False
-    old = read_archive(spark, path)
+    table = archive_table(spark, path, counts)
+    old = table.read()
     if old is not None:
-        held = dimension_join(old.drop(BUCKET), failed, "issn", "left_semi")
+        held = dimension_join(old, failed, "issn", "left_semi")
         rows = rows.unionByName(held, allowMissingColumns=True)
-    create_archive(path, rows, KEY)
+    table.replace(rows)
     return True
 
 
-def daily_append(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> bool:
+def daily_append(
+    landed: DataFrame, journals: DataFrame, params: RunParams, path: str, counts: bool = False
+) -> bool:
     """Append the rows of the last day's pull as they are; overlapping pulls repeat rows."""
-    return append_archive(path, _daily_rows(landed, journals, params), KEY)
-
-
-def newest_pull() -> list[Column]:
-    """Of several versions of a work the last pulled one counts; the rest makes the order total."""
-    return [F.desc("pulled_on"), F.desc("citations"), F.desc("publication_date"), F.asc("link")]
+    rows = _daily_rows(landed, journals, params)
+    if rows.isEmpty():
+        return False
+    archive_table(landed.sparkSession, path, counts).append(rows)
+    return True
 
 
-def daily_upsert(landed: DataFrame, journals: DataFrame, params: RunParams, path: str) -> None:
+def daily_upsert(
+    landed: DataFrame, journals: DataFrame, params: RunParams, path: str, counts: bool = False
+) -> None:
     """Merge the last day's pull into the archive by work id."""
-    upsert_table(path, _daily_rows(landed, journals, params), KEY, newest_pull())
+    archive_table(landed.sparkSession, path, counts).merge(_daily_rows(landed, journals, params))
 
 
 def ingest_pages(pages: DataFrame, journals: DataFrame, path: str, checkpoint: str) -> None:
@@ -108,7 +107,7 @@ def merge_pages(
 ) -> None:
     """Merge the works of newly landed pages into the archive by work id, as the pull of ``as_of``."""
     rows = _page_rows(pages, journals).withColumn("pulled_on", F.lit(params.as_of))
-    upsert_stream(rows, path, checkpoint, KEY, newest_pull())
+    upsert_stream(rows, path, checkpoint, KEY, NEWEST_PULL)
 
 
 def _page_rows(pages: DataFrame, journals: DataFrame) -> DataFrame:

@@ -48,11 +48,47 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def _place(spark: SparkSession, path: str) -> tuple:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a written table through its own file system."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    place, files = _place(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder, sorted; none where there is no folder."""
+    place, files = _place(spark, folder)
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place, files = _place(spark, path)
+    stream = files.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file that appears whole or not at all; an existing one is an error."""
+    place, files = _place(spark, path)
+    whole, _ = _place(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = files.create(whole, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if files.exists(place) or not files.rename(whole, place):
+        files.delete(whole, False)
+        raise FileExistsError(f"{path} was written by someone else")
 
 
 @contextmanager

@@ -4,20 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pubwatch.operators.projections import align_archive
-from pubwatch.operators.sets import latest_versions
-from pubwatch.session import written
 from pubwatch.sources import schemas
-
-BUCKET = "key_bucket"
-BUCKETS = 64
-#: a name that readers of the table skip
-LAYOUT = "_layout"
-
+from pubwatch.sources.versioned import Layout, VersionedTable
 
 def write_snapshot(
     rows: DataFrame,
@@ -27,101 +19,80 @@ def write_snapshot(
     drop: Sequence[str] = (),
     fmt: str = "parquet",
 ) -> bool:
-    """Clear and replace the table at ``path``; tells whether it was written.
+    """Replace the table at ``path``; tells whether it was replaced.
 
     An empty result, or a completeness report with a failed journal, leaves the old table alone.
     Rows are sorted only after these checks; columns to ``drop`` may still take part in the order.
+    A parquet table is replaced by its pointer (:mod:`versioned`), so it is whole at any time, and is
+    read by :func:`read_snapshot`. A CSV file set is cleared and written anew, for other programs.
     """
     if completeness is not None and not completeness.where("failed").isEmpty():
         return False
     if rows.isEmpty():
         return False
     ordered = rows.orderBy(*order) if order else rows
-    ordered.drop(*drop).write.mode("overwrite").format(fmt).options(**_text_options(fmt)).save(path)
+    ordered = ordered.drop(*drop)
+    if fmt == "parquet":
+        VersionedTable(rows.sparkSession, path).replace(ordered, keep_order=bool(order))
+    else:
+        ordered.write.mode("overwrite").format(fmt).options(**_text_options(fmt)).save(path)
     return True
 
 
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest whole snapshot at ``path``, or None where there is none yet."""
+    return VersionedTable(spark, path).read()
+
+
 def append_rows(rows: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Add rows to the archive at ``path``, by column name; nothing is cleared."""
+    """Add rows to the snapshot at ``path``, by column name; nothing is cleared."""
     if rows.isEmpty():
         return False
-    align_archive(rows).write.mode("append").format(fmt).options(**_text_options(fmt)).save(path)
+    aligned = align_archive(rows)
+    if fmt == "parquet":
+        VersionedTable(rows.sparkSession, path).append(aligned)
+    else:
+        aligned.write.mode("append").format(fmt).options(**_text_options(fmt)).save(path)
     return True
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table at ``path``, or None where there is none yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+#: Of several versions of a work the last pulled one counts; the rest makes the order total.
+NEWEST_PULL = ("-pulled_on", "-citations", "-publication_date", "link")
+#: The dashboard filters by date, subject and grade; works and journals are looked up.
+ARCHIVE_LAYOUT = Layout(
+    bits={"publication_date": 6, "subject": 3, "grade": 2}, lookups=("work_id", "issn")
+)
 
 
-def create_archive(path: str, rows: DataFrame, key: Sequence[str], buckets: int = BUCKETS) -> None:
-    """Replace the archive at ``path`` by ``rows``, laid out in buckets by the hash of the key.
+def archive_counts() -> dict[str, Column]:
+    """What the dashboard's widgets count by."""
+    month = F.trunc("publication_date", "month")
+    return {"subject": F.col("subject"), "grade": F.col("grade"), "journal_name": F.col("journal_name"),
+            "month": month}
 
-    The bucket count is stored with the table; later writers keep to it.
-    """
-    spark = rows.sparkSession
-    with written(rows.drop(BUCKET), "archive-rows") as whole:
-        placed = whole.withColumn(BUCKET, _bucket(key, buckets))
-        _by_bucket(placed).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy(BUCKET).parquet(path)
-        layout = spark.createDataFrame([(buckets, list(key))], "buckets int, key array<string>")
-        layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/{LAYOUT}")
+
+def archive_table(spark: SparkSession, path: str, counts: bool = False) -> VersionedTable:
+    """The archive at ``path``; with ``counts`` its writers also keep what the dashboard counts."""
+    kept = archive_counts if counts else None
+    return VersionedTable(spark, path, ["work_id"], NEWEST_PULL, ARCHIVE_LAYOUT, kept)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame | None:
-    """The archive with its key and bucket columns, or None where there is none yet."""
-    return read_table(spark, path)
+    """The rows of a merged table, the newest version of each; None where there is no table yet."""
+    return VersionedTable(spark, path).read()
 
 
 def published(spark: SparkSession, path: str) -> DataFrame:
     """The archive as it is published: its seven columns."""
-    return spark.read.parquet(path).select(*schemas.ARCHIVE.names)
-
-
-def append_archive(path: str, new: DataFrame, key: Sequence[str], buckets: int = BUCKETS) -> bool:
-    """Add rows to the archive as they are, in its own layout; overlapping pulls repeat rows."""
-    spark = new.sparkSession
-    if new.isEmpty():
-        return False
-    if read_table(spark, path) is None:
-        create_archive(path, new, key, buckets)
-        return True
-    placed = new.withColumn(BUCKET, _bucket(key, _layout(spark, path)))
-    _by_bucket(placed).write.mode("append").partitionBy(BUCKET).parquet(path)
-    return True
+    return read_archive(spark, path).select(*schemas.ARCHIVE.names)
 
 
-def upsert_table(
-    path: str, new: DataFrame, key: Sequence[str], newest: Sequence[Column], buckets: int = BUCKETS
-) -> None:
-    """Merge ``new`` into the archive at ``path`` and rewrite only the buckets it touches.
+def upsert_table(path: str, new: DataFrame, key: Sequence[str], newest: Sequence[str]) -> None:
+    """Merge ``new`` into the table at ``path``: the newest version of each key counts.
 
-    A key always lies in the bucket of its hash, so nothing has to be looked up. A repeated call
-    changes nothing. The merged buckets are whole in the shared folder before the first old one is
-    replaced; they go when the call ends.
+    Only the batch is written. A repeated call changes nothing.
     """
-    spark = new.sparkSession
-    archive = read_table(spark, path)
-    if archive is None:
-        create_archive(path, latest_versions(new, key, newest), key, buckets)
-        return
-    with written(new.withColumn(BUCKET, _bucket(key, _layout(spark, path))), "upsert-batch") as batch:
-        # at most one value per bucket, a constant of the table
-        touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        old = archive.where(F.col(BUCKET).isin(*touched))
-        merged = latest_versions(old.unionByName(batch, allowMissingColumns=True), key, newest)
-        with written(merged, "upsert-merged") as whole:
-            _by_bucket(whole).write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy(BUCKET).parquet(path)
+    VersionedTable(new.sparkSession, path, key, newest).merge(new)
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
@@ -154,16 +125,3 @@ def write_pages(pages: DataFrame, path: str) -> None:
 
 def _text_options(fmt: str) -> dict[str, str]:
     return {"header": "true"} if fmt == "csv" else {}
-
-
-def _bucket(key: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
-
-
-def _layout(spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(f"{path}/{LAYOUT}").first()["buckets"]
-
-
-def _by_bucket(rows: DataFrame) -> DataFrame:
-    # Rebalancing splits a bucket that is too large for one file and joins small ones.
-    return rows.hint("rebalance", BUCKET)

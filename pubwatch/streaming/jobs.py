@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -96,13 +96,13 @@ def window_counts(
 
 
 def keep_windows(counts: DataFrame, path: str, checkpoint: str, key: str) -> None:
-    """Keep the current count of every window as a table: each batch merges the windows it changed.
+    """Keep the current count of every window as a table: each batch writes the windows it changed.
 
     Counts only grow, so the larger one is the newer one, also when a batch is repeated.
+    ``read_archive`` has the newest counts.
     """
-    newest = [F.desc("n_events")]
     batch_stream(
-        counts, lambda batch: upsert_table(path, batch, ["window_start", key], newest), checkpoint, "update"
+        counts, lambda batch: upsert_table(path, batch, ["window_start", key], ["-n_events"]), checkpoint, "update"
     )
 
 
@@ -129,7 +129,7 @@ def enrich_stream(stream: DataFrame, journals: DataFrame, spread: Sequence[str])
 
 
 def upsert_stream(
-    stream: DataFrame, path: str, checkpoint: str, key: Sequence[str], newest: Sequence[Column]
+    stream: DataFrame, path: str, checkpoint: str, key: Sequence[str], newest: Sequence[str]
 ) -> None:
-    """Merge each micro-batch into the archive at ``path``: the newest version of each key stays."""
+    """Merge each micro-batch into the table at ``path``: the newest version of each key counts."""
     batch_stream(stream, lambda batch: upsert_table(path, batch, key, newest), checkpoint)

@@ -29,63 +29,10 @@ def rows(spark, *items):
 
 def content(spark, path):
     return sorted(
-        (r["k"], str(r["publication_date"]), r["version"], r["v"]) for r in spark.read.parquet(path).collect()
+        (r["k"], str(r["publication_date"]), r["version"], r["v"]) for r in tables.read_archive(spark, path).collect()
     )
 
 
-def files(path):
-    return {p: p.stat().st_mtime_ns for p in path.glob("key_bucket=*/*.parquet")}
-
-
-def test_upsert_table(spark, tmp_path):
-    path = str(tmp_path / "t")
-    first = rows(
-        spark,
-        (1, "2024-01-05", 1, "a"),
-        (2, "2024-02-05", 1, "b"),
-        (3, None, 1, "c"),
-        (1, "2024-01-05", 0, "old"),
-    )
-    tables.upsert_table(path, first, ["k"], newest(), buckets=512)
-    bucket = {r["k"]: r["key_bucket"] for r in spark.read.parquet(path).collect()}
-    assert len(set(bucket.values())) == 3
-    before = files(tmp_path / "t")
-    new = rows(spark, (1, "2024-03-01", 2, "A"), (3, "2024-03-02", 2, "C"), (4, "2024-03-03", 1, "d"))
-    expected = [
-        (1, "2024-03-01", 2, "A"),
-        (2, "2024-02-05", 1, "b"),
-        (3, "2024-03-02", 2, "C"),
-        (4, "2024-03-03", 1, "d"),
-    ]
-    for _ in range(2):
-        tables.upsert_table(path, new, ["k"], newest())
-        assert content(spark, path) == expected
-    # An older version does not win.
-    tables.upsert_table(path, rows(spark, (4, "2024-03-03", 0, "x")), ["k"], newest())
-    assert content(spark, path) == expected
-    after = files(tmp_path / "t")
-    kept = f"key_bucket={bucket[2]}/"
-    assert {p: t for p, t in after.items() if kept in str(p)} == {p: t for p, t in before.items() if kept in str(p)}
-    assert not {p for p in after if f"key_bucket={bucket[1]}/" in str(p)} & set(before)
-
-
-def test_intermediate_tables_go(spark, tmp_path):
-    path, shared = str(tmp_path / "t"), Path(shared_dir(spark).removeprefix("file:"))
-
-    def left():
-        return {p.name for p in shared.glob("pubwatch/*/*") if p.name.startswith(("upsert-", "archive-rows"))}
-
-    before = left()
-    for version in (1, 2):
-        tables.upsert_table(path, rows(spark, (1, "2024-01-05", version, "a")), ["k"], newest())
-    tables.append_archive(path, rows(spark, (1, "2024-01-05", 2, "a")), ["k"])
-    assert left() == before
-    assert spark.read.parquet(path).count() == 2
-    # the next merge of that key makes one row of the two
-    tables.upsert_table(path, rows(spark, (1, "2024-01-05", 3, "z")), ["k"], newest())
-    assert [r["v"] for r in spark.read.parquet(path).collect()] == ["z"]
-
-
 def test_snapshot_guards(spark, tmp_path):
     path = str(tmp_path / "s")
     full = rows(spark, (1, "2024-01-05", 1, "a"))
@@ -114,7 +61,7 @@ def test_append_aligns_by_name(spark, tmp_path):
     assert tables.append_rows(archive, path)
     assert tables.append_rows(legacy, path)
     assert not tables.append_rows(archive.where("citations > 9"), path)
-    got = spark.read.parquet(path)
+    got = tables.read_snapshot(spark, path)
     assert got.columns == schemas.ARCHIVE.names
     assert {(r["title"], r["grade"], r["citations"]) for r in got.collect()} == {
         ("T", "Q1", 3),
@@ -190,8 +137,8 @@ def test_daily_runs(spark, tmp_path):
         assert plan.daily_append(landed, journals, params, appended)
         plan.daily_upsert(landed, journals, params, merged)
     # Two works are recent enough; a repeated append repeats them, a repeated upsert does not.
-    assert spark.read.parquet(appended).count() == 4
-    rows_ = spark.read.parquet(merged).collect()
+    assert tables.read_archive(spark, appended).count() == 4
+    rows_ = tables.read_archive(spark, merged).collect()
     assert sorted(r["link"] for r in rows_) == ["dj-1-2", "dj-2-3"]
     assert {(r["subject"], r["grade"], str(r["pulled_on"])) for r in rows_} == {("S", "Q2", "2024-05-01")}
 
@@ -211,7 +158,7 @@ def test_one_layout_for_all_jobs(spark, tmp_path):
     assert plan.daily_append(landed, journals, late, path)
     assert tables.published(spark, path).groupBy("link").count().where("count = 2").count() == 1
     plan.daily_upsert(landed, journals, late, path)
-    merged = spark.read.parquet(path)
+    merged = tables.read_archive(spark, path)
     assert merged.count() == 2
     numbered = plan.sorted_archive(merged).orderBy("row_no").collect()
     assert [(r["row_no"], str(r["publication_date"])) for r in numbered] == [(1, "2024-03-01"), (2, "2024-01-01")]

@@ -158,14 +158,14 @@ def test_failed_journals_keep_their_rows(spark, landed, tmp_path):
         "work_id string, issn string, subject string, journal_name string, title string,"
         " publication_date date, grade string, citations long, link string",
     )
-    tables.create_archive(path, before, plan.KEY)
+    tables.archive_table(spark, path).replace(before)
     assert plan.refresh_archive(landed, journals, RunParams(as_of=dt.date(2025, 1, 1)), path)
-    kept = {r["work_id"] for r in spark.read.parquet(path).collect()}
+    kept = {r["work_id"] for r in tables.read_archive(spark, path).collect()}
     assert kept == {"Wwhole-1-1", "Wwhole-2-1", "Wwhole-2-2", "Wempty-1-1", "broken-old", "silent-old"}
     assert tables.published(spark, path).columns == schemas.ARCHIVE.names
     # a pull without any row of a whole journal leaves the archive alone
     assert not plan.refresh_archive(landed.where("issn = 'dead'"), journals, RunParams(as_of=dt.date(2025, 1, 1)), path)
-    assert spark.read.parquet(path).count() == 6
+    assert tables.read_archive(spark, path).count() == 6
 
 
 def test_metadata_table_is_replaced(spark, landed, tmp_path):
@@ -221,7 +221,7 @@ def test_two_line_pull_with_a_cut_line_keeps_the_archive(spark, tmp_path):
     (tmp_path / "b").mkdir()
     assert plan.refresh_archive(land_lines(spark, tmp_path / "a", pages), journals, params, path)
     assert not plan.refresh_archive(land_lines(spark, tmp_path / "b", pages, cut=[1]), journals, params, path)
-    assert spark.read.parquet(path).count() == 2
+    assert tables.read_archive(spark, path).count() == 2
 
 
 def test_a_page_that_landed_twice_counts_once(spark, tmp_path):
