@@ -1,18 +1,18 @@
 """Main text of web pages by template deduction from the pages of a host.
 
 A token is an element in its place (its tag, class and id below those of its ancestors) or a block
-of running text in its place. For every host, tokens with the same occurrence vector over its pages
-form an equivalence class. A class with an element is valid if its elements stand once on each of at
-least ``MIN_SUPPORT`` pages; valid classes nest, as a token's place names its ancestors. They make
-the template, and what stands between their tokens are slots. Texts of a valid class belong to the
-template too.
-
-Every page picks its own slot among the valid classes that it carries: an ``article`` or ``main``
-that holds nine tenths of the page's running text outside the template, or else the deepest
-container that does, or else the whole page. So no page loses more than a tenth of its own text,
-whatever the rest of its host looks like. It gives up that slot, with the headings right before it,
-without the parts that their own markup declares to be something else (menus, adverts, forms,
-comments and so on).
+of running text in its place; a short text that differs in its numbers only is one token as well.
+The occurrence vector of a token tells how often it stands on each page of its host. Tokens with
+equal vectors form an equivalence class. A class is valid if it has an element and stands once on
+each of at least ``MIN_SUPPORT`` pages; a text that stands twice where its class stands once belongs
+to it as well, and so on. Valid classes nest, as a token's place names its ancestors,
+and make up the template; what stands between their tokens are slots. All slots of a page together
+are its text: every block that is no text of the template, in page order.
+
+Where a class cannot tell, as a part differs from page to page, the page's own markup does: menus,
+adverts, forms, comments and so on are left out by tag, role, class and id. Texts inside an
+``article`` or ``main`` are never the template's, and a page of which nothing would be left is kept
+whole: it then is one of several copies.
 
 An occurrence vector never leaves its page: each page adds a random number of its own per token,
 and equal sums stand for equal vectors. Pages with the same containers share a layout, and what a
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Collection, Iterable, Iterator
 
 import pyarrow as pa
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from pubwatch.llm.common import materialise
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NUMBER = re.compile(r"\d+")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 RAW = ("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "plaintext")
 VOID = {*"area base br col embed hr img input link meta param source track wbr".split()}
@@ -72,9 +74,10 @@ SINGLE = {*"p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption summa
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: pages that a valid class stands on at least, or all pages of a host with fewer
 MIN_SUPPORT = 3
-SLOT_SHARE = 0.9
+#: a text of more words is never one with others that differ in their numbers
+FIELD_WORDS = 5
 #: a name says nothing about an element with more than this share of the page's running text
-MOST = 0.5
+MOST, MOST_COMMENTS = 0.5, 0.9
 
 #: tag, place, apart, inside article or main, number on the page
 Element = tuple[str, str, bool, bool, int]
@@ -125,11 +128,14 @@ def _named_apart(tag: str, attributes: dict[str, str], in_body: bool) -> set[str
 
 
 def _really_apart(out: list[Block], named: dict[int, set[str]]) -> set[int]:
-    """Those of the elements named to be apart that are: not what holds most of the article or of the page."""
+    """Those of the elements named to be apart that are: not what holds most of the article or of the page.
+
+    Where a page has an article, an element without any of it is what its name says, whatever its size.
+    """
     if not named:
         return set()
     page, article = 0, 0
-    held: dict[int, list[int]] = {number: [0, 0] for number in named}
+    held: dict[int, list[int]] = {number: [0, 0, 0] for number in named}
     for text, linked, apart, elements in out:
         if apart:
             continue
@@ -141,12 +147,14 @@ def _really_apart(out: list[Block], named: dict[int, set[str]]) -> set[int]:
                 held[number][0] += n
                 # below the element, not around it
                 held[number][1] += n if in_body and outside else 0
+                held[number][2] += n * in_body
             outside = outside and tag not in BODY
     return {
         number
         for number, words in named.items()
-        if not held[number][1] > MOST * article
-        and not held[number][0] > (SLOT_SHARE if words <= COMMENT_WORDS else MOST) * page
+        if (article and not held[number][2])
+        or not held[number][1] > MOST * article
+        and not held[number][0] > (MOST_COMMENTS if words <= COMMENT_WORDS else MOST) * page
     }
 
 
@@ -259,8 +267,18 @@ def _hash(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _text_key(block: Block) -> int:
-    return _hash(f"{block[3][-1][1] if block[3] else ''}\n{block[0]}")
+def _text_keys(block: Block) -> tuple[int, int]:
+    """The tokens of a text in its place: as it is, and if it is short and no heading without its numbers."""
+    text, elements = block[0], block[3]
+    place = elements[-1][1] if elements else ""
+    exact = _hash(f"{place}\n{text}")
+    if (elements and elements[-1][0] in HEADINGS) or len(text.split(maxsplit=FIELD_WORDS)) > FIELD_WORDS:
+        return exact, exact
+    return exact, _hash(f"{place}\n{NUMBER.sub('0', text)}")
+
+
+def _in_body(block: Block) -> bool:
+    return bool(block[3]) and block[3][-1][3]
 
 
 def _containers(found: list[Block]) -> dict[str, int]:
@@ -284,7 +302,7 @@ def _host(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """layout, slots, template: hashes of the valid containers and of the template's texts."""
+    """layout, template: hashes of the template's texts, for pages of that layout."""
     rows = pages.select(
         _host(F.col(url_col)).alias("host"),
         F.coalesce(F.xxhash64(id_col, url_col), F.lit(0)).alias("mark"),
@@ -298,65 +316,49 @@ def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 host, found = name.as_py(), [b for b in blocks(page.as_py()) if not b[2]]
                 mixed = (mark.as_py() & (1 << 64) - 1) * 0x9E3779B97F4A7C15
                 layout, tokens = _layout(host, _containers(found))
-                # texts of an article or main are never the template's
-                texts = {_text_key(b) for b in found if len(b[0]) > b[1] and not (b[3] and b[3][-1][3])}
-                for key, is_text, inside in [(layout, False, tokens), *((k, True, None) for k in texts)]:
-                    s = sums.setdefault((_hash(host), is_text, key), [inside, 0, 0, 0])
-                    s[1] += 1
-                    s[2] += mixed >> 7 & 0x3FFFFFFF
-                    s[3] += mixed >> 37 & 0x3FFFFFFF
+                texts = Counter()
+                for block in found:
+                    if not _in_body(block):
+                        texts.update(set(_text_keys(block)))
+                entries = [(layout, False, tokens, 1), *((k, True, None, n) for k, n in texts.items())]
+                for key, is_text, inside, times in entries:
+                    s = sums.setdefault((_hash(host), is_text, key), [inside, times, times, 0, 0, 0])
+                    s[1], s[2] = min(s[1], times), max(s[2], times)
+                    s[3] += 1
+                    s[4] += mixed >> 7 & 0x3FFFFFFF
+                    s[5] += mixed >> 37 & 0x3FFFFFFF
             if sums:
                 hosts, kinds, keys = zip(*sums, strict=True)
                 columns = [pa.array(hosts, pa.int64()), pa.array(kinds), pa.array(keys, pa.int64())]
                 columns += [pa.array([s[0] for s in sums.values()], pa.list_(pa.int64()))]
-                columns += [pa.array([s[i] for s in sums.values()], pa.int64()) for i in (1, 2, 3)]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                columns += [pa.array([s[i] for s in sums.values()], pa.int64()) for i in range(1, 6)]
+                yield pa.RecordBatch.from_arrays(columns, [*names[:4], "fewest", "most", *names[4:]])
 
     names = ["host", "is_text", "key", "tokens", "pages", "sum1", "sum2"]
-    schema = "host bigint, is_text boolean, key bigint, tokens array<bigint>, pages bigint, sum1 bigint, sum2 bigint"
+    schema = "host bigint, is_text boolean, key bigint, tokens array<bigint>, fewest bigint, most bigint"
     vector = [F.sum(c).alias(c) for c in names[4:]]
-    stats = rows.mapInArrow(run, schema).groupBy("host", "is_text", "key").agg(F.first("tokens").alias("tokens"), *vector)
-    # a text on fewer pages is never the template's
-    stats = materialise(stats.where(~F.col("is_text") | (F.col("pages") >= MIN_SUPPORT)), "html-tokens")
+    stats = rows.mapInArrow(run, f"{schema}, pages bigint, sum1 bigint, sum2 bigint").groupBy(*names[:3])
+    often = [F.min("fewest").alias("fewest"), F.max("most").alias("most")]
+    stats = stats.agg(F.first("tokens").alias("tokens"), *often, *vector)
+    # a text on fewer pages is never the template's, nor one that stands more often on some than on others
+    steady = (F.col("pages") >= MIN_SUPPORT) & (F.col("fewest") == F.col("most"))
+    stats = materialise(stats.where(~F.col("is_text") | steady).drop("fewest", "most"), "html-tokens")
     layouts = stats.where(~F.col("is_text")).drop("is_text")
     whole = layouts.groupBy("host").agg(F.sum("pages").alias("host_pages"))
     carried = layouts.select("host", F.col("key").alias("layout"), F.explode("tokens").alias("token"), *names[4:])
     valid = carried.groupBy("host", "token").agg(*vector).join(whole, "host")
     valid = valid.where(F.col("pages") >= F.least(F.lit(MIN_SUPPORT), "host_pages")).drop("host_pages")
     carried = materialise(carried.select("host", "layout", "token").join(valid, ["host", "token"]), "html-classes")
-    slots = carried.groupBy("layout").agg(F.collect_list("token").alias("slots"))
     texts = stats.where("is_text").select("host", "key", *names[4:])
     same = carried.select("host", "layout", *names[4:]).distinct()
-    texts = same.join(texts, ["host", *names[4:]]).groupBy("layout").agg(F.collect_list("key").alias("template"))
-    return slots.join(texts, "layout", "left")
-
+    return same.join(texts, ["host", *names[4:]]).groupBy("layout").agg(F.collect_set("key").alias("template"))
 
-def main_text(page: str, slots: Collection[int], template: Collection[int] = ()) -> str:
-    """The running text of the page's slot among the valid containers, or else of the whole page.
 
-    The template's texts do not count in the choice, unless they are half of the page or more:
-    then they may well be what the page is about.
-    """
+def main_text(page: str, template: Collection[int] = ()) -> str:
+    """The blocks of the page that are no texts of the template, or all if none are left."""
     found = [b for b in blocks(page) if not b[2]]
-    inside = range(len(found))
-    if slots:
-        running = [len(b[0]) - b[1] for b in found]
-        own = [0 if n and _text_key(b) in template else n for b, n in zip(found, running, strict=True)]
-        if 2 * sum(own) <= sum(running):
-            own = running
-        held: dict[int, int] = {}
-        for b, n in zip(found, own, strict=True):
-            for element in b[3]:
-                held[element[4]] = held.get(element[4], 0) + n
-        tags = {e[4]: e[0] for b in found for e in b[3]}
-        chain = sorted(n for place, n in _containers(found).items() if held[n] >= SLOT_SHARE * sum(own) and _hash(place) in slots)
-        if chain and sum(own):
-            slot = next((n for n in chain if tags[n] in BODY), chain[-1])
-            inside = [i for i, b in enumerate(found) if any(e[4] == slot for e in b[3])]
-    first = inside[0] if inside else 0
-    while first and found[first - 1][3] and found[first - 1][3][-1][0] in HEADINGS:
-        first -= 1
-    return "\n".join(found[i][0] for i in [*range(first, inside[0] if inside else 0), *inside])
+    left = [b for b in found if _in_body(b) or not any(k in template for k in _text_keys(b))]
+    return "\n".join(b[0] for b in left or found)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -374,28 +376,26 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     )
     kind = rows.schema["id"].dataType.simpleString()
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            layouts = [
-                _layout(host.as_py(), _containers([b for b in blocks(page.as_py()) if not b[2]]))[0]
-                for host, page in zip(batch.column("host"), batch.column("html"), strict=True)
-            ]
-            columns = [batch.column(c) for c in ("id", "url", "html")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(layouts, pa.int64())], ["id", "url", "html", "layout"])
-
-    placed = rows.mapInArrow(place, f"id {kind}, url string, html string, layout bigint")
-    joined = placed.join(templates(pages, id_col, url_col, html_col), "layout", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [
-                main_text(page.as_py(), set(slots.as_py() or ()), set(template.as_py() or ()))
-                for page, slots, template in zip(*(batch.column(c) for c in ("html", "slots", "template")), strict=True)
-            ]
-            columns = [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "url", "text"])
-
-    texts = joined.mapInArrow(run, f"id {kind}, url string, text string")
+            layouts, texts, keys = [], [], []
+            for host, page in zip(batch.column("host"), batch.column("html"), strict=True):
+                found = [b for b in blocks(page.as_py()) if not b[2]]
+                layouts.append(_layout(host.as_py(), _containers(found))[0])
+                texts.append([b[0] for b in found])
+                keys.append([[] if _in_body(b) else [*_text_keys(b)] for b in found])
+            columns = [batch.column("id"), batch.column("url"), pa.array(layouts, pa.int64())]
+            columns += [pa.array(texts, pa.list_(pa.string())), pa.array(keys, pa.list_(pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "url", "layout", "texts", "keys"])
+
+    parsed = rows.mapInArrow(
+        parse, f"id {kind}, url string, layout bigint, texts array<string>, keys array<array<bigint>>"
+    )
+    joined = parsed.join(templates(pages, id_col, url_col, html_col), "layout", "left")
+    known = F.coalesce("template", F.array().cast("array<bigint>"))
+    left = F.filter(F.arrays_zip("texts", "keys"), lambda b: ~F.arrays_overlap(b["keys"], known))
+    kept = F.when(F.size(left) > 0, F.transform(left, lambda b: b["texts"])).otherwise(F.col("texts"))
+    texts = joined.select("id", "url", F.array_join(kept, "\n").alias("text"))
     return texts.select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars")
     )

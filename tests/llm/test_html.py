@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 
 import pytest
 from pubwatch.llm import html_text
@@ -108,3 +109,90 @@ def test_names_drop_what_they_say():
     low = "<div class='related-posts'><article>a card</article></div><div id='nav-main'>n</div><div class='x sidebarLeft'>s</div>"
     low += "<section class='comment-list'>" + "<p>a long comment</p>" * 30 + "</section><div class='site-header'>h</div>"
     assert html_text.main_text(f"<article>{LONG}</article>{low}", []) == ("words of the article " * 20).strip()
+
+
+def brute_templates(rows):
+    """page -> template texts, by occurrence vectors over all pages of a host."""
+    hosts = defaultdict(list)
+    for key, url, page in rows:
+        hosts[re.match(r"http://([^/:]*)", url)[1]].append((key, [b for b in html_text.blocks(page) if not b[2]]))
+    out = {}
+    for members in hosts.values():
+        elements, texts = defaultdict(Counter), defaultdict(Counter)
+        for key, found in members:
+            for place in html_text._containers(found):
+                elements[place][key] += 1
+            for b in found:
+                if not html_text._in_body(b):
+                    for token in set(html_text._text_keys(b)):
+                        texts[token][key] += 1  # how often it stands on the page
+        least = min(html_text.MIN_SUPPORT, len(members))
+        classes = {frozenset(v.items()) for v in elements.values() if len(v) >= least}
+        for key, _ in members:
+            out[key] = {
+                t for t, v in texts.items()
+                if v[key] and len(v) >= html_text.MIN_SUPPORT and len({*v.values()}) == 1
+                and frozenset((k, 1) for k in v) in classes
+            }
+    return out
+
+
+def blog(i, sections=2):
+    """A page without any hint in its markup: menu, notice and footer around what is its own."""
+    own = "".join(
+        f"<div class=s{j}><h2>Part {j} of {i}</h2>" + "".join(f"<p>words {i * 7 + k} of part {j} told at some length</p>" for k in range(1 + (i + j) % 3)) + "</div>"
+        for j in range(sections + i % 2)
+    )
+    note = "<div class=x1><p>we use small files on your device</p></div>" if i % 3 == 0 else ""
+    return (
+        f"<body><div class=top><div class=l1>Home</div><div class=l2>Archive</div><div class=l3>{i} comments</div></div>{note}"
+        f"<div class=mid>{own}<p>Call our office for offers</p></div><div class=low>All rights with the house since {1990 + i}</div></body>"
+    )
+
+
+def own_blocks(i, sections=2):
+    return [
+        text for j in range(sections + i % 2)
+        for text in [f"Part {j} of {i}", *(f"words {i * 7 + k} of part {j} told at some length" for k in range(1 + (i + j) % 3))]
+    ]
+
+
+def test_template_alone_tells_the_article_from_the_rest(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "APART_WORDS", set())
+    rows = [(i, f"http://h{i % 2}.example/{i}", blog(i)) for i in range(36)]
+    templates = brute_templates(rows)
+    for i, _, page in rows:
+        found = html_text.main_text(page, templates[i]).split("\n")
+        assert found[: len(own_blocks(i))] == own_blocks(i)
+        assert set(found) - set(own_blocks(i)) <= {f"All rights with the house since {1990 + i}"}
+
+
+def test_templates_equal_brute_force(spark):
+    rows = [(i, f"http://h{i % 3}.example/{i}", blog(i) if i % 5 else shop(i)) for i in range(45)]
+    want = brute_templates(rows)
+    assert any(want.values())
+    found = {r["page_id"]: r["text"] for r in html_text.extract(pages(spark, rows)).collect()}
+    assert found == {i: html_text.main_text(page, want[i]) for i, _, page in rows}
+
+
+def test_nothing_outside_the_template_is_lost(spark):
+    """Ten paragraphs in one container and the conclusion in another, both on every page."""
+    page = "<body><div class=a>{0}</div><div class=b><p>what follows from all this is number {1} here</p></div><div class=c>the house</div></body>"
+    story = ["".join(f"<p>page {i} says in sentence {j} what it says</p>" for j in range(10)) for i in range(12)]
+    rows = [(i, f"http://h.example/{i}", page.format(story[i], i)) for i in range(12)]
+    for r in html_text.extract(pages(spark, rows)).collect():
+        i = r["page_id"]
+        want = [f"page {i} says in sentence {j} what it says" for j in range(10)]
+        assert r["text"].split("\n") == [*want, f"what follows from all this is number {i} here"]
+
+
+def test_template_texts_inside_the_slot_go(spark):
+    page = "<body><div class=a><p>story {0} begins here and goes on</p><p>Call our office for offers</p><p>story {0} ends</p></div></body>"
+    rows = [(i, f"http://h.example/{i}", page.format(f"{i} {'abcdefgh'[i]}")) for i in range(8)]
+    found = {r["page_id"]: r["text"] for r in html_text.extract(pages(spark, rows)).collect()}
+    assert all("office" not in t and t.count("story") == 2 for t in found.values())
+
+
+def test_an_advert_larger_than_the_article_goes():
+    page = f"<div class='ad'>{LONG}</div><article><p>short</p></article>"
+    assert html_text.main_text(page) == "short"
