@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pubwatch.operators.filters import recent_works, works_in_years
@@ -14,11 +14,11 @@ from pubwatch.session import materialise
 from pubwatch.sources.landing import (
     chain_stops,
     fetch_completeness,
+    index_pages,
+    indexed_pages,
     is_page,
     journal_metadata,
-    unreadable_lines,
     valid_prefix,
-    whole_pages,
     works_from_pages,
 )
 from pubwatch.sources.tables import NEWEST_PULL, archive_table, replace_table
@@ -49,29 +49,28 @@ def refresh_archive(
 
     A journal whose pull broke off, or that landed nothing, keeps its old rows; all others are
     replaced. A line that cannot be read, or a pull without any row, leaves the whole archive alone.
+    The landed pages are scanned twice: for their index, and for the works of the pages it leaves.
     """
     spark = landed.sparkSession
-    if unreadable_lines(landed):
+    index = index_pages(landed)
+    if index.unreadable:
         return False
-    pages = whole_pages(landed)
-    stops = chain_stops(pages)
-    report = fetch_completeness(pages, journals, stops)
+    stops = chain_stops(index.pages)
+    report = fetch_completeness(index.pages, journals, stops)
     failed = materialise(report.where("failed").select("issn"), "failed-journals")
-    works = works_from_pages(valid_prefix(pages, stops), abstracts=False)
+    works = works_from_pages(valid_prefix(indexed_pages(landed, index), stops), abstracts=False)
     in_range = works_in_years(works, params.first_year, params.last_year)
     rows = enrich(in_range, registry_columns(journals))
     rows = dimension_join(rows, failed, "issn", "left_anti")
     rows = fill_text(archive_rows(rows, keep=("work_id", "issn")))
-    rows = rows.withColumn("pulled_on", F.lit(params.as_of))
-    if rows.isEmpty():
-        return False
+    pulled = Observation("pulled-rows")
+    rows = rows.withColumn("pulled_on", F.lit(params.as_of)).observe(pulled, F.count("*").alias("n"))
     table = archive_table(spark, path, counts)
     old = table.read()
     if old is not None:
         held = dimension_join(old, failed, "issn", "left_semi")
         rows = rows.unionByName(held, allowMissingColumns=True)
-    table.replace(rows)
-    return True
+    return table.replace(rows, accept=lambda: pulled.get["n"] > 0)
 
 
 def daily_append(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pubwatch.functions import fixed
@@ -40,6 +43,57 @@ def unreadable_lines(landed: DataFrame) -> int:
     return landed.select("issn", "page_no", schemas.CORRUPT).where(~is_page()).count()
 
 
+@dataclass(frozen=True)
+class PageIndex:
+    """What one scan tells about landed pages, without their works.
+
+    ``pages``: each (journal, page number) once, by the copy that counts, with its number of works,
+    how many copies landed and how many of them are alike in all but their works.
+    """
+
+    pages: DataFrame
+    unreadable: int
+
+
+INDEX = ("issn", "page_no", "request_cursor", "next_cursor", "status", "attempt")
+
+
+def index_pages(landed: DataFrame) -> PageIndex:
+    """Scan the landed pages once, for their keys, cursors and sizes and the lines that are no page."""
+    seen = Observation("landed-lines")
+    scanned = landed.select(*INDEX, n_results().alias("n_works"), is_page().alias("readable"))
+    scanned = scanned.observe(seen, F.count_if(~F.col("readable")).alias("unreadable"))
+    copies = scanned.where("readable").groupBy(*INDEX, "n_works").agg(F.count("*").alias("alike"))
+    copies = materialise(copies, "landed-index")
+    times = F.sum("alike").over(Window.partitionBy("issn", "page_no")).alias("times")
+    pages = latest_versions(copies.select("*", times), ["issn", "page_no"], _best_copy(F.col("n_works")))
+    return PageIndex(materialise(pages, "landed-pages"), seen.get["unreadable"])
+
+
+def indexed_pages(landed: DataFrame, index: PageIndex) -> DataFrame:
+    """The landed pages that the index names, each once, in one scan.
+
+    Only the pages that landed several times take part in the join. A second scan is needed where
+    copies are alike in all but their works; of those one is taken.
+    """
+    readable = landed.where(is_page())
+    repeated = index.pages.where("times > 1")
+    if repeated.isEmpty():
+        return readable
+    key = ["issn", "page_no"]
+    told = [*INDEX[2:], "n_works"]
+    wanted = repeated.select(*key, *[F.col(c).alias(f"_{c}") for c in told], "alike", "times")
+    sized = readable.withColumn("n_works", n_results())
+    joined = dimension_join(sized, wanted, key, "left")
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in told))
+    chosen = joined.where(F.col("times").isNull() | same)
+    if repeated.where("alike > 1").isEmpty():
+        return chosen.select(*landed.columns)
+    several = F.coalesce(F.col("alike") > 1, F.lit(False))
+    single = chosen.where(~several).select(*landed.columns)
+    return single.unionByName(chosen.where(several).select(*landed.columns).dropDuplicates(key))
+
+
 def whole_pages(landed: DataFrame) -> DataFrame:
     """Readable pages, each (journal, page number) once.
 
@@ -52,16 +106,24 @@ def whole_pages(landed: DataFrame) -> DataFrame:
     repeated = materialise(counts, "repeated-pages")
     if repeated.isEmpty():
         return pages
-    order = [
+    once = dimension_join(pages, repeated, key, "left_anti")
+    best = latest_versions(dimension_join(pages, repeated, key, "left_semi"), key, _best_copy(n_results()))
+    return once.unionByName(best)
+
+
+def _best_copy(works: Column) -> list[Column]:
+    return [
         F.desc(F.coalesce(F.col("status") == 200, F.lit(False))),
         F.desc_nulls_last("attempt"),
-        F.desc(n_results()),
+        F.desc(works),
         F.asc_nulls_last("request_cursor"),
         F.asc_nulls_last("next_cursor"),
     ]
-    once = dimension_join(pages, repeated, key, "left_anti")
-    best = latest_versions(dimension_join(pages, repeated, key, "left_semi"), key, order)
-    return once.unionByName(best)
+
+
+def _works_of(pages: DataFrame) -> Column:
+    """Works per page, of pages or of their index."""
+    return F.col("n_works") if "n_works" in pages.columns else n_results()
 
 
 def n_results() -> Column:
@@ -74,7 +136,7 @@ def page_chain(landed: DataFrame) -> DataFrame:
 
     A page belongs if it came back whole, has results, and was asked for with the cursor of the
     page before. Only page keys and cursors are shuffled, by journal and page, so a journal with
-    very many pages is spread over all tasks. ``landed`` has each page once.
+    very many pages is spread over all tasks. ``landed`` has each page once, or is their index.
     """
     pages = landed.select(
         "issn",
@@ -82,7 +144,7 @@ def page_chain(landed: DataFrame) -> DataFrame:
         "request_cursor",
         "next_cursor",
         F.coalesce(F.col("status") == 200, F.lit(False)).alias("fetched"),
-        (n_results() == 0).alias("empty"),
+        (_works_of(landed) == 0).alias("empty"),
     )
     before = landed.select(
         "issn",
@@ -153,7 +215,7 @@ def fetch_completeness(
     if stops is None:
         landed = whole_pages(landed)
         stops = chain_stops(landed)
-    sizes = landed.select("issn", "page_no", n_results().alias("n_works"))
+    sizes = landed.select("issn", "page_no", _works_of(landed).alias("n_works"))
     pages = dimension_join(sizes, stops.select("issn", "stop_page"), "issn")
     kept = F.col("page_no") < F.col("stop_page")
     counts = pages.groupBy("issn").agg(

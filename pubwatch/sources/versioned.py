@@ -165,13 +165,23 @@ class VersionedTable:
 
     # Writing
 
-    def replace(self, rows: DataFrame, keep_order: bool = False) -> None:
-        """Make ``rows`` the whole table; with ``keep_order`` they are written in the order they have."""
+    def replace(
+        self, rows: DataFrame, keep_order: bool = False, accept: Callable[[], bool] | None = None
+    ) -> bool:
+        """Make ``rows`` the whole table; tells whether they became it.
+
+        With ``keep_order`` they are written in the order they have. ``accept`` is asked when they
+        have been worked out; without it they are always accepted.
+        """
         old = self.version()
+        if accept is not None:
+            with written(rows, "table-rows") as whole:
+                return accept() and self.replace(whole, keep_order)
         folder, size = self._write_base(rows, keep_order)
         counts = self._write_counts(self._counted(self._union([folder])))
         self.commit(Version(self._next(old), folder, size, (), counts, self.key, self.newest))
         self._vacuum()
+        return True
 
     def append(self, rows: DataFrame) -> None:
         """Add rows as they are."""

@@ -235,3 +235,45 @@ def test_a_page_that_landed_twice_counts_once(spark, tmp_path):
     assert sorted(r["work_id"] for r in works.collect()) == ["Wlate-1-1", "Wretry-1-1", "Wtwice-1-1", "Wtwice-2-1"]
     report = landing.fetch_completeness(landed, registry_of(spark, "twice", "retry", "late")).collect()
     assert not any(r["failed"] for r in report)
+
+
+def counted(df):
+    """``df`` with a count of the rows that its scans give out."""
+    counter = df.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), counter
+
+
+def test_a_refresh_scans_the_pages_twice(spark, tmp_path):
+    pages = [page(f"j{i}", n, "*" if n == 1 else f"c{n}", f"c{n + 1}" if n < 4 else None) for i in range(6) for n in range(1, 5)]
+    pages += [{**page("j0", 2, "c2", "c3", status=500), "attempt": 0}]
+    landed, counter = counted(land_lines(spark, tmp_path, [{"attempt": 1, **p} for p in pages]))
+    journals, path = registry_of(spark, *(f"j{i}" for i in range(7))), str(tmp_path / "archive")
+    for _ in range(2):
+        before = counter.value
+        assert plan.refresh_archive(landed, journals, RunParams(as_of=dt.date(2025, 1, 1)), path)
+        assert counter.value - before <= 2 * len(pages)
+    assert tables.read_archive(spark, path).count() == 24
+
+
+def test_index_and_plain_reading_choose_the_same_pages(spark, landed, tmp_path):
+    extra = [
+        page("whole", 1, "*", "c2", status=500), page("open", 1, "*", "c2"), page("open", 1, "*", "c2", works=(4,)),
+        {**page("empty", 1, "*", "c2", works=(7, 8)), "attempt": 3}, page("broken", 2, "c2", "c3", works=(5,)),
+    ]
+    several = land_lines(spark, tmp_path, [*PAGES, *extra], cut=[3])
+    for pages in (landed, several):
+        index = landing.index_pages(pages)
+        assert index.unreadable == landing.unreadable_lines(pages)
+        once = landing.whole_pages(pages)
+        names = ("issn", "page_no", "status", "attempt")
+        assert sorted(index.pages.select(*names).collect(), key=str) == sorted(once.select(*names).collect(), key=str)
+        chosen = landing.indexed_pages(pages, index)
+        assert sorted(chosen.select(*names).collect(), key=str) == sorted(once.select(*names).collect(), key=str)
+        stops = landing.chain_stops(index.pages)
+        assert sorted(stops.collect(), key=str) == sorted(landing.chain_stops(once).collect(), key=str)
