@@ -722,6 +722,26 @@ def _twins() -> dict[str, str]:
                 from (select work_id, case when abstract is not null then length({REQUEST}) end as size
                       from works) w""",
         ),
+        "summarise_ledger": q(
+            "works",
+            f"""select work_id,
+                  cast(case when size is null then 0 when size % 7 = 0 then 3 else 1 end as bigint)
+                    as attempts,
+                  case when size is null then 'no_abstract' when size % 7 = 0 then 'exhausted'
+                    when size % 7 = 1 then 'failed' when size % 7 = 2 then 'unlabelled' else 'ok' end
+                    as status,
+                  case when size is null then {lit(fixed.NO_ABSTRACT[0])}
+                    when size % 7 = 0 then {lit(fixed.ARTICLE_EXHAUSTED[0])}
+                    when size % 7 = 1 then {lit(fixed.ARTICLE_FAILED[0])}
+                    else size || ' characters' end as en,
+                  case when size is null then {lit(fixed.NO_ABSTRACT[1])}
+                    when size % 7 = 0 then {lit(fixed.ARTICLE_EXHAUSTED[1])}
+                    when size % 7 = 1 then {lit(fixed.ARTICLE_FAILED[1])}
+                    when size % 7 = 2 then {lit(fixed.ARTICLE_UNLABELLED_HE)}
+                    else cast(size as varchar) end as he
+                from (select work_id, case when abstract is not null then length({REQUEST}) end as size
+                      from works) w""",
+        ),
         "digest_summarised": q(
             "works journals",
             f"""select 'article' as tier, article_id as ref, summary_en as en, summary_he as he

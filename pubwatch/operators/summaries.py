@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +21,8 @@ from pubwatch.functions.text import (
     tokens,
 )
 from pubwatch.operators.aggregates import domain_context, global_context, ordered_concat
+from pubwatch.session import materialise
+from pubwatch.sources import ledger as ledgers
 
 Attempt = tuple[str | None, str | None]
 Summariser = Callable[[list[str]], Sequence[Attempt]]
@@ -136,6 +138,95 @@ def classify_outcome(
     return F.struct(status.alias("status"), texts("en", 0).alias("en"), texts("he", 1).alias("he"))
 
 
+def _ask(
+    texts: list[str | None],
+    summariser: Summariser,
+    tier: Tier,
+    max_attempts: int,
+    pause: Callable[[int], None] | None,
+    settled: Callable[[list[int], list[Attempt], int], None] | None = None,
+) -> tuple[list[Attempt], list[int]]:
+    """Answers and numbers of attempts; ``settled`` is told the answers of each call."""
+    answers: list[Attempt] = [(None, None)] * len(texts)
+    tries = [0] * len(texts)
+    pending = [i for i, text in enumerate(texts) if isinstance(text, str)]
+    for attempt in range(1, max_attempts + 1):
+        if not pending:
+            break
+        if attempt > 1 and pause is not None:
+            pause(attempt - 1)
+        for i, answer in zip(pending, summariser([texts[i] for i in pending]), strict=True):
+            answers[i] = answer
+            tries[i] = attempt
+        if settled is not None:
+            settled(pending, answers, attempt)
+        pending = [i for i in pending if _again(answers[i][1], tier)]
+    return answers, tries
+
+
+def _again(error: str | None, tier: Tier) -> bool:
+    return error is not None and (tier.codes is None or any(code in error for code in tier.codes))
+
+
+def _answered(requests: DataFrame, ask: Callable) -> DataFrame:
+    """``requests`` with response, error and attempts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            answers, tries = ask(batch["request"].tolist())
+            yield batch.assign(
+                response=pd.Series([a[0] for a in answers], index=batch.index, dtype="object"),
+                error=pd.Series([a[1] for a in answers], index=batch.index, dtype="object"),
+                attempts=pd.Series(tries, index=batch.index, dtype="int64"),
+            )
+
+    added = T.StructType().add("response", "string").add("error", "string").add("attempts", "long")
+    return requests.mapInPandas(run, T.StructType([*requests.schema.fields, *added.fields]))
+
+
+def _answered_once(requests: DataFrame, ask: Callable, tasks: int | None, path: str) -> DataFrame:
+    """As :func:`_answered`, from a ledger, and by calls for what it does not have.
+
+    New texts are dealt by their digest and sorted, so that a task that runs again has the same
+    batches and finds their answers.
+    """
+    spark = requests.sparkSession
+    keyed = requests.withColumn("_digest", F.sha2("request", 256))
+    known = ledgers.answers(spark, path)
+    texts = keyed.where(F.col("request").isNotNull()).select(F.col("_digest").alias("digest"), "request")
+    new = texts.dropDuplicates(["digest"]).join(known, "digest", "left_anti")
+    dealt = new.repartition("digest") if tasks is None else new.repartition(tasks, "digest")
+    own = ledgers.Ledger.open(spark, path)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            digests, texts = batch["digest"].tolist(), batch["request"].tolist()
+            found = own.found(digests)
+
+            def put(asked: list[int], answers: list[Attempt], attempt: int, digests=digests) -> None:
+                done = [i for i in asked if answers[i][1] is None and answers[i][0] is not None]
+                own.put(digests, [(digests[i], answers[i][0], attempt) for i in done])
+
+            open_texts = [None if d in found else t for d, t in zip(digests, texts, strict=True)]
+            answers, tries = ask(open_texts, settled=put)
+            for i, digest in enumerate(digests):
+                if digest in found:
+                    answers[i], tries[i] = (found[digest][0], None), found[digest][1]
+            yield pd.DataFrame({
+                "digest": digests,
+                "response": pd.Series([a[0] for a in answers], dtype="object"),
+                "error": pd.Series([a[1] for a in answers], dtype="object"),
+                "attempts": pd.Series(tries, dtype="int64"),
+            })
+
+    schema = "digest string, response string, error string, attempts bigint"
+    known = materialise(known, "known-answers")  # as they are before this run adds to them
+    called = materialise(dealt.sortWithinPartitions("digest").mapInPandas(run, schema), "new-answers")
+    answers = known.withColumn("error", F.lit(None).cast("string")).unionByName(called)
+    joined = keyed.join(answers.withColumnRenamed("digest", "_digest"), "_digest", "left").drop("_digest")
+    return joined.withColumn("attempts", F.coalesce("attempts", F.lit(0).cast("long")))
+
+
 def summarise_with(
     requests: DataFrame,
     summariser: Summariser,
@@ -143,45 +234,24 @@ def summarise_with(
     max_attempts: int = 3,
     pause: Callable[[int], None] | None = None,
     tasks: int | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Run a caller's summariser over the ``request`` column and add status, en, he and attempts.
 
     The summariser gets a list of texts and returns one ``(response, error)`` per text. Only the
     rows with a retryable error go into the next attempt; ``pause`` may wait between attempts. A
-    lost task runs again, so the summariser may see a text twice. A NULL request is never sent.
-    ``tasks`` sets how many calls may run side by side.
-    """
-    if tasks is not None:
-        requests = requests.repartition(tasks)
-    codes = tier.codes
-
-    def again(error: str | None) -> bool:
-        return error is not None and (codes is None or any(code in error for code in codes))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            answers: list[Attempt] = [(None, None)] * len(batch)
-            tries = [0] * len(batch)
-            texts = batch["request"].tolist()
-            pending = [i for i, text in enumerate(texts) if isinstance(text, str)]
-            for attempt in range(max_attempts):
-                if not pending:
-                    break
-                if attempt and pause is not None:
-                    pause(attempt)
-                for i, answer in zip(pending, summariser([texts[i] for i in pending]), strict=True):
-                    answers[i] = answer
-                    tries[i] = attempt + 1
-                pending = [i for i in pending if again(answers[i][1])]
-            yield batch.assign(
-                response=pd.Series([a[0] for a in answers], index=batch.index, dtype="object"),
-                error=pd.Series([a[1] for a in answers], index=batch.index, dtype="object"),
-                attempts=pd.Series(tries, index=batch.index, dtype="int64"),
-            )
+    NULL request is never sent. ``tasks`` sets how many calls may run side by side.
 
-    added = T.StructType().add("response", "string").add("error", "string").add("attempts", "long")
-    schema = T.StructType([*requests.schema.fields, *added.fields])
-    answered = requests.mapInPandas(run, schema)
+    A lost task runs again, so the summariser may see a text twice. With a ``ledger``, a folder that
+    all tasks reach, it does not: equal texts are sent once, every call's answers are put down before
+    the next one, and a text that has been answered, in this run or an earlier one, is never sent
+    again. Only a call that breaks off before it is put down is repeated.
+    """
+    ask = partial(_ask, summariser=summariser, tier=tier, max_attempts=max_attempts, pause=pause)
+    if ledger is None:
+        answered = _answered(requests if tasks is None else requests.repartition(tasks), ask)
+    else:
+        answered = _answered_once(requests, ask, tasks, ledger)
     outcome = classify_outcome(
         F.col("request").isNotNull(),
         F.col("response"),

@@ -42,7 +42,7 @@ class Digest:
     """The tables of one run. The selection is written once; all that follows reads it.
 
     Summaries are extractive, or come from a caller's ``summariser``. Its answers are written too, so
-    that no text is sent again for another reader.
+    that no text is sent again for another reader. A ``ledger`` keeps them over failures and runs.
     """
 
     works: DataFrame
@@ -51,10 +51,11 @@ class Digest:
     templates: rendering.Templates = rendering.DEFAULT
     summariser: summaries.Summariser | None = None
     tasks: int | None = None
+    ledger: str | None = None
 
     def _summarise(self, requests: DataFrame, tier: summaries.Tier, en: str, he: str) -> DataFrame:
         answers = summaries.summarise_with(
-            requests, self.summariser, tier, self.params.max_attempts, tasks=self.tasks
+            requests, self.summariser, tier, self.params.max_attempts, tasks=self.tasks, ledger=self.ledger
         )
         named = answers.withColumnsRenamed({"en": en, "he": he})
         return materialise(named.drop("request", "attempts", "status"), "summaries")

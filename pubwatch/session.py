@@ -6,6 +6,7 @@ of any executor, and each reader prunes its own columns.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -59,6 +60,12 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of its file system."""
+    place, files = _place(spark, path)
+    return re.sub(r"^file:/+", "file:///", files.makeQualified(place).toString())
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     place, files = _place(spark, path)
     return files.getContentSummary(place).getLength()

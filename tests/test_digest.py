@@ -13,7 +13,7 @@ from pubwatch.params import RunParams
 from pubwatch.plans.archive import refresh_archive
 from pubwatch.plans.dashboard import Dashboard
 from pubwatch.plans.digest import Digest, dangling, run_log, select_works
-from pubwatch.sources import landing, registry
+from pubwatch.sources import landing, ledger, registry
 from tests.test_landing import page
 
 AS_OF = dt.date(2024, 6, 30)
@@ -266,6 +266,57 @@ def test_summariser_retries(spark):
     assert domain[5]["en"] == ""
 
 
+class Paid:
+    """Answers all but some texts, notes what it was sent, and breaks down at its n-th call."""
+
+    def __init__(self, log, breaks_at=None):
+        self.log, self.breaks_at, self.calls = log, breaks_at, 0
+
+    def __call__(self, texts):
+        self.calls += 1
+        if self.calls == self.breaks_at:
+            raise RuntimeError("the worker is gone")
+        with open(self.log, "a") as log:
+            log.writelines(f"{t}\n" for t in texts)
+        return [(None, "503") if t.startswith("busy") else (f"English: {t} Hebrew: x", None) for t in texts]
+
+
+@pytest.mark.parametrize("breaks_at", [2, 3, 5])
+def test_a_task_that_fails_sends_no_answered_text_twice(spark, tmp_path, breaks_at):
+    log, path = tmp_path / "log", str(tmp_path / "ledger")
+    texts = [f"text {i}" for i in range(9)] + ["busy 1", None, "text 3", "text 3"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, request string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        with pytest.raises(Exception, match="worker is gone"):
+            summaries.summarise_with(df, Paid(log, breaks_at), tasks=1, ledger=path)
+        sent = log.read_text().splitlines()
+        assert sent
+        rows = summaries.summarise_with(df, Paid(log), tasks=2, ledger=path).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    counts = {t: log.read_text().splitlines().count(t) for t in texts if t}
+    assert all(n == 1 for t, n in counts.items() if not t.startswith("busy"))
+    found = {r["i"]: (r["status"], r["en"], r["attempts"]) for r in rows}
+    assert all(found[i][:2] == ("ok", t) and found[i][2] >= 1 for i, t in enumerate(texts) if t and "text" in t)
+    assert found[9] == ("exhausted", "Summary skipped.", 3) and found[10][0] == "no_abstract"
+    before = log.read_text()
+    again = summaries.summarise_with(df.where("request like 'text%'"), Paid(log), ledger=path)
+    assert again.count() == 11 and log.read_text() == before
+
+
+def test_a_batch_that_runs_again_finds_its_answers(spark, tmp_path):
+    own = ledger.Ledger.open(spark, str(tmp_path / "ledger"))
+    batch = ["d1", "d2", "d3"]
+    assert own.found(batch) == {}
+    own.put(batch, [("d1", "one", 1)])
+    own.put(batch, [("d3", "three", 2)])
+    own.put(["d1", "d2"], [("d2", "of another batch", 1)])
+    assert own.found(batch) == {"d1": ("one", 1), "d3": ("three", 2)}
+    kept = {r["digest"]: r["response"] for r in ledger.answers(spark, str(tmp_path / "ledger")).collect()}
+    assert kept == {"d1": "one", "d2": "of another batch", "d3": "three"}
+
+
 def test_request_schema_is_untouched(spark):
     df = spark.createDataFrame([(1, "a|0|b")], "i int, request string")
     summaries.summarise_with(df, Flaky())
