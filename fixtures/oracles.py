@@ -384,6 +384,9 @@ def _twins() -> dict[str, str]:
         "cursor_chain_prefix": q(
             "works journals", "select issn, page_no, n_works from flags where kept = 1", **CHAIN
         ),
+        "stream_cursor_chain": q(
+            "works journals", "select issn, page_no, n_works from flags where kept = 1", **CHAIN
+        ),
         "first_page_per_journal": q(
             "works",
             """select issn, row_number() over (partition by issn
