@@ -6,7 +6,8 @@ fraction is an inclusion probability. Documents are ranked by random odds over i
 the sample takes them in that order up to the words that are left.
 
 The order is never laid out in one task: ranks fall into fixed buckets, sums per bucket give each
-source the one bucket where its sample ends, and only the documents of that bucket are ranked.
+source the one bucket where its sample ends, and only the documents of that bucket are ranked. Equal
+rows share a rank; they are counted first, so a bucket that holds very many of them is short.
 """
 
 from __future__ import annotations
@@ -104,24 +105,31 @@ def mix(
     source_col: str = "source",
     size: Column | None = None,
     weight: Column | None = None,
+    salt: Column | None = None,
 ) -> DataFrame:
     """row (a struct of the input row), size, source_size, target, copies.
 
+    The random number of a row comes from its id and ``salt``, by default a digest of its text.
+
     ``size`` is the words of column ``text`` unless given; ``weight`` (whole numbers >= 0) makes the
     copies of a source's documents unequal. Copies are 0 to ``cap``; the words taken from a source
     miss its target by at most half a document, wherever its documents can fill it.
 
     * A NULL source is a source of its own, last in order; a NULL text has size 0.
     * Documents of size 0 may be taken, but add no words. A NULL id is drawn like the empty id.
-    * Rows that repeat an id are drawn one by one and rank next to each other.
+    * Rows that repeat an id are drawn one by one, each by its own text; equal rows are drawn together.
+    * What has no chance, as its expected copies are whole or its weight is 0, gets no further copy.
+    * Texts are counted whole, however long.
     * An empty table gives an empty result; clashing column names stay inside ``row``.
     """
     size = word_count(F.col("text")) if size is None else size
+    if salt is None:
+        salt = F.md5(F.coalesce(F.col("text"), F.lit(""))) if "text" in docs.columns else F.lit("")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(source_col).alias("source"),
         size.alias("size"),
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("sid"),
+        F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|"), salt).alias("sid"),
         F.col(id_col).alias("id"),
         (F.lit(1) if weight is None else weight).cast("long").alias("w"),
     )
@@ -132,7 +140,8 @@ def mix(
     )
     stats = weighed.join(targets, weighed["s"].eqNullSafe(targets["source"])).drop("source")
     ranked = _ranked(narrow, stats, params)
-    open_size = F.when(F.col("whole") < params.cap, F.col("size")).otherwise(0)
+    may = (F.col("whole") < params.cap) & (F.col("bucket") < BUCKETS)
+    open_size = F.when(may, F.col("size")).otherwise(0)
     sums = ranked.groupBy("s", "bucket").agg(
         F.sum(open_size).alias("words"), F.sum(F.col("whole") * F.col("size")).alias("whole_words")
     )
@@ -156,15 +165,20 @@ def mix(
         "mix-plan",
     )
     drawn = _ranked(rows, plan, params)
-    may = F.col("whole") < params.cap
     at_stop = F.coalesce(F.col("bucket") == F.col("stop"), F.lit(False)) & may
     early = F.coalesce(F.col("bucket") < F.col("stop"), F.lit(True)) & may
-    order = Window.partitionBy("s").orderBy("q", F.asc_nulls_first("id"), "size")
-    earlier = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     out = ["row", "size", "source_size", "target"]
     sure = drawn.where(~at_stop).select(*out, (F.col("whole") + early.cast("long")).alias("copies"))
-    edge = drawn.where(at_stop).withColumn("earlier", F.col("before") + earlier)
-    fits = 2 * F.col("earlier") + F.col("size") <= 2 * F.col("left")
+    # equal rows count as one that stands there n times
+    same = ["s", "q", "id", "size", "sid"]
+    edge = drawn.where(at_stop).withColumn("content", F.sha2(F.to_json("row"), 256))
+    kept = ["row", "source_size", "target", "before", "left", "whole"]
+    edge = edge.groupBy(*same, "content").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in kept])
+    order = Window.partitionBy("s").orderBy("q", F.asc_nulls_first("id"), "size", "sid", "content")
+    words = F.sum(F.col("n") * F.col("size")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    edge = edge.withColumn("earlier", F.col("before") + F.coalesce(words, F.lit(0)))
+    edge = edge.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    fits = 2 * (F.col("earlier") + F.col("i") * F.col("size")) + F.col("size") <= 2 * F.col("left")
     edge = edge.select(*out, (F.col("whole") + fits.cast("long")).alias("copies"))
     return sure.unionByName(edge)
 

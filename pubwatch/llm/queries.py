@@ -134,8 +134,9 @@ _oracles["op4_exact_dedup"] = """
 @query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
-    mixed = mixing.mix(sized, size=F.col("size"))
+    digest = F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("digest")
+    sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"), digest)
+    mixed = mixing.mix(sized, size=F.col("size"), salt=F.col("digest"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixed.select("row.doc_id", "size", "source_size", "target", taken)
 
@@ -144,8 +145,10 @@ _oracles["op5_mix_sources"] = r"""
     with d as (
       select doc_id, source,
              cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
-             (cast(cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '|mix-1'), 1, 13)
-              as bigint) as double) + 0.5) / 4503599627370496.0 as u
+             coalesce(cast(doc_id as varchar), '') || '|' || md5(coalesce(text, '')) as sid,
+             (cast(cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '|'
+                || md5(coalesce(text, '')) || '|mix-1'), 1, 13) as bigint) as double) + 0.5)
+              / 4503599627370496.0 as u
       from documents
     ), s as (
       select source, cast(sum(size) as bigint) as source_size,
@@ -177,12 +180,12 @@ _oracles["op5_mix_sources"] = r"""
                then (u / (1 - u)) / ((ratio - floor(ratio)) / (1 - (ratio - floor(ratio))))
                else 'inf'::double end as rnk from e
     ), k as (
-      select *, coalesce(sum(size) over (partition by source order by rnk, doc_id nulls first, size
+      select *, coalesce(sum(size) over (partition by source order by rnk, doc_id nulls first, size, sid
                rows between unbounded preceding and 1 preceding), 0) as earlier,
              target - sum(whole * size) over (partition by source) as rest from q
     )
     select doc_id, size, source_size, target,
-           cast(size * (whole + case when whole < 2 and 2 * earlier + size <= 2 * rest
+           cast(size * (whole + case when whole < 2 and ratio > whole and 2 * earlier + size <= 2 * rest
                         then 1 else 0 end) as bigint) as taken
     from k
 """

@@ -78,3 +78,42 @@ def test_odd_rows(spark):
     assert repeated.count() == mixed.agg(F.sum("copies")).first()[0]
     assert mixing.mix(docs(spark, [])).count() == 0
     assert mixing.mix(docs(spark, [(1, "a", None, "c", 1)])).first()["target"] == 0
+
+
+def taken(mixed):
+    rows = mixed.selectExpr("row.source as source", "size", "target", "copies").collect()
+    return {
+        s: (sum(r["size"] * r["copies"] for r in rows if r["source"] == s), next(r["target"] for r in rows if r["source"] == s))
+        for s in {r["source"] for r in rows}
+    }
+
+
+def test_rows_without_an_id_are_drawn_by_their_text(spark):
+    rows = [(None if i % 2 else 7, "a", f"t{i} " * (1 + i % 9), "c", 1) for i in range(3000)] + [(1, "b", "w " * 9000, "c", 1)]
+    frame = docs(spark, rows)
+    stats = spark.createDataFrame([("a", 10, 3.0, 10, 0.0)], "s string, source_size long, target double, weighed long, left double")
+    sid = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.md5("text"))
+    named = frame.select("source", sid.alias("sid"), F.lit(1).alias("w"), F.lit(1).alias("size"))
+    buckets = mixing._ranked(named, stats, MixParams()).groupBy("bucket").count()
+    assert buckets.agg(F.max("count")).first()[0] < 20
+    for words, target in taken(mixing.mix(frame, MixParams(share=0.5))).values():
+        assert abs(words - target) <= 9000 / 2
+
+
+def test_equal_rows_are_counted(spark):
+    rows = [(5, "a", "w w w", "c", 1)] * 2000 + [(i, "a", "w " * (1 + i % 5), "c", 1) for i in range(50)]
+    mixed = mixing.mix(docs(spark, rows), MixParams(share=0.5))
+    (words, target), = taken(mixed).values()
+    assert mixed.count() == 2050 and abs(words - target) <= 2.5
+    assert mixed.selectExpr("row.*").exceptAll(docs(spark, rows)).count() == 0
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [s" in plan and "count(1)" in plan
+
+
+def test_whole_copies_and_no_weight_give_no_further_copy(spark):
+    rows = [(i, "a", "w w", "c", i % 2) for i in range(400)] + [(900, "a", "", "c", 0)]
+    once = mixing.mix(docs(spark, rows), MixParams(share=1.0)).selectExpr("copies").collect()
+    assert {r["copies"] for r in once} == {1}
+    tilted = mixing.mix(docs(spark, rows), MixParams(share=1.2), weight=F.col("q")).selectExpr("row.q as q", "copies").collect()
+    assert {r["copies"] for r in tilted if r["q"] == 0} == {0}
+    assert {r["copies"] for r in tilted if r["q"] == 1} == {2}
