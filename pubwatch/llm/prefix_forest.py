@@ -234,13 +234,13 @@ def search(
     )
     points = materialise(_points(rows, room), "forest-points")
     queries = materialise(rows.where("asks").groupBy("id").agg(F.min("v").alias("v")), "forest-queries")
-    most = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
-    parts = F.aggregate("v", F.lit(0.0), lambda total, x: total + (x / most) * (x / most))
-    norm = F.least(most * F.sqrt(parts), F.lit(1e308))
-    n, width, largest = points.agg(F.count("*"), F.max(F.size("v")), F.max(norm)).first()
+    most = F.max(F.greatest(F.abs(F.array_max("v")), F.abs(F.array_min("v"))).cast("double"))
+    n, width, most = points.agg(F.count("*"), F.max(F.size("v")), most).first()
     asks = queries.count()
     if not n or not asks:
         return spark.createDataFrame([], f"query_id bigint, rank int, {id_col} bigint, score double")
+    square = F.aggregate("v", F.lit(0.0), lambda total, x: total + (x / most) * (x / most))
+    largest = min(1e308, most * points.agg(F.max(F.sqrt(square))).first()[0])
 
     forest = Forest(width, largest, params)
     sample = points.orderBy(F.xxhash64("ids"), "ids").limit(params.sample).select("v").toArrow()
