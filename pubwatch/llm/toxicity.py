@@ -1,11 +1,12 @@
 """Toxicity by compression distance.
 
-There are two zstandard dictionaries: one is trained on ordinary text; the other is not trained, but a
-list of the words whose stems recur in toxic texts and hardly in ordinary ones. The toxic side compresses with both, the ordinary
-side with its own alone, so a window gets shorter on the toxic side only by what it shares with toxic
-text. Ordinary windows that gain nonetheless join the ordinary dictionary. The gains of a text's
-windows are summed up in nine numbers, and a logistic fit on them decides, made on
-texts that the dictionaries have not seen.
+Two zstandard dictionaries are trained: one on ordinary text; the other on toxic text, of which it is
+shown the words whose stems recur there and hardly in ordinary texts, once for each place where they
+stand (whole windows of toxic text are ordinary for the most part, and a dictionary of them tells the
+classes apart less well). The toxic side compresses with both, the ordinary side with its own alone, so a
+window gets shorter on the toxic side only by what it shares with toxic text. Ordinary windows that gain
+nonetheless join the ordinary dictionary. The gains of a text's windows are summed up in nine numbers, and
+a logistic fit on them calibrates the threshold, made on texts that the dictionaries have not seen.
 
 Only the fit uses labels, on a bounded sample; every text is scored whole.
 """
@@ -30,16 +31,20 @@ STEMS = (4, 5, 6, 7, 8, 10, 12)
 
 @dataclass(frozen=True)
 class FitParams:
-    """Bounds of the sample: texts per class, windows per text; sizes in bytes and words."""
+    """Bounds of the sample: texts per class, windows per text; sizes in bytes and words.
+
+    A stem tells toxic text apart if ``least`` sampled toxic texts have it, and ``contrast`` times as
+    large a share of them as of ordinary ones.
+    """
 
     toxic_texts: int = 2000
     ordinary_texts: int = 6000
     windows_per_text: int = 64
     window: int = 24
     dictionary: int = 131_072
-    recurs: float = 0.01
+    toxic_dictionary: int = 32_768
+    least: int = 6
     contrast: float = 8.0
-    hard_windows: int = 40_000
     folds: int = 5
     ridge: float = 0.1
 
@@ -70,10 +75,11 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def _trained(size: int, samples: list[bytes]) -> bytes:
-    """Content of a trained dictionary; too few samples are their own dictionary."""
-    if sum(map(len, samples)) > 10 * size and len(samples) > 100:
+    """Content of a trained dictionary; samples too few to train one are it themselves."""
+    try:
         return zstandard.train_dictionary(size, samples).as_bytes()
-    return b"".join(dict.fromkeys(samples))[:size]
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(samples))
 
 
 @dataclass
@@ -137,39 +143,33 @@ def _stems(words: set[bytes]) -> set[bytes]:
     return {w[:n] for w in words for n in STEMS if n <= len(w)} | words
 
 
-def _dictionaries(texts: list[tuple[int, list[bytes]]], params: FitParams) -> Model:
-    """Ordinary text on one side; on the other the words whose stems recur in toxic texts alone.
-
-    A stem is telling if enough toxic texts have it, and ``contrast`` times as large a share of them
-    as of ordinary ones.
-    """
-    toxic = [{w for p in pieces for w in p.split()} for label, pieces in texts if label]
-    plain = [list(dict.fromkeys(w for p in pieces for w in p.split())) for label, pieces in texts if not label]
+def _telling(toxic: list[set[bytes]], plain: list[set[bytes]], params: FitParams) -> set[bytes]:
+    """Stems that recur in toxic texts and hardly in ordinary ones; arguments are the words per text."""
     support = Counter(s for words in toxic for s in _stems(words))
-    least = max(3, int(params.recurs * len(toxic)))
-    support = {s: n for s, n in support.items() if n >= least and len(s) >= STEMS[0]}
-    other = Counter(s for words in plain for s in _stems(set(words)) if s in support)
-    telling = {
-        s: n for s, n in support.items()
+    support = {s: n for s, n in support.items() if n >= params.least and len(s) >= STEMS[0]}
+    other = Counter(s for words in plain for s in _stems(words) if s in support)
+    return {
+        s for s, n in support.items()
         if n / len(toxic) >= params.contrast * (other[s] + 0.5) / (len(plain) + 1)
     }
-    worth: Counter = Counter()
-    for words in toxic:
-        for w in words:
-            worth[w] = max(worth[w], max((telling.get(s, 0) for s in _stems({w})), default=0))
-    recurring = sorted(((n, w) for w, n in worth.items() if n), reverse=True)
-    content = b""
-    for _, word in recurring:
-        if len(content) + len(word) >= params.dictionary // 4:
-            break
-        content = b" " + word + content
-    model = Model(params.window, _trained(params.dictionary, [w + b" " for words in plain for w in words]))
-    model.toxic = content + b" "
+
+
+def _dictionaries(texts: list[tuple[int, list[bytes]]], params: FitParams) -> Model:
+    """Train a dictionary on ordinary text and one on what sets toxic text apart from it."""
+    words = [(label, [w for p in pieces for w in p.split()]) for label, pieces in texts]
+    toxic = [set(ws) for label, ws in words if label]
+    plain = [set(ws) for label, ws in words if not label]
+    telling = _telling(toxic, plain, params)
+    shown = {w for ws in toxic for w in ws if not telling.isdisjoint(_stems({w}))}
+    ordinary = [w + b" " for label, ws in words if not label for w in dict.fromkeys(ws)]
+    marked = [b" " + w + b" " for label, ws in words if label for w in ws if w in shown]
+    model = Model(
+        params.window, _trained(params.dictionary, ordinary), _trained(params.toxic_dictionary, marked) + b" "
+    )
     pieces = [p for label, ps in texts if not label for p in ps]
     for part in (pieces[::2], pieces[1::2]):
-        part = part[: params.hard_windows]
         hard = [p for p, gain in zip(part, model.gains(part), strict=True) if gain >= STEPS[0]]
-        model = Model(params.window, b"".join(hard) + model.ordinary, model.toxic)
+        model = Model(params.window, b"".join(dict.fromkeys(hard)) + model.ordinary, model.toxic)
     return model
 
 
@@ -255,6 +255,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, params: FitParams = FitP
     """doc_id, held_out, score (0 to 1), predicted (1 from 0.5 on), per row of ``docs``.
 
     * A NULL text counts as empty; empty texts get the score of a text without any gain.
+    * A very long text is scored whole, window by window.
     * A NULL id is held out. Rows are scored one by one, so repeated rows get equal scores.
     * Without labels of both classes the score is their share, and below 0.5 if any is ordinary.
     * An empty table gives an empty result; other columns are neither read nor returned.

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
+import zstandard
 from pubwatch.llm import toxicity
 from pubwatch.llm.toxicity import FitParams
 from pyspark.sql import functions as F
@@ -82,3 +85,67 @@ def test_sample_bounds(spark):
     params = FitParams(toxic_texts=30, ordinary_texts=60, windows_per_text=4)
     model = toxicity.fit(*frames(spark, docs, labels), params)
     assert len(model.weights) == 10
+
+
+def plain_score(model, text):
+    """Score of a text by frames of zstandard, one window at a time; nothing is shared with the library."""
+    options = dict(window_log=20, chain_log=21, hash_log=17, search_log=7, min_match=4, target_length=64)
+    options |= dict(write_content_size=False, write_checksum=False, write_dict_id=False)
+    settings = zstandard.ZstdCompressionParameters(
+        strategy=zstandard.STRATEGY_BTLAZY2, format=zstandard.FORMAT_ZSTD1_MAGICLESS, **options
+    )
+
+    def length(piece, content):
+        content = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(compression_params=settings, dict_data=content).compress(piece))
+
+    words, gains = text.lower().split(), []
+    while words:
+        piece = (" " + " ".join(words[: model.window]) + " ").encode()
+        words = words[model.window :]
+        gains.append(length(piece, model.ordinary) - length(piece, model.toxic + model.ordinary))
+    gains = gains or [0]
+    n = len(gains)
+    reached = [sum(g >= s for g in gains) for s in (2, 3, 4, 5)]
+    top = sorted(gains)[-3:]
+    row = [sum(gains) / n, max(gains), sum(top) / len(top), *[math.log(1 + r) for r in reached]]
+    row += [reached[1] / n, reached[2] / n]
+    z = model.weights[-1]
+    for x, mean, scale, weight in zip(row, model.shift, model.scale, model.weights, strict=False):
+        z += (x - mean) / scale * weight
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+
+def test_scores_equal_plain_compression(spark):
+    docs, labels = corpus(500)
+    docs += [(9000, "", "x"), (9001, None, "x"), (9002, "ko ba " * 3000 + "snotwit cruddle", "x")]
+    d, marked = frames(spark, docs, labels)
+    model = toxicity.fit(d, marked)
+    assert model.weights and b"snotwit" in model.toxic
+    rows = {r["doc_id"]: r["score"] for r in toxicity.score_documents(d, marked).collect()}
+    for i, text, _ in docs[::25] + docs[-3:]:
+        assert rows[i] == pytest.approx(plain_score(model, text or ""), abs=1e-9)
+
+
+def test_rare_toxic_words_are_learnt():
+    """A word of 19 in 2,000 toxic texts, and of no ordinary one, tells them apart."""
+    toxic = [{b"common"} | ({b"grubsnout"} if i < 19 else set()) for i in range(2000)]
+    plain = [{b"common", b"ordinary"}] * 6000
+    telling = toxicity._telling(toxic, plain, FitParams())
+    assert b"grubsnout" in telling and b"common" not in telling and b"ordinary" not in telling
+
+
+def test_dictionary_of_toxic_text_is_trained():
+    pick = random.Random(3)
+    word = lambda: "".join(pick.choice("abcdefghij") for _ in range(9)).encode()
+    common, slurs = [word() for _ in range(300)], [word() for _ in range(200)]
+    texts = []
+    for i in range(600):
+        words = [pick.choice(common) for _ in range(24)]
+        if i % 2:
+            words[::4] = [pick.choice(slurs) for _ in words[::4]]
+        texts.append((i % 2, [b" " + b" ".join(words) + b" "]))
+    model = toxicity._dictionaries(texts, FitParams(dictionary=8192, toxic_dictionary=1024))
+    assert 0 < len(model.toxic) <= 1025
+    assert sum(s in model.toxic for s in slurs) > 20
+    assert not any(b" " + c + b" " in model.toxic for c in common)
