@@ -101,6 +101,7 @@ CHAIN = {
     """,
 }
 
+NUMBER = "cast(regexp_extract(id, '[0-9]+$') as bigint)"
 SUMMARY_EN = (
     f"case when abstract is not null and abstract <> '' "
     f"then array_to_string(({sentences('abstract')})[1:2], ' ') else {lit(fixed.NO_ABSTRACT[0])} end"
@@ -337,7 +338,7 @@ UPSERTED = f"""select work_id, subject, journal_name, title, grade, link,
 
 # Columns that are dates or times in the twins, per query.
 PUBLISHED = """
-    works_from_pages archive_refresh snapshot_guard first_page_per_journal archive_snapshot
+    works_from_pages works_from_raw_pages archive_refresh snapshot_guard first_page_per_journal archive_snapshot
     archive_append archive_rows archive_rows_legacy archive_fillna recent_works works_in_years dashboard_filtered works_enriched
     archive_with_grade digest_selection archive_sorted dashboard_main_table union_batches
     union_schema_drift dedup_works archive_daily dashboard_by_journal stream_ingest stream_ingest_pages stream_upsert stream_enrich
@@ -381,6 +382,28 @@ def _twins() -> dict[str, str]:
                 from landed_works""",
             **CHAIN,
         ),
+        "works_from_raw_pages": q(
+            "works journals",
+            f"""select work_id, issn, title, publication_date, cited_by_count, doi, journal_name,
+                md5(nullif({strip(f"regexp_replace(abstract, '{SPACE}+', ' ', 'g')")}, ''))
+                  as abstract_md5,
+                case when title is not null then 'set' when {NUMBER} % 2 = 0 then 'null'
+                     else 'missing' end as title_state,
+                case when title is not null then title when {NUMBER} % 2 = 0 then ''
+                     else 'Untitled' end as archive_title
+                from landed_works""",
+            **CHAIN,
+        ),
+        "undeclared_work_fields": q(
+            "works journals",
+            f"""select work_id, 'type' as field, '"article"' as value from landed_works where {NUMBER} % 3 = 0
+                union all
+                select work_id, 'open_access', '{{"is_oa":true}}' from landed_works where {NUMBER} % 5 = 0
+                union all
+                select work_id, 'primary_location.version', '"v1"' from landed_works
+                where {NUMBER} % 7 = 0 and {NUMBER} % 13 <> 0""",
+            **CHAIN,
+        ),
         "cursor_chain_prefix": q(
             "works journals", "select issn, page_no, n_works from flags where kept = 1", **CHAIN
         ),

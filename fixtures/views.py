@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pubwatch.functions import fixed
@@ -232,3 +232,30 @@ PAGED_WORKS_SQL = f"""
               as journal_name, j.subject, j.grade
           from works w join journals j on w.issn = j.issn) p
 """
+
+
+@cache
+def raw_json(spark: SparkSession, sf_dir: str) -> str:
+    """The landed pages as JSON lines with fields that no schema declares.
+
+    Of the works without a title, those with an even number say so by a null, the others leave it out.
+    """
+    number = lambda w: F.regexp_extract(w["id"], "[0-9]+$", 0).cast("long")
+
+    def sent(w: Column) -> Column:
+        no_title = w["title"].isNull() & (number(w) % 2 == 0)
+        located = F.regexp_replace(F.to_json(w), r'"primary_location":\{', '"primary_location":{"version":"v1",')
+        return F.concat(
+            F.lit("{"),
+            F.when(no_title, '"title":null,').otherwise(""),
+            F.when(number(w) % 3 == 0, '"type":"article",').otherwise(""),
+            F.when(number(w) % 5 == 0, '"open_access":{"is_oa":true},').otherwise(""),
+            F.substring(F.when(number(w) % 7 == 0, located).otherwise(F.to_json(w)), 2, 2**31 - 1),
+        )
+
+    works = F.concat(F.lit('"results":['), F.array_join(F.transform("results", sent), ","), F.lit("],"))
+    keys = F.to_json(F.struct("issn", "page_no", "request_cursor", "status", "next_cursor", "attempt"))
+    line = F.concat(F.lit('{"meta":{"api":2},'), F.coalesce(works, F.lit("")), F.substring(keys, 2, 2**31 - 1))
+    path = new_path(spark, "fixture-raw")
+    landed_pages(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return path

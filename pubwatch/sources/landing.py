@@ -61,7 +61,7 @@ INDEX = ("issn", "page_no", "request_cursor", "next_cursor", "status", "attempt"
 def index_pages(landed: DataFrame) -> PageIndex:
     """Scan the landed pages once, for their keys, cursors and sizes and the lines that are no page."""
     seen = Observation("landed-lines")
-    scanned = landed.select(*INDEX, n_results().alias("n_works"), is_page().alias("readable"))
+    scanned = landed.select(*INDEX, _works_of(landed).alias("n_works"), is_page().alias("readable"))
     scanned = scanned.observe(seen, F.count_if(~F.col("readable")).alias("unreadable"))
     copies = scanned.where("readable").groupBy(*INDEX, "n_works").agg(F.count("*").alias("alike"))
     copies = materialise(copies, "landed-index")
@@ -83,7 +83,7 @@ def indexed_pages(landed: DataFrame, index: PageIndex) -> DataFrame:
     key = ["issn", "page_no"]
     told = [*INDEX[2:], "n_works"]
     wanted = repeated.select(*key, *[F.col(c).alias(f"_{c}") for c in told], "alike", "times")
-    sized = readable.withColumn("n_works", n_results())
+    sized = readable.withColumn("n_works", _works_of(landed))
     joined = dimension_join(sized, wanted, key, "left")
     same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in told))
     chosen = joined.where(F.col("times").isNull() | same)
@@ -107,7 +107,7 @@ def whole_pages(landed: DataFrame) -> DataFrame:
     if repeated.isEmpty():
         return pages
     once = dimension_join(pages, repeated, key, "left_anti")
-    best = latest_versions(dimension_join(pages, repeated, key, "left_semi"), key, _best_copy(n_results()))
+    best = latest_versions(dimension_join(pages, repeated, key, "left_semi"), key, _best_copy(_works_of(landed)))
     return once.unionByName(best)
 
 
@@ -122,7 +122,7 @@ def _best_copy(works: Column) -> list[Column]:
 
 
 def _works_of(pages: DataFrame) -> Column:
-    """Works per page, of pages or of their index."""
+    """Works per page, of pages, of raw pages or of their index."""
     return F.col("n_works") if "n_works" in pages.columns else n_results()
 
 
