@@ -1,8 +1,9 @@
 """Exact top-k inner-product search by dual-tree traversal of cover trees.
 
-Centres from a bounded sample are the top of the tree: every row joins the cell of its nearest
-centre, and large cells are split into blocks. Queries lie in a tree of their own. A pair of nodes
-is dropped when no inner product between them can reach the worst k-th score of the query group:
+Centres from a bounded sample are the top level of the tree: every row joins the cell of its nearest
+centre, and large cells are split into blocks. There are as many cells as the table fills blocks, up to
+the size of the sample. Each block is a cover tree, and the queries lie in cover trees of their own. A pair
+of nodes is dropped when no inner product between them can reach the worst k-th score of the query group:
 
     <q, x>  <=  <cq, cx> + rq * |cx| + rx * |cq| + rq * rx
 
@@ -23,11 +24,12 @@ from pyspark.sql import functions as F
 from pubwatch.llm.common import materialise
 
 SLACK = 1e-9  # relative, for rounding in bounds
+WANTED = 1_000_000  # pairs of cell and query block that are broadcast
 
 
 @dataclass(frozen=True)
 class SearchParams:
-    """``sample`` rows at most fit ``cells`` centres; blocks and leaves bound the work of a task."""
+    """``sample`` rows at most fit ``cells`` centres or more; blocks and leaves bound the work of a task."""
 
     k: int = 10
     scale: int = 1024
@@ -37,6 +39,11 @@ class SearchParams:
     query_block: int = 2048
     leaf: int = 64
     fanout: int = 12
+    scores: int = 1 << 21  # held at a time
+
+    def top_cells(self, rows: int) -> int:
+        """Cells of about a block each for a table of ``rows``."""
+        return min(max(self.cells, -(-rows // self.block)), max(self.cells, self.sample))
 
 
 def quantise(vector: Column, scale: int) -> Column:
@@ -70,34 +77,44 @@ def exact_type(*tables: np.ndarray) -> type:
 
 
 class Node:
-    """Points within ``radius`` of ``centre``; children cover them, or it is a leaf."""
+    """A node of a cover tree: points within ``radius`` of ``centre``, which is one of them.
+
+    The children's centres are the node's own (nesting) and the points farthest from those taken before,
+    until all lie within ``reach`` of their nearest centre (covering). Two centres are then at least
+    ``reach`` apart (separation). ``reach`` is half the radius, or what ``fanout`` centres leave of it, as in
+    many dimensions halving takes nearly as many centres as there are points.
+    """
 
-    __slots__ = ("centre", "norm", "radius", "rows", "children")
+    __slots__ = ("centre", "norm", "radius", "reach", "rows", "children")
 
-    def __init__(self, points: np.ndarray, rows: np.ndarray, centre: np.ndarray, leaf: int, fanout: int) -> None:
-        self.centre = centre
-        self.norm = float(np.sqrt(centre @ centre))
-        away = np.sqrt(((points[rows] - centre) ** 2).sum(1))
-        self.radius = float(away.max(initial=0.0)) * (1 + SLACK)
-        self.rows, self.children = rows, []
+    def __init__(self, points: np.ndarray, rows: np.ndarray, first: int, leaf: int, fanout: int) -> None:
+        own = points[rows]
+        self.centre = own[first]
+        self.norm = float(np.sqrt(self.centre @ self.centre))
+        gap = np.sqrt(((own - self.centre) ** 2).sum(1))
+        self.radius = float(gap.max(initial=0.0)) * (1 + SLACK)
+        self.rows, self.children, self.reach = rows, [], 0.0
         if len(rows) <= leaf or self.radius == 0:
             return
-        # farthest-first pivots: each is at least as far from the others as the radius they leave
-        pivots, nearest, owner = [0], np.full(len(rows), np.inf), np.zeros(len(rows), dtype=int)
-        own = points[rows]
-        goal = self.radius / 2
-        while True:
-            gap = np.sqrt(((own - own[pivots[-1]]) ** 2).sum(1))
-            closer = gap < nearest
-            nearest[closer], owner[closer] = gap[closer], len(pivots) - 1
+        pivots, nearest, owner = [first], gap, np.zeros(len(rows), dtype=int)
+        while len(pivots) < fanout:
             far = int(nearest.argmax())
-            if len(pivots) == fanout or nearest[far] <= goal:
+            if nearest[far] <= self.radius / 2:
                 break
             pivots.append(far)
-        if len(pivots) > 1:
-            self.children = [
-                Node(points, rows[owner == i], own[p], leaf, fanout) for i, p in enumerate(pivots)
-            ]
+            gap = np.sqrt(((own - own[far]) ** 2).sum(1))
+            closer = gap < nearest
+            nearest[closer], owner[closer] = gap[closer], len(pivots) - 1
+        self.reach = float(nearest.max())
+        for i, pivot in enumerate(pivots):
+            mine = np.nonzero(owner == i)[0]
+            self.children.append(Node(points, rows[mine], int(np.searchsorted(mine, pivot)), leaf, fanout))
+
+    @classmethod
+    def root(cls, points: np.ndarray, leaf: int, fanout: int) -> Node:
+        """The tree of all rows of ``points``, around the one next to their mean."""
+        first = int(((points - points.mean(0)) ** 2).sum(1).argmin())
+        return cls(points, np.arange(len(points)), first, leaf, fanout)
 
     def bounds(self, others: list[Node]) -> np.ndarray:
         centres = np.stack([o.centre for o in others])
@@ -110,8 +127,8 @@ class Node:
 class TopK:
     """The best scores per query so far, and a floor that the k-th score is known to reach."""
 
-    def __init__(self, queries: np.ndarray, ids: np.ndarray, floors: np.ndarray, k: int) -> None:
-        self.queries, self.ids, self.k = queries, ids, k
+    def __init__(self, queries: np.ndarray, ids: np.ndarray, floors: np.ndarray, k: int, held: int) -> None:
+        self.queries, self.ids, self.k, self.held = queries, ids, k, held
         self.floors = floors.astype(float)
         self.scores = np.full((len(ids), k), np.iinfo(np.int64).min, dtype=np.int64)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max, dtype=np.int64)
@@ -120,6 +137,12 @@ class TopK:
         return float(self.floors[rows].min())
 
     def add(self, rows: np.ndarray, points: np.ndarray, ids: np.ndarray) -> None:
+        """Score ``points`` for the queries in ``rows``, at most ``held`` scores at a time."""
+        step = max(1, self.held // max(1, len(ids)))
+        for at in range(0, len(rows), step):
+            self._add(rows[at : at + step], points, ids)
+
+    def _add(self, rows: np.ndarray, points: np.ndarray, ids: np.ndarray) -> None:
         scores = (self.queries[rows] @ points.T).astype(np.int64)
         none = np.iinfo(np.int64).min
         scores = np.where(ids[None, :] == self.ids[rows][:, None], none, scores)
@@ -139,8 +162,7 @@ def dual_search(top: TopK, points: np.ndarray, ids: np.ndarray, params: SearchPa
     kind = exact_type(top.queries, points)
     exact, top.queries = points.astype(kind), top.queries.astype(kind)
     queries, data = top.queries.astype(float), points.astype(float)
-    q_root = Node(queries, np.arange(len(queries)), queries.mean(0), *shape)
-    d_root = Node(data, np.arange(len(data)), data.mean(0), *shape)
+    q_root, d_root = Node.root(queries, *shape), Node.root(data, *shape)
 
     def visit(q: Node, nodes: list[Node]) -> None:
         bounds = q.bounds(nodes)
@@ -165,14 +187,16 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.nd
     return cell, np.sqrt(((points - centres[cell]) ** 2).sum(1))
 
 
-def spread_rows(placed: DataFrame, routed: DataFrame, blocks: dict[int, int]) -> DataFrame:
+def spread_rows(placed: DataFrame, routed: DataFrame, blocks: dict[int, int], query_blocks: int) -> DataFrame:
     """id, v, cell, block, query_block: each data row for the query blocks that routing sent to its cell."""
-    # at most cells x query blocks
     wanted = routed.select("cell", F.col("query_block").alias("to")).distinct()
-    in_cell = F.element_at(F.create_map(*[F.lit(x) for item in blocks.items() for x in item]), F.col("cell"))
-    return placed.join(F.broadcast(wanted), "cell").select(
-        "id", "v", "cell", F.pmod(F.xxhash64("id"), in_cell).cast("int").alias("block"), F.col("to").alias("query_block")
-    )
+    if len(blocks) * query_blocks <= WANTED:
+        wanted = F.broadcast(wanted)
+    # at most `sample` rows
+    parts = F.broadcast(placed.sparkSession.createDataFrame(list(blocks.items()), "cell int, parts int"))
+    block = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("block")
+    met = placed.join(parts, "cell").join(wanted, "cell")
+    return met.select("id", "v", "cell", block, F.col("to").alias("query_block"))
 
 
 def search(
@@ -189,6 +213,7 @@ def search(
 
     * A NULL id, or a vector that is NULL or holds a NULL, a NaN or an infinity, takes no part.
     * Vectors of different length count as padded with zeros.
+    * Scores are 64-bit sums; scaled components have to be small enough for these not to overflow.
     * Repeated candidate rows count one by one; of repeated query ids one row asks.
     * With fewer than k candidates all are returned; an empty table gives an empty result.
     * Other columns are not read. The fit looks at ``sample`` rows, the search at every row.
@@ -207,7 +232,8 @@ def search(
     fit = matrix([r["v"] for r in sample])
     width = fit.shape[1]
     pivots, gap = [0], np.full(len(fit), np.inf)
-    while len(pivots) < params.cells:
+    most_cells = params.top_cells(data.count())
+    while len(pivots) < most_cells:
         gap = np.minimum(gap, ((fit - fit[pivots[-1]]) ** 2).sum(1).astype(float))
         if gap.max() == 0:
             break
@@ -223,7 +249,7 @@ def search(
     placed = materialise(
         rows.mapInPandas(place, "id bigint, v array<bigint>, asks boolean, cell int, away double"), "search-rows"
     )
-    # at most `cells` rows
+    # at most `sample` rows
     cells = placed.groupBy("cell").agg(
         F.max("away").alias("radius"),
         F.ceil(F.count("*") / params.block).cast("int").alias("blocks"),
@@ -244,7 +270,7 @@ def search(
             ids = frame["id"].to_numpy()
             kind = exact_type(*_same_width(points, fit))
             a, b = _same_width(points, fit)
-            top = TopK(a.astype(kind), ids, np.full(len(ids), -np.inf), k)
+            top = TopK(a.astype(kind), ids, np.full(len(ids), -np.inf), k, params.scores)
             top.add(np.arange(len(ids)), b.astype(kind), fit_ids)
             a, c = _same_width(points.astype(float), centres)
             c = c[cell_ids]
@@ -270,14 +296,14 @@ def search(
         .withColumn("query_block", query_block),
         "search-routes",
     )
-    spread = spread_rows(placed, routed, blocks)
+    spread = spread_rows(placed, routed, blocks, query_blocks)
 
     def work(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], id_col: [], "score": []}).astype("int64")
         queries, points = _same_width(matrix(list(left["q"])), matrix(list(right["v"])))
         ids = left["query_id"].to_numpy()
-        top = TopK(queries, ids, left["floor"].to_numpy(), k)
+        top = TopK(queries, ids, left["floor"].to_numpy(), k, params.scores)
         dual_search(top, points, right["id"].to_numpy(), params)
         q, place = np.nonzero(top.scores > np.iinfo(np.int64).min)
         return pd.DataFrame({"query_id": ids[q], id_col: top.found[q, place], "score": top.scores[q, place]})

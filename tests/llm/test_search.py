@@ -58,8 +58,7 @@ def test_odd_vectors_and_few_candidates(spark):
 def test_bounds_hold_for_all_pairs():
     rng = np.random.default_rng(5)
     points, queries = rng.normal(size=(400, 6)), rng.normal(size=(50, 6))
-    root = cover_tree.Node(points, np.arange(400), points.mean(0), 8, 4)
-    asked = cover_tree.Node(queries, np.arange(50), queries.mean(0), 8, 4)
+    root, asked = cover_tree.Node.root(points, 8, 4), cover_tree.Node.root(queries, 8, 4)
     seen, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -70,10 +69,54 @@ def test_bounds_hold_for_all_pairs():
     assert sorted(seen) == list(range(400))
 
 
-def test_rows_go_only_to_query_blocks_routed_to_their_cell(spark):
+@pytest.mark.parametrize("query_blocks", [3, 10**6])
+def test_rows_go_only_to_query_blocks_routed_to_their_cell(spark, query_blocks):
     placed = spark.createDataFrame([(i, [i], i % 4) for i in range(40)], "id long, v array<bigint>, cell int")
     routed = spark.createDataFrame([(0, 2), (0, 2), (1, 0), (1, 1)], "cell int, query_block int")
-    spread = cover_tree.spread_rows(placed, routed, {0: 3, 1: 1, 2: 1, 3: 1}).collect()
+    spread = cover_tree.spread_rows(placed, routed, {0: 3, 1: 1, 2: 1, 3: 1}, query_blocks).collect()
     met = sorted((r["id"], r["query_block"]) for r in spread)
     assert met == sorted([(i, 2) for i in range(0, 40, 4)] + [(i, b) for i in range(1, 40, 4) for b in (0, 1)])
     assert all(0 <= r["block"] < 3 if r["cell"] == 0 else r["block"] == 0 for r in spread)
+
+
+@pytest.mark.parametrize("width,fanout", [(2, 1000), (2, 4), (30, 12)])
+def test_levels_nest_cover_and_separate(width, fanout):
+    rng = np.random.default_rng(width + fanout)
+    points = rng.normal(size=(700, width))
+    points[100:180] = points[0]
+    todo, halved = [cover_tree.Node.root(points, 6, fanout)], 0
+    while todo:
+        node = todo.pop()
+        assert (points[node.rows] == node.centre).all(1).any()
+        if not node.children:
+            assert len(node.rows) <= 6 or node.radius == 0
+            continue
+        centres = np.stack([c.centre for c in node.children])
+        assert (centres[0] == node.centre).all()
+        assert sorted(np.concatenate([c.rows for c in node.children])) == sorted(node.rows)
+        for child in node.children:
+            assert child.radius <= node.reach * (1 + 1e-6)
+        apart = np.linalg.norm(centres[:, None] - centres[None], axis=-1)
+        assert (apart[np.triu_indices(len(centres), 1)] >= node.reach * (1 - 1e-9)).all()
+        halved += node.reach <= node.radius / 2
+        assert node.reach <= node.radius / 2 or len(centres) == fanout
+        todo += node.children
+    assert halved or width > 2
+
+
+def test_scores_are_held_in_slices():
+    rng = np.random.default_rng(2)
+    queries, points = rng.integers(-9, 9, (40, 3)), rng.integers(-9, 9, (70, 3))
+    found = []
+    for held in (1, 500, 1 << 20):
+        top = cover_tree.TopK(queries, np.arange(40), np.full(40, -np.inf), 5, held)
+        top.add(np.arange(40), points, np.arange(100, 170))
+        found.append((top.scores.tolist(), top.found.tolist(), top.floors.tolist()))
+    assert found[0] == found[1] == found[2]
+
+
+def test_cells_grow_with_the_table(spark):
+    params = SearchParams(cells=2, block=20, sample=50, leaf=4, query_block=9)
+    assert [params.top_cells(n) for n in (0, 40, 600, 10**9)] == [2, 2, 30, 50]
+    rows = vectors(600, 5, 3)
+    assert run(spark, rows, params) == brute(rows, lambda i: i % 7 == 0, 10)
