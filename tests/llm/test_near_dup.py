@@ -111,3 +111,28 @@ def test_pairs_of_a_group_that_meet_in_no_tree_are_links(spark, whole_group):
     rows += [(100, " ".join(base[:244])), (101, " ".join(base[:300])), (102, " ".join(base[:299]))]
     params = JoinParams(trees=2, block=7, whole_group=whole_group)
     assert found(spark, rows, params) == brute(rows)
+
+
+def test_recall_on_a_whole_table(spark):
+    """Links of the texts whose id is divisible by 50 against all rows, by sets of word tuples."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = [(r["doc_id"], (r["text"] or "").lower().split()) for r in docs.select("doc_id", "text").collect()]
+
+    def grams(words):
+        size = min(5, len(words))
+        return {hash(t) for t in zip(*(words[i:] for i in range(size)), strict=False)}
+
+    asked = {i: grams(words) for i, words in rows if i % 50 == 0}
+    true = dict.fromkeys(asked, 0)
+    for i, words in rows:
+        other = grams(words)
+        for key, own in asked.items():
+            if key != i and own and other and 0.8 <= len(own) / len(other) <= 1.25:
+                common = len(own & other)
+                true[key] += common >= 0.8 * (len(own) + len(other) - common) - 1e-9
+    found = {r["doc_id"]: r["n_links"] for r in near_dup.near_duplicates(docs).where("doc_id % 50 = 0").collect()}
+    assert found.keys() == true.keys()
+    assert all(found[key] <= n for key, n in true.items())
+    print(f"{sum(found.values())} of {sum(true.values())} links")
+    assert sum(true.values()) > 30
+    assert sum(found.values()) >= 0.99 * sum(true.values())
