@@ -13,13 +13,20 @@ from pyspark.sql import functions as F
 
 from pubwatch.functions import fixed
 from pubwatch.functions.abstracts import build_inverted_index
+from pubwatch.functions.text import let
 from pubwatch.operators.joins import dimension_join
 from pubwatch.operators.ranking import number_rows
-from pubwatch.session import new_path
+from pubwatch.session import new_path, stored_bytes
 from pubwatch.sources import schemas
 from pubwatch.sources.landing import land_pages
 
 PAGE_ROWS = 10
+#: stored texts per partition that is cut into pages
+TEXT_BYTES = 32 << 20
+#: orders of that size are hashed for the join with the texts, so that the texts are not sorted
+HASHED_BYTES = 64 << 20
+#: landed lines are compressed, as cheaply as can be
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 # name -> (tables and views it reads, text)
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -117,7 +124,10 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in VIEWS:
         return table(spark, sf_dir, name)
     inputs, text = VIEWS[name]
-    return spark.sql(text, **{i: view(spark, sf_dir, i) for i in inputs})
+    tables = {i: view(spark, sf_dir, i) for i in inputs}
+    if name == "works" and stored_bytes(spark, f"{sf_dir}/orders.parquet") > HASHED_BYTES:
+        tables["orders"] = tables["orders"].hint("shuffle_hash")
+    return spark.sql(text, **tables)
 
 
 def view_sql(name: str) -> str:
@@ -127,10 +137,16 @@ def view_sql(name: str) -> str:
 
 
 @cache
-def _landed_path(spark: SparkSession, sf_dir: str) -> str:
-    """Cut the works into pages as an API would and land them as JSON lines, once per session."""
+def _cut_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The works cut into pages as an API would; the cut is written once per session, without texts."""
+    # Works are numbered without their texts: a text's place in its file stands for it until the end.
+    documents, orders = table(spark, sf_dir, "documents"), table(spark, sf_dir, "orders")
+    place = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
+    places = documents.withColumn("text", place)
+    texts = documents.select(place.alias("place"), F.col("text").alias("abstract"))
     order = [F.asc("issn"), F.desc("publication_date"), F.asc("work_id")]
-    numbered = number_rows(view(spark, sf_dir, "works"), order, "fixture-works")
+    works = spark.sql(VIEWS["works"][1], documents=places, orders=orders)
+    numbered = number_rows(works.withColumnRenamed("abstract", "place"), order, "fixture-works")
     starts = numbered.groupBy("issn").agg(
         F.min("row_no").alias("first_row"), F.max("row_no").alias("last_row")
     )
@@ -158,10 +174,20 @@ def _landed_path(spark: SparkSession, sf_dir: str) -> str:
             "abstract_inverted_index", build_inverted_index(w["abstract"])
         ).dropFields("abstract"),
     )
-    pages = (
+    placed = (
         dimension_join(dimension_join(numbered, starts, "issn"), names, "issn")
         .withColumn("page_no", page_no)
         .withColumn("last_page", last_page)
+    )
+    # Texts move twice, to their works and to their pages, and are sorted only in small partitions.
+    told = placed.where("place is not null").hint("shuffle_hash").join(texts, "place")
+    parts = max(
+        spark.sparkContext.defaultParallelism,
+        -(-stored_bytes(spark, f"{sf_dir}/documents.parquet") // TEXT_BYTES),
+    )
+    pages = (
+        told.unionByName(placed.where("place is null"), allowMissingColumns=True)
+        .repartition(parts, "issn", "page_no")
         .groupBy("issn", "page_no", "last_page")
         .agg(F.collect_list(work).alias("works"))
     )
@@ -193,9 +219,14 @@ def _landed_path(spark: SparkSession, sf_dir: str) -> str:
     again = (F.col("page_no") % 7 == 3) & (F.col("status") == 200)
     first = landed.where(again).withColumn("attempt", F.lit(1).cast("long"))
     first = first.withColumn("status", F.lit(500)).withColumn("results", F.lit(None).cast(empty.schema["results"].dataType))
-    landed = landed.unionByName(first)
+    return landed.unionByName(first)
+
+
+@cache
+def _landed_path(spark: SparkSession, sf_dir: str) -> str:
+    """The pages landed as JSON lines, once per session."""
     path = new_path(spark, "fixture-landed")
-    landed.write.json(f"{path}/json")
+    _cut_pages(spark, sf_dir).write.options(**GZIP).json(f"{path}/json")
     land_pages(spark, f"{path}/json", f"{path}/parquet")
     return path
 
@@ -242,20 +273,21 @@ def raw_json(spark: SparkSession, sf_dir: str) -> str:
     """
     number = lambda w: F.regexp_extract(w["id"], "[0-9]+$", 0).cast("long")
 
-    def sent(w: Column) -> Column:
+    def sent(w: Column, json: Column) -> Column:
         no_title = w["title"].isNull() & (number(w) % 2 == 0)
-        located = F.regexp_replace(F.to_json(w), r'"primary_location":\{', '"primary_location":{"version":"v1",')
+        located = F.regexp_replace(json, r'"primary_location":\{', '"primary_location":{"version":"v1",')
         return F.concat(
             F.lit("{"),
             F.when(no_title, '"title":null,').otherwise(""),
             F.when(number(w) % 3 == 0, '"type":"article",').otherwise(""),
             F.when(number(w) % 5 == 0, '"open_access":{"is_oa":true},').otherwise(""),
-            F.substring(F.when(number(w) % 7 == 0, located).otherwise(F.to_json(w)), 2, 2**31 - 1),
+            F.substring(F.when(number(w) % 7 == 0, located).otherwise(json), 2, 2**31 - 1),
         )
 
-    works = F.concat(F.lit('"results":['), F.array_join(F.transform("results", sent), ","), F.lit("],"))
+    told = lambda w: let(F.to_json(w), lambda json: sent(w, json))
+    works = F.concat(F.lit('"results":['), F.array_join(F.transform("results", told), ","), F.lit("],"))
     keys = F.to_json(F.struct("issn", "page_no", "request_cursor", "status", "next_cursor", "attempt"))
     line = F.concat(F.lit('{"meta":{"api":2},'), F.coalesce(works, F.lit("")), F.substring(keys, 2, 2**31 - 1))
     path = new_path(spark, "fixture-raw")
-    landed_pages(spark, sf_dir).select(line.alias("value")).write.text(path)
+    _cut_pages(spark, sf_dir).select(line.alias("value")).write.options(**GZIP).text(path)
     return path
