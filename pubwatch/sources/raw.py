@@ -25,9 +25,10 @@ def land_raw_pages(spark: SparkSession, json_path: str, path: str) -> None:
     ``corrupt_line``. A key that does not have its declared type is NULL, as is one that is missing.
     """
     lines = spark.read.text(json_path).where(F.trim("value") != "")
-    whole = F.try_parse_json("value")
-    is_object = F.coalesce(F.schema_of_variant(whole).startswith("OBJECT"), F.lit(False))
-    parsed = lines.select("value", F.when(is_object, whole).alias("envelope"))
+    # A line is parsed once; whether it is an object shows in its first character.
+    parsed = lines.select("value", F.try_parse_json("value").alias("whole"))
+    is_object = F.col("value").rlike(r"^[ \t\r\n]*\{")
+    parsed = parsed.select("value", F.when(is_object, F.col("whole")).alias("envelope"))
     keys = [
         F.try_variant_get("envelope", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
         for f in schemas.LANDED_PAGE.fields
