@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +22,13 @@ from pubwatch.functions.text import (
     tokens,
 )
 from pubwatch.operators.aggregates import domain_context, global_context, ordered_concat
+from pubwatch.operators.joins import dimension_join
 from pubwatch.session import materialise
 from pubwatch.sources import ledger as ledgers
 
+#: requests of one call of a summariser, in bytes, and so what a worker holds
+CALL_BYTES = 8 << 20
+
 Attempt = tuple[str | None, str | None]
 Summariser = Callable[[list[str]], Sequence[Attempt]]
 
@@ -168,39 +173,65 @@ def _again(error: str | None, tier: Tier) -> bool:
     return error is not None and (tier.codes is None or any(code in error for code in tier.codes))
 
 
+def _calls(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces whose requests have at most ``CALL_BYTES``, or are one."""
+    start = held = 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(batch["request"]), 0).to_pylist()):
+        if held and held + size > CALL_BYTES:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    yield batch.slice(start)
+
+
+def _told(answers: list[Attempt], tries: list[int]) -> list[pa.Array]:
+    """Response, error and attempts as columns."""
+    texts = [pa.array([a[i] for a in answers], pa.string()) for i in (0, 1)]
+    return [*texts, pa.array(tries, pa.int64())]
+
+
 def _answered(requests: DataFrame, ask: Callable) -> DataFrame:
     """``requests`` with response, error and attempts."""
+    added = T.StructType().add("response", "string").add("error", "string").add("attempts", "long")
+    schema = T.StructType([*requests.schema.fields, *added.fields])
+    names = schema.names
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            answers, tries = ask(batch["request"].tolist())
-            yield batch.assign(
-                response=pd.Series([a[0] for a in answers], index=batch.index, dtype="object"),
-                error=pd.Series([a[1] for a in answers], index=batch.index, dtype="object"),
-                attempts=pd.Series(tries, index=batch.index, dtype="int64"),
-            )
+            for part in _calls(batch):
+                columns = _told(*ask(part["request"].to_pylist()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=names)
 
-    added = T.StructType().add("response", "string").add("error", "string").add("attempts", "long")
-    return requests.mapInPandas(run, T.StructType([*requests.schema.fields, *added.fields]))
+    return requests.mapInArrow(run, schema)
 
 
 def _answered_once(requests: DataFrame, ask: Callable, tasks: int | None, path: str) -> DataFrame:
     """As :func:`_answered`, from a ledger, and by calls for what it does not have.
 
     New texts are dealt by their digest and sorted, so that a task that runs again has the same
-    batches and finds their answers.
+    batches and finds their answers. The requests are written once. Then a text moves once, but for
+    texts that come several times: those are made one by each map task before they move.
     """
     spark = requests.sparkSession
-    keyed = requests.withColumn("_digest", F.sha2("request", 256))
-    known = ledgers.answers(spark, path)
-    texts = keyed.where(F.col("request").isNotNull()).select(F.col("_digest").alias("digest"), "request")
-    new = texts.dropDuplicates(["digest"]).join(known, "digest", "left_anti")
-    dealt = new.repartition("digest") if tasks is None else new.repartition(tasks, "digest")
+    keyed = materialise(requests.withColumn("_digest", F.sha2("request", 256)), "requests")
+    known = materialise(ledgers.answers(spark, path), "known-answers")  # before this run adds to them
+    texts = keyed.where(F.col("_digest").isNotNull()).select(F.col("_digest").alias("digest"), "request")
+    counts = texts.groupBy("digest").agg(F.count("*").alias("n"))
+    repeated = materialise(counts.where("n > 1").select("digest"), "repeated-requests")
+    if repeated.isEmpty():
+        once = texts
+    else:
+        several = dimension_join(texts, repeated, "digest", "left_semi").dropDuplicates(["digest"])
+        once = dimension_join(texts, repeated, "digest", "left_anti").unionByName(several)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) if tasks is None else tasks
+    dealt = once.repartition(parts, "digest")
+    new = dealt.join(known.select("digest").hint("shuffle_hash"), "digest", "left_anti")
+    new = new.sortWithinPartitions("digest")
     own = ledgers.Ledger.open(spark, path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            digests, texts = batch["digest"].tolist(), batch["request"].tolist()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in _calls(whole)):
+            digests, texts = batch["digest"].to_pylist(), batch["request"].to_pylist()
             found = own.found(digests)
 
             def put(asked: list[int], answers: list[Attempt], attempt: int, digests=digests) -> None:
@@ -212,18 +243,13 @@ def _answered_once(requests: DataFrame, ask: Callable, tasks: int | None, path:
             for i, digest in enumerate(digests):
                 if digest in found:
                     answers[i], tries[i] = (found[digest][0], None), found[digest][1]
-            yield pd.DataFrame({
-                "digest": digests,
-                "response": pd.Series([a[0] for a in answers], dtype="object"),
-                "error": pd.Series([a[1] for a in answers], dtype="object"),
-                "attempts": pd.Series(tries, dtype="int64"),
-            })
+            names = ["digest", "response", "error", "attempts"]
+            yield pa.RecordBatch.from_arrays([batch["digest"], *_told(answers, tries)], names=names)
 
     schema = "digest string, response string, error string, attempts bigint"
-    known = materialise(known, "known-answers")  # as they are before this run adds to them
-    called = materialise(dealt.sortWithinPartitions("digest").mapInPandas(run, schema), "new-answers")
+    called = materialise(new.mapInArrow(run, schema), "new-answers")
     answers = known.withColumn("error", F.lit(None).cast("string")).unionByName(called)
-    joined = keyed.join(answers.withColumnRenamed("digest", "_digest"), "_digest", "left").drop("_digest")
+    joined = keyed.join(answers.withColumnRenamed("digest", "_digest"), "_digest", "left")
     return joined.withColumn("attempts", F.coalesce("attempts", F.lit(0).cast("long")))
 
 
@@ -249,11 +275,11 @@ def summarise_with(
     """
     ask = partial(_ask, summariser=summariser, tier=tier, max_attempts=max_attempts, pause=pause)
     if ledger is None:
-        answered = _answered(requests if tasks is None else requests.repartition(tasks), ask)
+        answered, sent = _answered(requests if tasks is None else requests.repartition(tasks), ask), "request"
     else:
-        answered = _answered_once(requests, ask, tasks, ledger)
+        answered, sent = _answered_once(requests, ask, tasks, ledger), "_digest"
     outcome = classify_outcome(
-        F.col("request").isNotNull(),
+        F.col(sent).isNotNull(),
         F.col("response"),
         F.col("error"),
         F.col("attempts"),

@@ -390,3 +390,42 @@ def test_landed_pages_to_archive_and_digest(spark, tmp_path):
     run = Digest(landing.works_from_pages(landing.valid_prefix(landed)), journals, PARAMS)
     assert [r["summary_en"] for r in run.articles.collect()] == ["Noise harms. Stop it."] * 3
     assert run.publish(str(tmp_path / "digest"))
+
+
+class Widest:
+    """Notes the bytes of each call."""
+
+    def __init__(self, log):
+        self.log = log
+
+    def __call__(self, texts):
+        with open(self.log, "a") as log:
+            log.write(f"{sum(map(len, texts))}\n")
+        return [(f"English: {t[:6]} Hebrew: x", None) for t in texts]
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_a_call_holds_bounded_texts(spark, tmp_path, kept):
+    texts = [*(f"{i:06d}" + "x" * (3 << 20) for i in range(7)), None, "z" * (9 << 20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, request string").coalesce(1)
+    ledger_path = str(tmp_path / "ledger") if kept else None
+    answered = summaries.summarise_with(df, Widest(tmp_path / "log"), tasks=1, ledger=ledger_path)
+    rows = {r["i"]: r["en"] for r in answered.drop("request").collect()}
+    assert [rows[i] for i in range(7)] == [f"{i:06d}" for i in range(7)]
+    assert (rows[7], rows[8]) == ("Abstract unavailable.", "zzzzzz")
+    sent = [int(n) for n in (tmp_path / "log").read_text().split()]
+    assert sum(sent) == sum(len(t) for t in texts if t) and max(sent) == 9 << 20
+    assert sorted(sent)[-2] <= 8 << 20
+
+
+def test_a_ledger_joins_its_answers_without_the_texts(spark, tmp_path):
+    texts = [f"text {i}" for i in range(50)] + ["the same"] * 200 + [None] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, request string")
+    log = tmp_path / "log"
+    answered = summaries.summarise_with(df, Paid(log), ledger=str(tmp_path / "ledger"))
+    assert answered.groupBy("status").count().orderBy("status").collect() == [("no_abstract", 3), ("ok", 250)]
+    assert sorted(log.read_text().splitlines()) == sorted(set(filter(None, texts)))
+    # the answers are joined without the texts
+    plan = answered.drop("request")._jdf.queryExecution().executedPlan().toString()
+    read = re.findall(r"ReadSchema: (\S+)", plan)
+    assert len(read) == 3 and not any("request" in columns for columns in read)
