@@ -30,16 +30,17 @@ def restore_abstract(index: Column) -> Column:
     )
 
     def spaced(all_: Column) -> Column:
-        def word(x: Column, i: Column) -> Column:
-            gap = F.get(all_, i + 1)["position"] - x["position"]
+        def word(x: Column, after: Column) -> Column:
+            gap = after["position"] - x["position"]
             return (
                 F.when(gap == 1, F.concat(x["word"], F.lit(" ")))
-                .when(gap.isNull(), x["word"])
                 .when(gap > 1, F.concat(x["word"], F.repeat(F.lit(" "), gap)))
+                .when(gap.isNull(), x["word"])
             )
 
         # A word that a later one replaces has gap 0 and becomes NULL, which the join leaves out.
-        return F.array_join(F.transform(all_, word), "")
+        following = F.slice(all_, 2, F.greatest(F.size(all_), F.lit(1)))
+        return F.array_join(F.zip_with(all_, following, word), "")
 
     text = let(F.sort_array(placed), spaced)
     return F.nullif(strip_space(text), F.lit(""))
@@ -65,13 +66,10 @@ def index_entries(text: Column) -> Column:
                 firsts,
                 lambda start, j: F.struct(
                     F.get(sorted_, start)["word"].alias("key"),
+                    # not by a slice, which copies the whole array for every word
                     F.transform(
-                        F.slice(
-                            sorted_,
-                            start + 1,
-                            F.coalesce(F.get(firsts, j + 1), F.size(sorted_)) - start,
-                        ),
-                        lambda x: x["position"],
+                        F.sequence(start, F.coalesce(F.get(firsts, j + 1), F.size(sorted_)) - 1),
+                        lambda i: F.get(sorted_, i)["position"],
                     ).alias("value"),
                 ),
             ),

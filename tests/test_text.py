@@ -167,3 +167,16 @@ def test_lead_is_the_first_of_all_sentences(spark, texts):
         whole = F.array_join(F.slice(text.sentences(F.col("x")), 1, count), " ")
         rows = df.select("x", text.lead_sentences(F.col("x"), count).alias("lead"), whole.alias("whole"))
         assert [r["x"] for r in rows.collect() if r["lead"] != r["whole"]] == []
+
+
+def test_index_of_a_long_text_takes_no_copy_per_word(spark):
+    """Each word's places are looked up; a slice would copy all places for every word."""
+    text = " ".join(f"w{i}" for i in range(60_000)) + " w7"
+    row = spark.createDataFrame([(text,)], "text string")
+    index = abstracts.build_inverted_index(F.col("text"))
+    plan = row.select(index.alias("index"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" not in plan
+    back = row.select(index.alias("index")).select(
+        F.size("index"), F.col("index")["w7"], abstracts.restore_abstract(F.col("index")) == F.lit(text)
+    )
+    assert tuple(back.first()) == (60_000, [7, 60_000], True)
