@@ -77,3 +77,55 @@ def test_every_window_has_its_anchor():
     at, _, first, last = repeats.anchors(data, params)
     assert first[0] == 0 and last[-1] == len(data) - 100 and (first[1:] == last[:-1] + 1).all()
     assert (at >= last).all() and (at + 16 <= first + 100).all()
+
+
+def with_common_line(many):
+    pick = random.Random(7)
+    word = lambda: "".join(pick.choice("abcdefghijklmnop") for _ in range(9))
+    line = " ".join(word() for _ in range(8))
+    return ["\n".join(x for _ in range(5) for x in (line, word(), word() * 2)) for _ in range(many)]
+
+
+def test_a_hot_gram_is_split(spark, monkeypatch):
+    texts = with_common_line(400)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    plans = {}
+
+    def noting(df, name):
+        df.collect()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialise(df, name)
+
+    materialise = repeats.materialise
+    monkeypatch.setattr(repeats, "materialise", noting)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.maxPartitionBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = repeats.remove_repeats(docs, RepeatParams(50, 8)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(bytes(r["kept"]) for r in found) == sorted(brute(texts, 50))
+    assert "SortMergeJoin(skew=true)" in plans["repeat-shared"]
+
+
+def test_a_hot_context_is_not_dealt_by_key(spark):
+    texts = with_common_line(400)
+    numbered = [(i, i, t) for i, t in enumerate(texts + texts[:1] * 300)]
+    rows = spark.createDataFrame(numbered, "id int, key long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        plan = repeats.repeated_spans(rows, RepeatParams(50, 8))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "LeftSemi" in plan and "hashpartitioning(gram" not in plan
