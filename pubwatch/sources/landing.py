@@ -17,6 +17,17 @@ from pubwatch.session import materialise
 from pubwatch.sources import schemas
 
 WORK_FIELDS = ("id", "title", "publication_date", "cited_by_count", "doi")
+GROUP_BYTES = 8 << 20
+#: How landed pages are written. A task that reads them decodes thousands of rows at once, but never
+#: more than a row group, so groups are cut by their bytes. Values are plain and pages compressed
+#: with their group, as dictionaries and compression hide what the values take once they are read.
+PAGE_GROUPS = {
+    "parquet.block.size": GROUP_BYTES,
+    "parquet.page.size": GROUP_BYTES,
+    "parquet.page.size.row.check.min": 1,
+    "parquet.page.size.row.check.max": 1,
+    "parquet.enable.dictionary": False,
+}
 
 
 def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -30,7 +41,7 @@ def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def land_pages(spark: SparkSession, json_path: str, path: str) -> None:
     """Turn landed JSON into a parquet table, so that later passes read only what they need."""
-    read_landed_pages(spark, json_path).write.mode("overwrite").parquet(path)
+    read_landed_pages(spark, json_path).write.mode("overwrite").options(**PAGE_GROUPS).parquet(path)
 
 
 def is_page() -> Column:

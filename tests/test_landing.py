@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,6 +135,26 @@ def test_archive_never_reads_abstracts(spark, parquet):
     assert works.count() == with_index.count()
 
 
+@pytest.mark.parametrize("land", [landing.land_pages])
+def test_a_row_group_holds_bounded_works(spark, tmp_path, land):
+    """Words repeat, so that a dictionary would make two million of them look small."""
+    index = {f"w{i}": [i] for i in range(2000)}
+    made = page("j", 0, "*", None)
+    made["results"] = [work(i, abstract_inverted_index=index) for i in range(10)]
+    line = json.dumps(made)
+    (tmp_path / "pages.json").write_text("\n".join(line.replace('"page_no": 0', f'"page_no": {n}') for n in range(100)))
+    land(spark, str(tmp_path / "pages.json"), str(tmp_path / "pages"))
+    groups = []
+    for file in (tmp_path / "pages").glob("*.parquet"):
+        stored = pq.ParquetFile(file).metadata
+        groups += [stored.row_group(i) for i in range(stored.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 100
+    assert max(g.num_rows for g in groups) <= 60
+    assert max(g.total_byte_size for g in groups) < 1.1 * landing.GROUP_BYTES
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    assert pages.agg(F.sum(landing._works_of(pages)), F.countDistinct("page_no")).first()[:] == (1000, 100)
+
+
 def test_works_survive_missing_parts(spark, tmp_path):
     odd = page("j", 1, "*", None)
     odd["results"] = [
