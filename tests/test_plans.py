@@ -86,6 +86,12 @@ def test_pages_stay_where_they_are_for_a_large_registry(spark, monkeypatch):
     assert kept.count() == landing.valid_prefix(landed).count()
 
 
+def test_the_chain_prefix_reads_one_nested_field(spark):
+    lines = plan(spark, "cursor_chain_prefix").splitlines()
+    scans = [line for line in lines if "ReadSchema" in line and "results" in line]
+    assert scans and all("results:array<struct<id:string>>" in s for s in scans)
+
+
 def test_texts_come_after_the_page_cut(spark):
     """Above the scan that reads texts there is the semi-join with the chosen works, then a sort."""
     text = plan(spark, "digest_selection")
