@@ -109,17 +109,9 @@ def whole_pages(landed: DataFrame) -> DataFrame:
     """Readable pages, each (journal, page number) once.
 
     Of a page that landed several times, one that came back whole wins, then the later attempt,
-    then the one with more works. Only pages that did land twice are shuffled with their works.
+    then the one with more works. The choice is made on an index, so the works stay where they are.
     """
-    pages = landed.where(is_page())
-    key = ["issn", "page_no"]
-    counts = pages.groupBy(*key).agg(F.count("*").alias("_times")).where("_times > 1").drop("_times")
-    repeated = materialise(counts, "repeated-pages")
-    if repeated.isEmpty():
-        return pages
-    once = dimension_join(pages, repeated, key, "left_anti")
-    best = latest_versions(dimension_join(pages, repeated, key, "left_semi"), key, _best_copy(_works_of(landed)))
-    return once.unionByName(best)
+    return indexed_pages(landed, index_pages(landed))
 
 
 def _best_copy(works: Column) -> list[Column]:
@@ -208,8 +200,8 @@ def valid_prefix(landed: DataFrame, stops: DataFrame | None = None) -> DataFrame
     journals whose chain is cut take part in the join, so the pages themselves stay where they are.
     """
     if stops is None:
-        landed = whole_pages(landed)
-        stops = chain_stops(landed)
+        index = index_pages(landed)
+        landed, stops = indexed_pages(landed, index), chain_stops(index.pages)
     cut = stops.where("stop_page <= last_page").select("issn", "stop_page")
     kept = dimension_join(landed, cut, "issn", "left")
     return kept.where(F.col("stop_page").isNull() | (F.col("page_no") < F.col("stop_page"))).drop("stop_page")
@@ -224,7 +216,7 @@ def fetch_completeness(
     without works lands an empty page. ``stops`` as for :func:`valid_prefix`.
     """
     if stops is None:
-        landed = whole_pages(landed)
+        landed = index_pages(landed).pages
         stops = chain_stops(landed)
     sizes = landed.select("issn", "page_no", _works_of(landed).alias("n_works"))
     pages = dimension_join(sizes, stops.select("issn", "stop_page"), "issn")

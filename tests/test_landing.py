@@ -135,6 +135,26 @@ def test_archive_never_reads_abstracts(spark, parquet):
     assert works.count() == with_index.count()
 
 
+def with_copies(path):
+    """A folder of the pages, some of which landed once more, at an earlier attempt without works."""
+    first = [{**p, "status": 500, "results": None, "attempt": 1} for p in PAGES if p["issn"] in ("whole", "empty")]
+    lines = [json.dumps(p) for p in [*({**p, "attempt": 2} for p in PAGES), *first]]
+    (path / "copies.json").write_text("\n".join(lines))
+    return str(path / "copies.json")
+
+
+@pytest.mark.parametrize("abstracts", [False, True])
+def test_works_of_repeated_pages_stay_where_they_are(spark, landed, tmp_path, abstracts):
+    landing.land_pages(spark, with_copies(tmp_path), str(tmp_path / "pages"))
+    copies = spark.read.schema(schemas.LANDED_PAGE).parquet(str(tmp_path / "pages"))
+    works = landing.works_from_pages(landing.valid_prefix(copies), abstracts)
+    (scan,) = read_schema(spark, works)
+    assert ("abstract_inverted_index" in scan) == abstracts
+    assert "Exchange hashpartitioning" not in works._jdf.queryExecution().executedPlan().toString()
+    plain = landing.works_from_pages(landing.valid_prefix(landed), abstracts)
+    assert sorted(map(str, works.collect())) == sorted(map(str, plain.collect()))
+
+
 @pytest.mark.parametrize("land", [landing.land_pages])
 def test_a_row_group_holds_bounded_works(spark, tmp_path, land):
     """Words repeat, so that a dictionary would make two million of them look small."""
