@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pubwatch.functions import fixed
 from pubwatch.sources import schemas
-from pubwatch.sources.landing import INDEX
+from pubwatch.sources.landing import INDEX, PAGE_GROUPS
 
 WORKS = "array<variant>"
 FIELDS = "map<string,variant>"
@@ -42,7 +42,7 @@ def land_raw_pages(spark: SparkSession, json_path: str, path: str) -> None:
         corrupt.alias(schemas.CORRUPT),
         "envelope",
     )
-    pages.write.mode("overwrite").parquet(path)
+    pages.write.mode("overwrite").options(**PAGE_GROUPS).parquet(path)
 
 
 def field_state(work: Column, path: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pubwatch.params import RunParams
 from pubwatch.plans import archive as plan
-from pubwatch.sources import landing, registry, schemas, tables
+from pubwatch.sources import landing, raw, registry, schemas, tables
 
 
 def work(i, **fields):
@@ -155,7 +155,7 @@ def test_works_of_repeated_pages_stay_where_they_are(spark, landed, tmp_path, ab
     assert sorted(map(str, works.collect())) == sorted(map(str, plain.collect()))
 
 
-@pytest.mark.parametrize("land", [landing.land_pages])
+@pytest.mark.parametrize("land", [landing.land_pages, raw.land_raw_pages])
 def test_a_row_group_holds_bounded_works(spark, tmp_path, land):
     """Words repeat, so that a dictionary would make two million of them look small."""
     index = {f"w{i}": [i] for i in range(2000)}
