@@ -117,3 +117,19 @@ def test_whole_copies_and_no_weight_give_no_further_copy(spark):
     tilted = mixing.mix(docs(spark, rows), MixParams(share=1.2), weight=F.col("q")).selectExpr("row.q as q", "copies").collect()
     assert {r["copies"] for r in tilted if r["q"] == 0} == {0}
     assert {r["copies"] for r in tilted if r["q"] == 1} == {2}
+
+
+def test_rows_without_texts_are_derived_once(spark, tmp_path):
+    rows = many(5) + [(None, None, None, "c", 1), (None, "a", "", "c", 1), (5, "a", "x y", "c", None), (5, "a", "x y", "c", None)]
+    docs(spark, rows).write.parquet(str(tmp_path / "docs"))
+    read = spark.read.parquet(str(tmp_path / "docs"))
+    digest = F.md5(F.coalesce("text", F.lit(""))).alias("digest")
+    size = mixing.word_count(F.col("text")).alias("size")
+    sized = mixing.mix(read.select("doc_id", "source", size, digest), size=F.col("size"), salt=F.col("digest"))
+    assert not [f for f in sized.inputFiles() if str(tmp_path) in f]
+    assert "regexp" not in sized._jdf.queryExecution().optimizedPlan().toString()
+    whole = mixing.mix(read)
+    out = ["size", "source_size", "target", "copies"]
+    left, right = (m.selectExpr("row.doc_id", "row.source", *out) for m in (sized, whole))
+    assert left.count() == len(rows)
+    assert left.exceptAll(right).count() == right.exceptAll(left).count() == 0
