@@ -120,3 +120,30 @@ def test_cells_grow_with_the_table(spark):
     assert [params.top_cells(n) for n in (0, 40, 600, 10**9)] == [2, 2, 30, 50]
     rows = vectors(600, 5, 3)
     assert run(spark, rows, params) == brute(rows, lambda i: i % 7 == 0, 10)
+
+
+def test_scores_below_the_floor_are_not_sorted_in():
+    queries, points = np.array([[1.0, 0.0], [0.0, 1.0]]), np.array([[5.0, 1.0], [5.0, 3.0], [2.0, 9.0], [5.0, 1.0]])
+    top = cover_tree.TopK(queries, np.array([100, 7]), np.array([5.0, -np.inf]), 2, 1 << 10)
+    top.add(np.arange(2), points, np.array([8, 7, 6, 3]))
+    top.add(np.arange(1), points[2:3], np.array([1]))
+    assert top.scores[0].tolist() == [5, 5] and top.found[0].tolist() == [3, 7]
+    assert top.scores[1].tolist() == [9, 1] and top.found[1].tolist() == [6, 3]
+    high = cover_tree.TopK(queries, np.array([100, 7]), np.array([6.0, 10.0]), 2, 1 << 10)
+    high.add(np.arange(2), points, np.array([8, 7, 6, 3]))
+    assert (high.scores == np.iinfo(np.int64).min).all()
+
+
+def test_leaves_are_scored_together(monkeypatch):
+    pick, params = np.random.default_rng(5), cover_tree.SearchParams(k=4, leaf=4, fanout=6)
+    points = np.concatenate([pick.integers(-9, 9, (600, 5)), np.zeros((30, 5), dtype=int), np.full((20, 5), 3)])
+    ids = np.concatenate([np.arange(600), np.arange(50) // 2])
+    queries, calls = pick.integers(-9, 9, (90, 5)), []
+    add = cover_tree.TopK.add
+    monkeypatch.setattr(cover_tree.TopK, "add", lambda self, rows, *a: calls.append(len(rows)) or add(self, rows, *a))
+    top = cover_tree.TopK(queries, np.arange(90), np.full(90, -np.inf), params.k, 1 << 10)
+    cover_tree.dual_search(top, points, ids, params)
+    for i, q in enumerate(queries):
+        best = sorted((-int(p @ q), int(x)) for p, x in zip(points, ids, strict=True) if x != i)[: params.k]
+        assert [(-s, x) for s, x in zip(top.scores[i].tolist(), top.found[i].tolist(), strict=True)] == best
+    assert sum(calls) < 90 * len(points) / params.leaf / 3
